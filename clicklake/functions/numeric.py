@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 
 def half_even(column: Column, digits: int | None) -> Column:
-    """Round half to even on the scaled value; ``None`` leaves the value alone."""
+    """Round half to even; ``None`` leaves the value alone.
+
+    The scaled value is cleaned of float noise first, so a tie is decided the same
+    way whatever the order in which partitions were added up.
+    """
     if digits is None:
         return column
-    scale = float(10**digits)
-    return F.rint(column * F.lit(scale)) / F.lit(scale)
+    scale = F.lit(float(10**digits))
+    return F.rint(F.round(column * scale, 6)) / scale
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:

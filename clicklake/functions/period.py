@@ -10,7 +10,12 @@ GRANULARITIES = ("hour", "day", "week", "month")
 
 
 def period_label(ts: Column, period: str) -> Column:
-    """Date for ``daily``, Monday/Sunday text for ``weekly``, yyyy-MM for ``monthly``."""
+    """Date for ``daily``, Monday/Sunday text for ``weekly``, yyyy-MM for ``monthly``.
+
+    ``hour``, ``day``, ``week`` and ``month`` give the start of the bucket instead.
+    """
+    if period in GRANULARITIES:
+        return bucket_start(ts, period)
     day = F.to_date(ts)
     if period == "daily":
         return day
@@ -19,7 +24,7 @@ def period_label(ts: Column, period: str) -> Column:
         return F.concat_ws("/", monday.cast("string"), F.date_add(monday, 6).cast("string"))
     if period == "monthly":
         return F.date_format(day, "yyyy-MM")
-    raise ValueError(f"unsupported period {period!r}; expected one of {PERIODS}")
+    raise ValueError(f"unsupported period {period!r}; expected one of {PERIODS + GRANULARITIES}")
 
 
 def bucket_start(ts: Column, granularity: str) -> Column:

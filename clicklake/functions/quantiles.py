@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-# The sketch is off by at most 1/ACCURACY in rank; the bracket is much wider.
+# The sketch is off by at most 1/ACCURACY in rank; the bracket is much wider. In
+# groups up to SMALL rows the margin is less than two ranks, so there the bracket
+# holds everything.
 MARGIN = 20 / ACCURACY
+SMALL = int(2 / MARGIN)
 
 
 def exact_percentile(
@@ -33,10 +36,13 @@ def exact_percentile(
             "_x", [max(0.0, fraction - MARGIN), min(1.0, fraction + MARGIN)], F.lit(ACCURACY)
         ).alias("_b"),
     )
+    whole = F.col("_n") <= SMALL
     near = (
         rows.join(bracket, list(keys))
-        .where(F.col("_x") <= F.col("_b")[1])
-        .groupBy(*keys, "_n", F.when(F.col("_x") >= F.col("_b")[0], F.col("_x")).alias("_v"))
+        .where(whole | (F.col("_x") <= F.col("_b")[1]))
+        .groupBy(
+            *keys, "_n", F.when(whole | (F.col("_x") >= F.col("_b")[0]), F.col("_x")).alias("_v")
+        )
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     upward = (

@@ -91,6 +91,14 @@ def search_click_pairs(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def mean_time_to_first_click(events: DataFrame) -> DataFrame:
+    """One row: mean seconds from a search to its first click, over clicked searches."""
+    first = clicks(events).groupBy(*QUERY_KEY).agg(F.min("timestamp").alias("_clicked_at"))
+    asked = searches(events).select(*QUERY_KEY, "timestamp")
+    wait = seconds_between(F.col("timestamp"), F.col("_clicked_at"))
+    return asked.join(first, QUERY_KEY).agg(F.avg(wait).alias("avg_time_to_first_click"))
+
+
 def time_to_click(
     events: DataFrame,
     by: Sequence[str] = (),

@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clicklake.functions.normal_scores import shapiro_p, score_sums
 from clicklake.functions.scan import HOT_ROWS, scan
@@ -130,7 +131,7 @@ def rank_sums(
     return summed.drop(*[f"_{m}_{a}" for a in "ce" for m in ("mid_low", "mid_high", "dev")])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _score_sum(before: pd.Series, upto: pd.Series, n: pd.Series) -> pd.Series:
     """Sum of the expected normal scores of the ranks before+1 .. upto out of n."""
     return pd.Series(
@@ -325,7 +326,13 @@ def compare_arms(
     ``error`` and no test. ``draws=0`` leaves the interval out.
     """
     sums = rank_sums(long, keys, hot_rows=hot_rows)
-    schema = sums.schema.add("test_type", "string").add("p_value", "double")
+    schema = T.StructType(
+        [
+            *sums.schema.fields,
+            T.StructField("test_type", T.StringType()),
+            T.StructField("p_value", T.DoubleType()),
+        ]
+    )
     tested = sums.mapInPandas(_finish, schema)
     gap = F.col("mean_e") - F.col("mean_c")
     enough = F.least("n_c", "n_e") >= 2
@@ -431,7 +438,7 @@ def stored_results(
 
 
 def _t_half_width(confidence: float):
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def quantile(df: pd.Series) -> pd.Series:
         known = {d: t_quantile((1 + confidence) / 2, d) for d in df.unique() if d >= 1}
         return df.map(known)

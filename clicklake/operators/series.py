@@ -6,13 +6,13 @@ number of dates, not of log rows; the ordered windows here rely on that.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-
 import math
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clicklake.functions.tails import t_two_sided
 
@@ -77,7 +77,8 @@ def linear_trend(
         "direction",
         F.when(F.col("slope") > 0, "Upward").when(F.col("slope").isNotNull(), "Downward"),
     )
-    return fit.mapInPandas(_slope_test, fit.schema.add("p_value", "double"))
+    schema = T.StructType([*fit.schema.fields, T.StructField("p_value", T.DoubleType())])
+    return fit.mapInPandas(_slope_test, schema)
 
 
 def _slope_test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
