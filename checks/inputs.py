@@ -14,7 +14,7 @@ from clicklake.sources import derived
 
 START, END = "1997-01-01", "1997-12-31"
 
-# Both sides of a comparison are scaled by this before rounding to 6 places, so
+# Both sides of a comparison are scaled by this before rounding, so
 # that an exact half (a mean of two microsecond counts) is not decided by the last
 # bit, which depends on the order of additions in either engine.
 NUDGE = 1 + 1e-13
@@ -62,7 +62,7 @@ class Inputs:
     @cached_property
     def daily_metrics(self) -> DataFrame:
         return self._stored(
-            "daily_metrics", lambda: star.daily_metrics(self.facts, self.results, self.users)
+            "daily_metrics", lambda: star.daily_metrics(self.facts, self.users)
         )
 
     @cached_property
@@ -102,6 +102,9 @@ class Inputs:
     @cached_property
     def search_sample(self) -> DataFrame:
         """Searches: clicked or not as 0/1, latency, arm and segment."""
+        return self._stored("search_sample", self._search_sample)
+
+    def _search_sample(self) -> DataFrame:
         arms = self.events.where("event_type = 'search'").select(
             "session_id", "query_index_in_session", "variant"
         )

@@ -846,18 +846,22 @@ create table nation (n_nationkey int, n_name varchar, n_regionkey int);
 """
 
 
-def rounded(digits: int = 6) -> dict[str, str]:
-    """The oracle texts with double columns rounded, as ``queries.comparable`` does."""
+def rounded() -> dict[str, str]:
+    """The SQL with double columns rounded, as ``queries.comparable`` does."""
     import duckdb
 
     empty = duckdb.connect()
     empty.execute(TABLES)
+
+    def shown(name: str, kind: str) -> str:
+        if kind != "DOUBLE":
+            return f'"{name}"'
+        value = f'"{name}" * {NUDGE!r}::double'
+        return f'case when abs({value}) < 1e6 then round({value}, 6) else round({value}, 2) end as "{name}"'
+
     texts = {}
     for key, text in ORACLES.items():
         columns = empty.execute(f"describe {text}").fetchall()
-        shown = ", ".join(
-            f'round("{name}" * {NUDGE!r}::double, {digits}) as "{name}"' if kind == "DOUBLE" else f'"{name}"'
-            for name, kind, *_ in columns
-        )
-        texts[key] = f"select {shown} from ({text})"
+        picked = ", ".join(shown(name, kind) for name, kind, *_ in columns)
+        texts[key] = f"select {picked} from ({text})"
     return texts

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks.inputs import END, NUDGE, START, Inputs
@@ -27,7 +27,7 @@ Q = Callable[[Inputs], DataFrame]
 
 
 def _daily(i: Inputs) -> DataFrame:
-    return reports.daily_metrics(i.daily_metrics, START, END)
+    return reports.daily_rows(i.daily_metrics, START, END)
 
 
 def _s1(i: Inputs) -> DataFrame:
@@ -163,7 +163,7 @@ QUERIES: dict[str, Q] = {
     ),
     "t3_search_results": lambda i: star.search_results(i.results),
     "t4_daily_metrics": lambda i: star.daily_metrics(
-        star.query_facts(i.queries, i.results), i.results, i.users
+        star.query_facts(i.queries, i.results), i.users
     ),
     "t5_ab_test_results": lambda i: i.ab_tests,
     # session, query and daily metrics
@@ -225,7 +225,7 @@ QUERIES: dict[str, Q] = {
         i.results, count_no_click=False
     ),
     # reports
-    "q1_daily_metrics": lambda i: _daily(i),
+    "q1_daily_metrics": lambda i: reports.daily_metrics(i.daily_metrics, START, END),
     "q1_daily_metrics_segment": lambda i: reports.daily_metrics(
         i.daily_metrics, START, END, "MACHINERY"
     ),
@@ -366,11 +366,13 @@ QUERIES: dict[str, Q] = {
 }
 
 
-def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded to ``digits``, so that the order of additions cannot show."""
+def comparable(df: DataFrame) -> DataFrame:
+    """Doubles rounded as in the SQL, so that the order of additions cannot show."""
+
+    def rounded(name: str) -> Column:
+        value = F.col(name) * NUDGE
+        return F.when(F.abs(value) < 1e6, F.round(value, 6)).otherwise(F.round(value, 2))
+
     return df.select(
-        *[
-            F.round(F.col(c) * NUDGE, digits).alias(c) if kind == "double" else F.col(c)
-            for c, kind in df.dtypes
-        ]
+        *[rounded(c).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes]
     )

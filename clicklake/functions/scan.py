@@ -26,26 +26,33 @@ _STEPS = [1 << bit for bit in reversed(range(SLICES.bit_length() - 1))]
 _SHARES = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys holding more than ``hot_rows`` rows and more than 1/10,000 of all rows."""
-    loads = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+def hot_keys(loads: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys whose ``_rows`` exceed both ``hot_rows`` and 1/10,000 of the total."""
     bar = loads.agg(F.greatest(F.lit(float(hot_rows)), F.sum("_rows") / MAX_HOT_KEYS))
     return loads.where(F.col("_rows") > bar.scalar()).select(*keys)
 
 
 def slice_hot_keys(
-    df: DataFrame, keys: Sequence[str], position: Column, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    hot_rows: int = HOT_ROWS,
+    loads: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_slice`` (0 for ordinary keys) and ``_hot``.
 
     ``position`` is a number that never decreases along the scan order. Cut
     points are approximate quantiles of it, so slices hold similar row counts
     for any distribution; the result does not depend on where the cuts fall.
+    ``loads`` (keys, ``_rows``) may give row counts per key, or upper bounds of
+    them, where they are cheaper to get than by counting ``df``.
     """
+    if loads is None:
+        loads = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     pos = position.cast("double")
     cuts = (
         df.select(*keys, pos.alias("_pos"))
-        .join(F.broadcast(hot_keys(df, keys, hot_rows)), list(keys), "left_semi")
+        .join(F.broadcast(hot_keys(loads, keys, hot_rows)), list(keys), "left_semi")
         .groupBy(*keys)
         .agg(
             F.expr(f"percentile_approx(_pos, array({_SHARES}), {20 * SLICES})").alias("_cuts")
@@ -74,6 +81,7 @@ def scan(
     previous: Mapping[str, Column] | None = None,
     carried: Mapping[str, Column] | None = None,
     hot_rows: int = HOT_ROWS,
+    loads: DataFrame | None = None,
 ) -> DataFrame:
     """Running results per key along ``order``, which must be a total order.
 
@@ -81,7 +89,7 @@ def scan(
     ``previous``  value of the row before, null on the first row of the key
     ``carried``   last non-null value up to and including the row
     """
-    sliced = slice_hot_keys(df, keys, position, hot_rows)
+    sliced = slice_hot_keys(df, keys, position, hot_rows, loads)
     return scan_slices(
         sliced, keys, order, sums=sums, previous=previous, carried=carried
     ).drop("_hot", "_slice")

@@ -77,9 +77,11 @@ def ranked_values(long: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
     counts = long.groupBy(*keys, "value").agg(
         F.count_if("is_control").alias("c"), F.count_if(~F.col("is_control")).alias("e")
     )
+    # The sample size bounds the number of distinct values and combines on the map side.
+    loads = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return scan(
         counts, list(keys), ["value"], F.col("value"),
-        sums={"upto_c": F.col("c"), "upto_e": F.col("e")}, hot_rows=hot_rows,
+        sums={"upto_c": F.col("c"), "upto_e": F.col("e")}, hot_rows=hot_rows, loads=loads,
     )
 
 

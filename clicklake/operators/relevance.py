@@ -24,6 +24,28 @@ def dwell_gain(column: str = "dwell_time") -> Column:
     return F.least(F.coalesce(F.col(column), F.lit(0.0)) / 60.0, F.lit(1.0))
 
 
+def _found(gain: Column, k: int) -> Column:
+    hit = F.col("clicked") & (F.col("position") <= k)
+    return F.when(hit, gain / F.log2(F.col("position") + 1)).otherwise(F.lit(0.0))
+
+
+def unit_dcg(k: int) -> Column:
+    """Aggregate over the results of a query: DCG at k when every click gains 1."""
+    return F.sum(_found(F.lit(1.0), k))
+
+
+def unit_ideal(clicks: Column, k: int) -> Column:
+    """Ideal DCG at k of a query with that many clicks, each gaining 1."""
+    ladder = [sum(1.0 / math.log2(i + 2) for i in range(n)) for n in range(k + 1)]
+    return F.element_at(
+        F.array(*[F.lit(v) for v in ladder]), F.least(clicks, F.lit(k)).cast("int") + 1
+    )
+
+
+def share_of_ideal(dcg: Column, ideal: Column) -> Column:
+    return F.when(ideal > 0, dcg / ideal).otherwise(F.lit(0.0))
+
+
 def ndcg(
     results: DataFrame,
     ks: Sequence[int] = (10,),
@@ -38,48 +60,37 @@ def ndcg(
     query matter; that limit is applied before the shuffle.
     """
     key = [*by, "query_id"]
-    top = max(ks)
     clicked = F.col("clicked")
-    value = F.lit(1.0) if gain is None else gain
     rows = results.where(F.col("query_id").isNotNull())
-
-    def found(k: int) -> Column:
-        hit = clicked & (F.col("position") <= k)
-        return F.when(hit, value / F.log2(F.col("position") + 1)).otherwise(F.lit(0.0))
-
     if gain is None:
         per_query = rows.groupBy(*key).agg(
             F.count_if(clicked).alias("click_count"),
-            *[F.sum(found(k)).alias(f"_dcg_{k}") for k in ks],
+            *[unit_dcg(k).alias(f"_dcg_{k}") for k in ks],
         )
-        best = [sum(1.0 / math.log2(i + 2) for i in range(n)) for n in range(top + 1)]
-        for k in ks:
-            at = F.least(F.col("click_count"), F.lit(k)).cast("int") + 1
-            ladder = F.array(*[F.lit(v) for v in best[: k + 1]])
-            per_query = per_query.withColumn(f"_ideal_{k}", F.element_at(ladder, at))
+        ideal = {k: unit_ideal(F.col("click_count"), k) for k in ks}
     else:
         terms = rows.select(
             *key,
             clicked.cast("long").alias("_clicks"),
-            *[found(k).alias(f"_dcg_{k}") for k in ks],
+            *[_found(gain, k).alias(f"_dcg_{k}") for k in ks],
             *[F.lit(0.0).alias(f"_ideal_{k}") for k in ks],
         )
         best_first = Window.partitionBy(*key).orderBy(F.col("_gain").desc())
-        ideal = (
+        largest = (
             rows.where(clicked)
-            .select(*key, value.alias("_gain"))
+            .select(*key, gain.alias("_gain"))
             .withColumn("_nth", F.row_number().over(best_first))
-            .where(F.col("_nth") <= top)
+            .where(F.col("_nth") <= max(ks))
         )
         share = F.col("_gain") / F.log2(F.col("_nth") + 1)
-        ideal = ideal.select(
+        largest = largest.select(
             *key,
             F.lit(0).cast("long").alias("_clicks"),
             *[F.lit(0.0).alias(f"_dcg_{k}") for k in ks],
             *[F.when(F.col("_nth") <= k, share).otherwise(F.lit(0.0)).alias(f"_ideal_{k}") for k in ks],
         )
         per_query = (
-            terms.unionByName(ideal)
+            terms.unionByName(largest)
             .groupBy(*key)
             .agg(
                 F.sum("_clicks").alias("click_count"),
@@ -87,15 +98,11 @@ def ndcg(
                 *[F.sum(f"_ideal_{k}").alias(f"_ideal_{k}") for k in ks],
             )
         )
+        ideal = {k: F.col(f"_ideal_{k}") for k in ks}
     return per_query.select(
         *key,
         "click_count",
-        *[
-            F.when(F.col(f"_ideal_{k}") > 0, F.col(f"_dcg_{k}") / F.col(f"_ideal_{k}"))
-            .otherwise(F.lit(0.0))
-            .alias(f"ndcg_{k}")
-            for k in ks
-        ],
+        *[share_of_ideal(F.col(f"_dcg_{k}"), ideal[k]).alias(f"ndcg_{k}") for k in ks],
     )
 
 

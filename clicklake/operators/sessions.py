@@ -7,7 +7,7 @@ session with a large share of the log is spread over its queries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklake.functions.numeric import (
@@ -234,17 +234,15 @@ NEGATIVE_WEIGHTS = {"avg_search_latency_ms": 0.1, "avg_first_click_position": 0.
 
 def quality_score(daily: DataFrame) -> DataFrame:
     """Weighted 0-100 score per date, each figure relative to its largest value."""
-    columns = [*POSITIVE_WEIGHTS, *NEGATIVE_WEIGHTS]
-    tops = daily.agg(F.struct(*[F.max(c).alias(c) for c in columns])).scalar()
-    scored = daily.select("date", *columns, tops.alias("_top"))
+    everything = Window.partitionBy()  # one row per date
 
-    def share(name: str):
-        return F.try_divide(F.col(name), F.col("_top")[name])
+    def share(name: str) -> Column:
+        return F.try_divide(F.col(name), F.max(name).over(everything))
 
     score = sum(
         (share(n) * F.lit(w) for n, w in POSITIVE_WEIGHTS.items()), start=F.lit(0.0)
     ) + sum(((1 - share(n)) * F.lit(w) for n, w in NEGATIVE_WEIGHTS.items()), start=F.lit(0.0))
-    return scored.select("date", (score * 100).alias("search_quality_score"))
+    return daily.select("date", (score * 100).alias("search_quality_score"))
 
 
 def summary_statistics(queries: DataFrame) -> DataFrame:

@@ -50,10 +50,10 @@ def ctr_anomalies(
 
 
 def overview(star: Star, start: str, end: str) -> Page:
-    daily = reports.daily_metrics(star.daily_metrics, start, end)
+    daily = reports.daily_rows(star.daily_metrics, start, end)
     return {
         "kpis": overview_kpis(daily),
-        "daily": daily,
+        "daily": daily.orderBy("date"),
         "top_queries": reports.top_queries(star.search_queries, start, end, 10),
         "devices": reports.device_type_distribution(star.search_sessions, start, end),
     }
@@ -77,7 +77,7 @@ def user_engagement(star: Star, start: str, end: str) -> Page:
 
 
 def result_quality(star: Star, start: str, end: str) -> Page:
-    daily = reports.daily_metrics(star.daily_metrics, start, end)
+    daily = reports.daily_rows(star.daily_metrics, start, end)
     return {
         "ndcg": mean_ndcg(daily),
         "ndcg_trend": series.trend_line(
@@ -105,7 +105,7 @@ def segmentation(star: Star, start: str, end: str) -> Page:
 
 
 def trends_anomalies(star: Star, start: str, end: str) -> Page:
-    daily = reports.daily_metrics(star.daily_metrics, start, end)
+    daily = reports.daily_rows(star.daily_metrics, start, end)
     return {"ctr": ctr_anomalies(daily)}
 
 

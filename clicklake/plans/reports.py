@@ -27,13 +27,18 @@ def _on(ts: str, start: str, end: str) -> Column:
     return _between(F.to_date(ts), start, end)
 
 
-def daily_metrics(
-    daily: DataFrame, start: str, end: str, segment: str | None = None
-) -> DataFrame:
+def daily_rows(daily: DataFrame, start: str, end: str, segment: str | None = None) -> DataFrame:
+    """Rows of the daily table in a date range, in no particular order."""
     rows = daily.where(_between(F.col("date"), start, end))
     if segment:
         rows = rows.where(F.col("user_segment") == segment)
-    return rows.select(*schemas.DAILY_METRICS.fieldNames()).orderBy("date")
+    return rows.select(*schemas.DAILY_METRICS.fieldNames())
+
+
+def daily_metrics(
+    daily: DataFrame, start: str, end: str, segment: str | None = None
+) -> DataFrame:
+    return daily_rows(daily, start, end, segment).orderBy("date")
 
 
 def session_details(sessions: DataFrame, queries: DataFrame, session_id: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from clicklake import schemas
 from clicklake.functions.numeric import seconds_between
 from clicklake.operators.reformulation import with_previous_query
-from clicklake.operators.relevance import ndcg
+from clicklake.operators.relevance import share_of_ideal, unit_dcg, unit_ideal
 
 
 @dataclass(frozen=True)
@@ -34,13 +34,14 @@ class Star:
 
 
 def query_facts(queries: DataFrame, results: DataFrame) -> DataFrame:
-    """One row per query with its result and click figures (none shown: zeros)."""
+    """One row per query with its result and click figures and NDCG@10 (none shown: zeros)."""
     clicked = F.col("clicked")
     shown = results.groupBy("query_id").agg(
         F.count(F.lit(1)).alias("_results"),
         F.count_if(clicked).alias("_clicks"),
         F.min(F.when(clicked, F.col("time_to_click"))).alias("time_to_first_click"),
         F.max(F.when(clicked, F.col("position"))).alias("max_click_position"),
+        unit_dcg(10).alias("_dcg"),
     )
     zero = F.lit(0).cast("long")
     return queries.join(shown, "query_id", "left").select(
@@ -50,6 +51,9 @@ def query_facts(queries: DataFrame, results: DataFrame) -> DataFrame:
         (F.coalesce("_clicks", zero) > 0).alias("has_click"),
         "time_to_first_click",
         "max_click_position",
+        F.coalesce(
+            share_of_ideal(F.col("_dcg"), unit_ideal(F.col("_clicks"), 10)), F.lit(0.0)
+        ).alias("ndcg_10"),
     )
 
 
@@ -84,14 +88,10 @@ def search_results(results: DataFrame) -> DataFrame:
     return results.select(*schemas.SEARCH_RESULTS.fieldNames())
 
 
-def daily_metrics(facts: DataFrame, results: DataFrame, users: DataFrame) -> DataFrame:
+def daily_metrics(facts: DataFrame, users: DataFrame) -> DataFrame:
     """Per date, user segment and device: totals, means over queries and mean NDCG@10."""
-    graded = ndcg(results, (10,)).select("query_id", "ndcg_10")
-    rows = (
-        facts.join(graded, "query_id", "left")
-        .join(users.select("user_id", "user_segment", "device_type"), "user_id", "left")
-        .withColumn("date", F.to_date("timestamp"))
-    )
+    attributes = users.select("user_id", "user_segment", "device_type")
+    rows = facts.join(attributes, "user_id", "left").withColumn("date", F.to_date("timestamp"))
     keys = ["date", "user_segment", "device_type"]
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
@@ -107,7 +107,7 @@ def daily_metrics(facts: DataFrame, results: DataFrame, users: DataFrame) -> Dat
         ),
         (1 - ctr).alias("zero_click_rate"),
         F.avg("max_click_position").alias("click_depth"),
-        F.avg(F.coalesce("ndcg_10", F.lit(0.0))).alias("avg_ndcg"),
+        F.avg("ndcg_10").alias("avg_ndcg"),
     )
 
 
@@ -119,6 +119,6 @@ def build(
         search_sessions(facts, users),
         search_queries(facts),
         search_results(results),
-        daily_metrics(facts, results, users),
+        daily_metrics(facts, users),
         ab_tests,
     )
