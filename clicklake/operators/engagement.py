@@ -15,7 +15,13 @@ from clicklake.functions.numeric import (
 )
 from clicklake.functions.period import period_label
 from clicklake.functions.quantiles import exact_percentile
-from clicklake.operators.sessions import QUERY_KEY, clicks, searches, session_base
+from clicklake.operators.sessions import (
+    QUERY_KEY,
+    clicks,
+    searches,
+    session_base,
+    session_totals,
+)
 
 
 def _with_period(rows: DataFrame, by: Sequence[str], period: str | None) -> tuple[DataFrame, list]:
@@ -281,35 +287,22 @@ def user_engagement_segments(events: DataFrame) -> DataFrame:
     )
 
 
-def one_row(*frames: DataFrame) -> DataFrame:
-    """Merge single-row frames with different columns into one row."""
-    merged = frames[0]
-    for frame in frames[1:]:
-        merged = merged.unionByName(frame, allowMissingColumns=True)
-    return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
-
-
 def engagement_summary(events: DataFrame) -> DataFrame:
-    """One row of overall click-through, click time, position and session means."""
-    kind = F.col("event_type")
-    query_key = F.when(
-        (kind == "click") & F.col(QUERY_KEY[0]).isNotNull() & F.col(QUERY_KEY[1]).isNotNull(),
-        F.struct(*QUERY_KEY),
-    )
-    position = F.when(kind == "click", F.col("click_position"))
-    overall = events.agg(
-        ratio_or_zero(F.count_distinct(query_key), F.count_if(kind == "search")).alias(
-            "overall_ctr"
-        ),
-        F.avg(position).alias("avg_click_position"),
-        F.try_divide(F.count_if(position <= 3), F.count_if(kind == "click")).alias(
-            "top_3_click_rate"
+    """One row of overall click-through, click time, position and session means.
+
+    Everything is summed per query, then per session, then overall.
+    """
+    seconds, repeats = F.col("session.seconds"), F.col("session.repeats")
+    session = F.col("session").isNotNull()
+    score = _score(F.col("searches"), F.col("clicks"), seconds, repeats)
+    return session_totals(events).agg(
+        ratio_or_zero(F.sum("clicked_queries"), F.sum("searches")).alias("overall_ctr"),
+        F.try_divide(F.sum("pair_micros").cast("double"), F.sum("pairs") * 1e6).alias(
+            "avg_time_to_click"
         ),
+        F.try_divide(F.sum("position_sum"), F.sum("position_count")).alias("avg_click_position"),
+        F.try_divide(F.sum("top_3"), F.sum("clicks")).alias("top_3_click_rate"),
+        F.avg(seconds).alias("avg_session_duration"),
+        F.avg(F.when(session, F.col("searches"))).alias("avg_queries_per_session"),
+        F.avg(F.when(session, score)).alias("avg_engagement_score"),
     )
-    waits = search_click_pairs(events).agg(F.avg("time_to_click").alias("avg_time_to_click"))
-    session = session_engagement(events).agg(
-        F.avg("session_duration_seconds").alias("avg_session_duration"),
-        F.avg("num_queries").alias("avg_queries_per_session"),
-        F.avg("engagement_score").alias("avg_engagement_score"),
-    )
-    return one_row(overall, waits, session)

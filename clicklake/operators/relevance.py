@@ -7,7 +7,7 @@ are constant within a query and a session, to get one result per value.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,63 +59,76 @@ def ndcg(
     clicks only. With a ``gain`` column, only the ``max(ks)`` largest gains of a
     query matter; that limit is applied before the shuffle.
     """
-    key = [*by, "query_id"]
-    clicked = F.col("clicked")
-    rows = results.where(F.col("query_id").isNotNull())
-    if gain is None:
-        per_query = rows.groupBy(*key).agg(
-            F.count_if(clicked).alias("click_count"),
-            *[unit_dcg(k).alias(f"_dcg_{k}") for k in ks],
-        )
-        ideal = {k: unit_ideal(F.col("click_count"), k) for k in ks}
-    else:
-        terms = rows.select(
-            *key,
-            clicked.cast("long").alias("_clicks"),
-            *[_found(gain, k).alias(f"_dcg_{k}") for k in ks],
-            *[F.lit(0.0).alias(f"_ideal_{k}") for k in ks],
-        )
-        best_first = Window.partitionBy(*key).orderBy(F.col("_gain").desc())
-        largest = (
-            rows.where(clicked)
-            .select(*key, gain.alias("_gain"))
-            .withColumn("_nth", F.row_number().over(best_first))
-            .where(F.col("_nth") <= max(ks))
-        )
+    known = results.where(F.col("query_id").isNotNull())
+    if gain is not None:
+        return _graded(known, ks, gain, by)
+    per_query = known.groupBy(*by, "query_id").agg(
+        F.count_if("clicked").alias("click_count"),
+        *[unit_dcg(k).alias(f"_dcg_{k}") for k in ks],
+    )
+    clicks = F.col("click_count")
+    return per_query.select(
+        *by,
+        "query_id",
+        "click_count",
+        *[share_of_ideal(F.col(f"_dcg_{k}"), unit_ideal(clicks, k)).alias(f"ndcg_{k}") for k in ks],
+    )
+
+
+def _graded(
+    results: DataFrame,
+    ks: Sequence[int],
+    gain: Column,
+    by: Sequence[str],
+    extra: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """NDCG with a gain column per query, plus ``extra`` aggregates over its results.
+
+    The largest gains join the results as additional rows whose other columns are
+    null, so one grouping by query yields everything.
+    """
+    key, extra = [*by, "query_id"], dict(extra or {})
+    best_first = Window.partitionBy(*key).orderBy(F.col("_gain").desc())
+    largest = (
+        results.where("clicked")
+        .select(*key, gain.alias("_gain"))
+        .withColumn("_nth", F.row_number().over(best_first))
+        .where(F.col("_nth") <= max(ks))
+    )
+    shown = results.select(
+        *key, "position", "timestamp", "clicked", gain.alias("_gain"), F.lit(None).cast("int").alias("_nth")
+    )
+    rows = shown.unionByName(largest, allowMissingColumns=True)
+
+    def ideal(k: int) -> Column:
         share = F.col("_gain") / F.log2(F.col("_nth") + 1)
-        largest = largest.select(
-            *key,
-            F.lit(0).cast("long").alias("_clicks"),
-            *[F.lit(0.0).alias(f"_dcg_{k}") for k in ks],
-            *[F.when(F.col("_nth") <= k, share).otherwise(F.lit(0.0)).alias(f"_ideal_{k}") for k in ks],
-        )
-        per_query = (
-            terms.unionByName(largest)
-            .groupBy(*key)
-            .agg(
-                F.sum("_clicks").alias("click_count"),
-                *[F.sum(f"_dcg_{k}").alias(f"_dcg_{k}") for k in ks],
-                *[F.sum(f"_ideal_{k}").alias(f"_ideal_{k}") for k in ks],
-            )
-        )
-        ideal = {k: F.col(f"_ideal_{k}") for k in ks}
+        return F.sum(F.when(F.col("_nth") <= k, share))
+
+    per_query = rows.groupBy(*key).agg(
+        F.count_if("clicked").alias("click_count"),
+        *[F.sum(_found(F.col("_gain"), k)).alias(f"_dcg_{k}") for k in ks],
+        *[F.coalesce(ideal(k), F.lit(0.0)).alias(f"_ideal_{k}") for k in ks],
+        *[column.alias(name) for name, column in extra.items()],
+    )
     return per_query.select(
         *key,
         "click_count",
-        *[share_of_ideal(F.col(f"_dcg_{k}"), ideal[k]).alias(f"ndcg_{k}") for k in ks],
+        *[share_of_ideal(F.col(f"_dcg_{k}"), F.col(f"_ideal_{k}")).alias(f"ndcg_{k}") for k in ks],
+        *extra,
     )
 
 
+def _first_position() -> Column:
+    """Aggregate: position of the earliest click, null without clicks."""
+    return F.min_by("position", F.when(F.col("clicked"), F.struct("timestamp", "position")))
+
+
 def _first_positions(results: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Per query the position of the earliest click, null without clicks."""
-    clicked_at = F.when(F.col("clicked"), F.struct("timestamp", "position"))
     return (
         results.where(F.col("query_id").isNotNull())
         .groupBy(*by, "query_id")
-        .agg(
-            F.min_by("position", clicked_at).alias("first_position"),
-            F.coalesce(F.bool_or("clicked"), F.lit(False)).alias("any_click"),
-        )
+        .agg(_first_position().alias("first_position"), F.count_if("clicked").alias("click_count"))
+        .withColumn("any_click", F.col("click_count") > 0)
     )
 
 
@@ -220,33 +233,38 @@ def satisfaction_score(results: DataFrame) -> DataFrame:
 
 
 def ranking_quality(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row: MRR, NDCG@10 (dwell gain, clicked queries), success, position, first-rank CTR."""
-    firsts = _first_positions(results, by).select(
-        *by,
-        "query_id",
-        _reciprocal(F.col("first_position")).alias("_reciprocal"),
-        F.col("any_click"),
-    )
-    graded = ndcg(results, (10,), dwell_gain(), by).select(*by, "query_id", "click_count", "ndcg_10")
-    per_query = _totals(
-        firsts.join(graded, [*by, "query_id"]),
+    """One row: MRR, NDCG@10 (dwell gain, clicked queries), success, position, first-rank CTR.
+
+    All of it is summed per query first. Results without a query id count in the
+    position figures only.
+    """
+    clicked, first = F.col("clicked"), F.col("position") == 1
+    per_query = _graded(
+        results,
+        (10,),
+        dwell_gain(),
         by,
-        F.avg("_reciprocal").alias("mrr"),
-        F.coalesce(F.avg(F.when(F.col("click_count") > 0, F.col("ndcg_10"))), F.lit(0.0)).alias(
-            "ndcg"
-        ),
-        mean_of_flag(F.col("any_click")).alias("successful_query_rate"),
+        {
+            "_first_position": _first_position(),
+            "_positions": F.sum(F.when(clicked, F.col("position"))),
+            "_first_shown": F.count_if(first & clicked.isNotNull()),
+            "_first_clicked": F.count_if(first & clicked),
+        },
     )
-    clicked = F.col("clicked")
-    per_result = _totals(
-        results,
+    query, any_click = F.col("query_id").isNotNull(), F.col("click_count") > 0
+    return _totals(
+        per_query,
         by,
-        F.coalesce(F.avg(F.when(clicked, F.col("position"))), F.lit(0.0)).alias(
-            "avg_click_position"
-        ),
-        F.avg(F.when(F.col("position") == 1, clicked.cast("int"))).alias("first_position_ctr"),
+        F.coalesce(
+            F.avg(F.when(query, _reciprocal(F.col("_first_position")))), F.lit(0.0)
+        ).alias("mrr"),
+        F.coalesce(F.avg(F.when(query & any_click, F.col("ndcg_10"))), F.lit(0.0)).alias("ndcg"),
+        F.avg(F.when(query, any_click.cast("int"))).alias("successful_query_rate"),
+        F.coalesce(
+            F.try_divide(F.sum("_positions"), F.sum("click_count")), F.lit(0.0)
+        ).alias("avg_click_position"),
+        F.try_divide(F.sum("_first_clicked"), F.sum("_first_shown")).alias("first_position_ctr"),
     )
-    return merge_measures([per_query, per_result], by)
 
 
 def merge_measures(frames: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:

@@ -42,7 +42,7 @@ def _per_query(events: DataFrame) -> DataFrame:
     ts = F.col("timestamp")
     first = F.when(is_search, F.struct("timestamp", "event_id"))
     return (
-        events.where(F.col("session_id").isNotNull() & (is_search | is_click))
+        events.where(is_search | is_click)
         .groupBy(*QUERY_KEY)
         .agg(
             F.count_if(is_search).alias("searches"),
@@ -56,60 +56,94 @@ def _per_query(events: DataFrame) -> DataFrame:
             F.count_if(is_click).alias("clicks"),
             F.count_if(is_click & F.col("is_satisfied")).alias("satisfied"),
             F.min(F.when(is_click, ts)).alias("first_click"),
+            F.sum(F.when(is_click, _exact(epoch_micros(ts)))).alias("click_micros"),
+            F.sum(F.when(is_click, F.col("click_position"))).alias("position_sum"),
+            F.count(F.when(is_click, F.col("click_position"))).alias("position_count"),
+            F.count_if(is_click & (F.col("click_position") <= 3)).alias("top_3"),
         )
     )
 
 
-def session_base(events: DataFrame) -> DataFrame:
-    """Counts, clock span and first-row attributes of sessions with a search."""
-    waited = F.when(
-        F.col("first_click").isNotNull() & (F.col("searches") > 0) & F.col(QUERY_KEY[1]).isNotNull(),
-        _exact(F.col("searches")) * _exact(epoch_micros(F.col("first_click")))
-        - F.col("search_micros"),
-    )
-    per_session = (
+def _session_rows(events: DataFrame) -> DataFrame:
+    """Sums per session id, also for ids without a search and for the null id.
+
+    ``waited`` and ``answered`` are over searches and their first click,
+    ``pair_micros`` and ``pairs`` over all pairs of a search and a click of one query.
+    """
+    keyed = F.col("session_id").isNotNull() & F.col(QUERY_KEY[1]).isNotNull()
+    matched = keyed & (F.col("searches") > 0) & (F.col("clicks") > 0)
+    shown, hit = _exact(F.col("searches")), _exact(F.col("clicks"))
+    waited = shown * _exact(epoch_micros(F.col("first_click"))) - F.col("search_micros")
+    apart = shown * F.col("click_micros") - hit * F.col("search_micros")
+    sums = [
+        "searches", "clicks", "satisfied", "length_sum", "length_count", "position_sum",
+        "position_count", "top_3",
+    ]
+    return (
         _per_query(events)
         .groupBy("session_id")
         .agg(
             F.min_by("who", "first_key").alias("who"),
             F.min("first_search").alias("session_start"),
             F.max("last_search").alias("session_end"),
-            F.sum("searches").alias("num_queries"),
-            F.sum("clicks").alias("num_clicks"),
-            F.sum("satisfied").alias("satisfied"),
-            F.sum("length_sum").alias("length_sum"),
-            F.sum("length_count").alias("length_count"),
-            F.sum(waited).alias("waited_micros"),
-            F.sum(F.when(waited.isNotNull(), F.col("searches"))).alias("answered"),
+            *[F.sum(c).alias(c) for c in sums],
+            F.sum(F.when(matched, waited)).alias("waited_micros"),
+            F.sum(F.when(matched, F.col("searches"))).alias("answered"),
+            F.count_if(keyed & (F.col("clicks") > 0)).alias("clicked_queries"),
+            F.sum(F.when(matched, apart)).alias("pair_micros"),
+            F.sum(F.when(matched, F.col("searches") * F.col("clicks"))).alias("pairs"),
         )
-        .where(F.col("num_queries") > 0)
     )
+
+
+def _with_texts(session_rows: DataFrame, events: DataFrame) -> DataFrame:
+    """Add the distinct query texts, and what follows from the sums, per session."""
     texts = searches(events).groupBy("session_id").agg(
         F.count_distinct("query").alias("unique_queries")
     )
-    return per_session.join(texts, "session_id").select(
-        "session_id",
-        F.col("who.user_id").alias("user_id"),
-        F.col("who.user_segment").alias("user_segment"),
-        F.col("who.device_type").alias("device_type"),
-        "session_start",
-        seconds_between(F.col("session_start"), F.col("session_end")).alias(
-            "session_duration_seconds"
-        ),
-        "num_queries",
-        "num_clicks",
-        "satisfied",
-        F.try_divide("length_sum", "length_count").alias("avg_query_length"),
-        "unique_queries",
-        ((F.col("num_queries") - F.col("unique_queries")) / F.col("num_queries")).alias(
-            "reformulation_rate"
-        ),
-        (F.col("waited_micros").cast("double") / F.col("answered") / F.lit(1e6)).alias(
-            "avg_time_to_click"
-        ),
+    queries = F.col("searches")
+    return session_rows.join(texts, "session_id", "left").select(
+        "*",
+        F.when(
+            F.col("session_id").isNotNull() & (queries > 0),
+            F.struct(
+                seconds_between(F.col("session_start"), F.col("session_end")).alias("seconds"),
+                ((queries - F.col("unique_queries")) / queries).alias("repeats"),
+            ),
+        ).alias("session"),
+    )
+
+
+def session_base(events: DataFrame) -> DataFrame:
+    """Counts, clock span and first-row attributes of sessions with a search."""
+    return (
+        _with_texts(_session_rows(events), events)
+        .where(F.col("session").isNotNull())
+        .select(
+            "session_id",
+            F.col("who.user_id").alias("user_id"),
+            F.col("who.user_segment").alias("user_segment"),
+            F.col("who.device_type").alias("device_type"),
+            "session_start",
+            F.col("session.seconds").alias("session_duration_seconds"),
+            F.col("searches").alias("num_queries"),
+            F.col("clicks").alias("num_clicks"),
+            "satisfied",
+            F.try_divide("length_sum", "length_count").alias("avg_query_length"),
+            "unique_queries",
+            F.col("session.repeats").alias("reformulation_rate"),
+            (F.col("waited_micros").cast("double") / F.col("answered") / F.lit(1e6)).alias(
+                "avg_time_to_click"
+            ),
+        )
     )
 
 
+def session_totals(events: DataFrame) -> DataFrame:
+    """``_session_rows`` with the distinct texts: the input of the engagement summary."""
+    return _with_texts(_session_rows(events), events)
+
+
 def session_metrics(events: DataFrame) -> DataFrame:
     """One row per session with at least one search."""
     return session_base(events).select(

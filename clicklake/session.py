@@ -21,6 +21,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # Do not record the Python call site of every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
