@@ -447,6 +447,15 @@ ORACLES: dict[str, str] = {
         """select user_segment, count(*) as clicks, avg(time_on_result_seconds) as avg_seconds
         from c where device_type = 'mobile' and click_position <= 5 group by 1"""
     ),
+    "s5_insert_dataframe": _star(
+        "select session_id, start_time, total_queries, session_duration from sessions"
+    ),
+    "s6_duplicate_keys": _res(
+        "select document_id, count(*) as rows from res group by 1 having count(*) > 1"
+    ),
+    "s9_insert_select": _star(
+        "select session_id, browser, total_clicks from sessions where device_type = 'mobile'"
+    ),
     "s10_free_sql": _star(
         """select browser, count(*) as sessions, cast(sum(total_clicks) as bigint) as clicks
         from sessions where total_queries > 1 group by 1"""
@@ -525,6 +534,12 @@ ORACLES: dict[str, str] = {
         avg(session_duration_seconds) as avg_session_duration, avg(num_queries) as avg_queries_per_session,
         avg(engagement_score) as avg_engagement_score from eng"""
     ),
+    "e10_ctr_overall": _ev(
+        """select *, searches_with_clicks / total_searches as click_through_rate,
+        searches_with_clicks / total_searches * 100 as ctr_percentage
+        from (select (select count(*) from s) as total_searches,
+          count(distinct (session_id, query_index_in_session)) as searches_with_clicks from c)"""
+    ),
     "e10_ctr_by_segment": _ev(_ctr(None, ("user_segment", "device_type"))),
     "e10_zero_click_rate": _ev(
         f"""select device_type, total_searches, 1 - click_through_rate as zero_click_rate
@@ -812,6 +827,13 @@ ORACLES: dict[str, str] = {
     + _ctr(None, ("time_of_day",)).replace("from s group", "from tod where event_type = 'search' group").replace(
         "from c c group", "from tod where event_type = 'click' group"
     ),
+    "c12_location": "with "
+    + EVENT_LOG
+    + """, loc as (select log.*, n_name as location from log join customer on c_custkey = user_id
+        left join nation on n_nationkey = c_nationkey) """
+    + _ctr(None, ("location",)).replace("from s group", "from loc where event_type = 'search' group").replace(
+        "from c c group", "from loc where event_type = 'click' group"
+    ),
     "c13_ndcg_distribution": _res(
         """select ndcg_range, count(*) as query_count, count(*) / sum(count(*)) over () as share
         from (select case when ndcg < 0.2 then '0.0-0.2' when ndcg < 0.4 then '0.2-0.4'

@@ -54,6 +54,40 @@ def _s4(i: Inputs) -> DataFrame:
     )
 
 
+def _fresh_table(i: Inputs, name: str, columns: dict[str, str]) -> str:
+    """An empty table of the catalog with its files in the shared folder."""
+    i.spark.sql(f"drop table if exists {name}")
+    catalog.create_table(i.spark, name, columns, location=f"{shared_folder(i.spark)}/{name}")
+    return name
+
+
+def _s5(i: Inputs) -> DataFrame:
+    table = _fresh_table(
+        i, "inserted_sessions",
+        {"session_id": "TEXT", "start_time": "TIMESTAMP", "total_queries": "INTEGER",
+         "session_duration": "REAL"},
+    )
+    columns = ["total_queries", "session_id", "session_duration", "start_time"]
+    half = F.col("total_clicks") > 2
+    catalog.insert_dataframe(i.search_sessions.where(half).select(*columns), table)
+    catalog.insert_dataframe(i.search_sessions.where(~half).select(*columns), table)
+    return i.spark.table(table)
+
+
+def _s9(i: Inputs) -> DataFrame:
+    table = _fresh_table(
+        i, "mobile_sessions", {"session_id": "TEXT", "browser": "TEXT", "total_clicks": "INTEGER"}
+    )
+    i.search_sessions.createOrReplaceTempView("search_sessions")
+    catalog.execute(
+        i.spark,
+        f"""insert into {table} select session_id, browser, total_clicks from search_sessions
+            where device_type = :device""",
+        {"device": "mobile"},
+    )
+    return i.spark.table(table)
+
+
 def _s10(i: Inputs) -> DataFrame:
     i.search_sessions.createOrReplaceTempView("search_sessions")
     return catalog.execute(
@@ -152,6 +186,9 @@ QUERIES: dict[str, Q] = {
     "s1_csv_round_trip": _s1,
     "s2_saved_metrics": _s2,
     "s4_named_parameters": _s4,
+    "s5_insert_dataframe": _s5,
+    "s6_duplicate_keys": lambda i: catalog.duplicate_keys(i.search_results, "document_id"),
+    "s9_insert_select": _s9,
     "s10_free_sql": _s10,
     # reporting tables
     "t1_search_sessions": lambda i: star.search_sessions(
@@ -204,6 +241,7 @@ QUERIES: dict[str, Q] = {
     "e5_result_engagement_weekly": lambda i: engagement.result_engagement(i.events, "weekly"),
     "e6_user_segments": lambda i: engagement.user_engagement_segments(i.events),
     "e9_engagement_summary": lambda i: engagement.engagement_summary(i.events),
+    "e10_ctr_overall": lambda i: engagement.click_through_rate(i.events, period=None),
     "e10_ctr_by_segment": lambda i: engagement.click_through_rate(
         i.events, ["user_segment", "device_type"], period=None
     ),
@@ -362,6 +400,9 @@ QUERIES: dict[str, Q] = {
     "c11_ctr_week_start": lambda i: engagement.click_through_rate(i.events, [], "week"),
     "c12_user_type": _c12_user_type,
     "c12_time_of_day": _c12_time_of_day,
+    "c12_location": lambda i: engagement.click_through_rate(
+        i.events.join(i.users.select("user_id", "location"), "user_id"), ["location"], period=None
+    ),
     "c13_ndcg_distribution": lambda i: relevance.ndcg_distribution(i.results),
 }
 

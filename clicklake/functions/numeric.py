@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,3 +41,12 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 def capped(column: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), column))
+
+
+def merge_measures(frames: Sequence[DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """Put the measures of frames with one row per ``by`` value side by side."""
+    merged = frames[0]
+    for frame in frames[1:]:
+        merged = merged.unionByName(frame, allowMissingColumns=True)
+    measures = [F.max(c).alias(c) for c in merged.columns if c not in by]
+    return merged.groupBy(*by).agg(*measures) if by else merged.agg(*measures)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clicklake.functions.numeric import (
     half_even,
     mean_of_flag,
+    merge_measures,
     ratio_or_zero,
     seconds_between,
 )
@@ -44,24 +45,35 @@ def click_through_rate(
     """Searches, clicked searches and their ratio, per period and ``by``.
 
     A clicked search counts in the period of its *click*; groups without a search
-    do not appear. ``period=None`` gives the rate per ``by`` only.
+    do not appear. ``period=None`` gives the rate per ``by`` only, or overall.
     ``click_timeout`` keeps only clicks at most that many seconds after the search.
     """
     shown, keys = _with_period(searches(events), by, period)
     hit, _ = _with_period(clicks(events), by, period)
-    if click_timeout is not None:
-        asked = searches(events).select(*QUERY_KEY, F.col("timestamp").alias("_asked"))
-        late = seconds_between(F.col("_asked"), F.col("timestamp"))
-        hit = hit.join(asked, QUERY_KEY).where(late <= click_timeout)
     for key in QUERY_KEY:
         hit = hit.where(F.col(key).isNotNull())
+    if click_timeout is not None:
+        # The shortest wait is from the last search to the first click; one row per
+        # query on either side, however many clicks it has.
+        hit = hit.groupBy(*keys, *QUERY_KEY).agg(F.min("timestamp").alias("_clicked_at"))
+        asked = searches(events).groupBy(*QUERY_KEY).agg(F.max("timestamp").alias("_asked"))
+        late = seconds_between(F.col("_asked"), F.col("_clicked_at"))
+        hit = hit.join(asked, QUERY_KEY).where(late <= click_timeout)
+    rate = F.col("searches_with_clicks") / F.col("total_searches")
     if not keys:
-        raise ValueError("name a period or at least one group column")
+        totals = merge_measures(
+            [
+                shown.agg(F.count(F.lit(1)).alias("total_searches")),
+                hit.agg(F.count_distinct(F.struct(*QUERY_KEY)).alias("searches_with_clicks")),
+            ]
+        ).where(F.col("total_searches") > 0)
+        return totals.select(
+            "*", rate.alias("click_through_rate"), (rate * 100).alias("ctr_percentage")
+        )
     asked_count = shown.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_searches"))
     hit_count = hit.groupBy(*keys).agg(
         F.count_distinct(F.struct(*QUERY_KEY)).alias("searches_with_clicks")
     )
-    rate = F.col("searches_with_clicks") / F.col("total_searches")
     return (
         asked_count.join(hit_count, keys, "left")
         .withColumn("searches_with_clicks", F.coalesce("searches_with_clicks", F.lit(0).cast("long")))

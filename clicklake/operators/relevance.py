@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklake.functions.numeric import capped, mean_of_flag
+from clicklake.functions.numeric import capped, mean_of_flag, merge_measures
 
 
 def _totals(df: DataFrame, by: Sequence[str], *measures: Column) -> DataFrame:
@@ -267,15 +267,6 @@ def ranking_quality(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def merge_measures(frames: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:
-    """Put the measures of frames with one row per ``by`` value side by side."""
-    merged = frames[0]
-    for frame in frames[1:]:
-        merged = merged.unionByName(frame, allowMissingColumns=True)
-    measures = [c for c in merged.columns if c not in by]
-    return _totals(merged, by, *[F.max(c).alias(c) for c in measures])
-
-
 COMPARED = (
     "mrr", "ndcg", "successful_query_rate", "avg_click_position", "first_position_ctr",
     "avg_queries_per_session", "reformulation_rate", "abandonment_rate",

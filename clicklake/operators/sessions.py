@@ -96,13 +96,13 @@ def _session_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def _with_texts(session_rows: DataFrame, events: DataFrame) -> DataFrame:
-    """Add the distinct query texts, and what follows from the sums, per session."""
+def session_totals(events: DataFrame) -> DataFrame:
+    """``_session_rows`` with the distinct texts, and ``session``: null unless it has a search."""
     texts = searches(events).groupBy("session_id").agg(
         F.count_distinct("query").alias("unique_queries")
     )
     queries = F.col("searches")
-    return session_rows.join(texts, "session_id", "left").select(
+    return _session_rows(events).join(texts, "session_id", "left").select(
         "*",
         F.when(
             F.col("session_id").isNotNull() & (queries > 0),
@@ -117,7 +117,7 @@ def _with_texts(session_rows: DataFrame, events: DataFrame) -> DataFrame:
 def session_base(events: DataFrame) -> DataFrame:
     """Counts, clock span and first-row attributes of sessions with a search."""
     return (
-        _with_texts(_session_rows(events), events)
+        session_totals(events)
         .where(F.col("session").isNotNull())
         .select(
             "session_id",
@@ -139,11 +139,6 @@ def session_base(events: DataFrame) -> DataFrame:
     )
 
 
-def session_totals(events: DataFrame) -> DataFrame:
-    """``_session_rows`` with the distinct texts: the input of the engagement summary."""
-    return _with_texts(_session_rows(events), events)
-
-
 def session_metrics(events: DataFrame) -> DataFrame:
     """One row per session with at least one search."""
     return session_base(events).select(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklake import schemas
-from clicklake.functions.numeric import mean_of_flag
+from clicklake.plans.star import MONTH, TIME_COLUMN
 
 SERIES_METRICS = tuple(
     f.name for f in schemas.DAILY_METRICS if f.name not in ("date", "user_segment", "device_type")
@@ -23,8 +23,12 @@ def _between(day: Column, start: str, end: str) -> Column:
     return day.between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))
 
 
-def _on(ts: str, start: str, end: str) -> Column:
-    return _between(F.to_date(ts), start, end)
+def _dated(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
+    """Rows with ``ts`` in the date range; tables stored by month are pruned by it."""
+    rows = df.where(_between(F.to_date(ts), start, end))
+    if MONTH in df.columns and ts == TIME_COLUMN:
+        rows = rows.where(F.col(MONTH).between(str(start)[:7], str(end)[:7]))
+    return rows
 
 
 def daily_rows(daily: DataFrame, start: str, end: str, segment: str | None = None) -> DataFrame:
@@ -83,7 +87,7 @@ def user_sessions(sessions: DataFrame, user_id, limit: int = 10) -> DataFrame:
 def top_queries(queries: DataFrame, start: str, end: str, limit: int = 10) -> DataFrame:
     """Most frequent texts with click rate (a true ratio) and mean time to first click."""
     return (
-        queries.where(_on("timestamp", start, end))
+        _dated(queries, "timestamp", start, end)
         .groupBy("query_text")
         .agg(
             F.count(F.lit(1)).alias("query_count"),
@@ -100,7 +104,7 @@ def reformulation_patterns(
     queries: DataFrame, start: str, end: str, limit: int = 10
 ) -> DataFrame:
     """Most frequent pairs of a query text and the text that replaced it."""
-    before = queries.where(_on("timestamp", start, end)).select(
+    before = _dated(queries, "timestamp", start, end).select(
         "session_id",
         F.col("query_id").alias("reformulation_of"),
         F.col("query_text").alias("original_query"),
@@ -142,26 +146,40 @@ def engagement_by_position(
     remain and the rate is 1; ``'query'`` filters on the time of the query.
     """
     if date_basis == "click":
-        rows = results.where(_on("click_time", start, end))
+        rows = _dated(results, "click_time", start, end)
     elif date_basis == "query":
         if queries is None:
             raise ValueError("date_basis='query' needs the queries table")
-        asked = queries.where(_on("timestamp", start, end)).select("query_id")
+        asked = _dated(queries, "timestamp", start, end).select("query_id")
         rows = results.join(asked, "query_id", "left_semi")
     else:
         raise ValueError(f"date_basis must be 'click' or 'query', not {date_basis!r}")
+    measures = {
+        "impression_count": F.count(F.lit(1)),
+        "click_count": F.count_if("clicked"),
+        "_dwell": F.sum("dwell_time"),
+        "_dwells": F.count("dwell_time"),
+    }
     if segment:
         if sessions is None:
             raise ValueError("a segment filter needs the sessions table")
         chosen = sessions.where(F.col("user_segment") == segment).select("session_id")
-        rows = rows.join(chosen, "session_id", "left_semi")
+        # Fold per session before the join, so a session with many results is small.
+        rows = (
+            rows.groupBy("session_id", "position")
+            .agg(*[m.alias(n) for n, m in measures.items()])
+            .join(chosen, "session_id", "left_semi")
+        )
+        measures = {n: F.sum(n) for n in measures}
     return (
         rows.groupBy("position")
-        .agg(
-            F.count(F.lit(1)).alias("impression_count"),
-            F.count_if("clicked").alias("click_count"),
-            (F.count_if("clicked") / F.count(F.lit(1))).alias("ctr"),
-            F.avg("dwell_time").alias("avg_dwell_time"),
+        .agg(*[m.alias(n) for n, m in measures.items()])
+        .select(
+            "position",
+            "impression_count",
+            "click_count",
+            (F.col("click_count") / F.col("impression_count")).alias("ctr"),
+            F.try_divide("_dwell", "_dwells").alias("avg_dwell_time"),
         )
         .orderBy("position")
         .limit(20)
@@ -197,7 +215,7 @@ def metric_timeseries(
 
 def _distribution(sessions: DataFrame, by: str, start: str, end: str) -> DataFrame:
     counts = (
-        sessions.where(_on("start_time", start, end))
+        _dated(sessions, "start_time", start, end)
         .groupBy(by)
         .agg(
             F.count(F.lit(1)).alias("session_count"),
@@ -245,7 +263,7 @@ def low_satisfaction_queries(
     wait = F.when(F.col("has_click"), F.col("time_to_first_click"))
     rate, slow = F.col("click_rate"), F.col("avg_time_to_click")
     return (
-        queries.where(_on("timestamp", start, end))
+        _dated(queries, "timestamp", start, end)
         .join(deep, "query_id", "left")
         .withColumn("_weight", weight)
         .groupBy("query_text")
@@ -273,17 +291,18 @@ def zero_click_stats(
 ) -> DataFrame:
     """Queries without clicks per date and user segment."""
     segments = sessions.select("session_id", "user_segment")
-    missed = F.count_if(~F.col("has_click"))
+    # Fold per session and day before the join, so a session with many queries is small.
+    per_session = (
+        _dated(queries, "timestamp", start, end)
+        .groupBy("session_id", F.to_date("timestamp").alias("date"))
+        .agg(F.count(F.lit(1)).alias("_queries"), F.count_if(~F.col("has_click")).alias("_missed"))
+    )
+    missed = F.col("zero_click_count")
     return (
-        queries.where(_on("timestamp", start, end))
-        .select("session_id", F.to_date("timestamp").alias("date"), "has_click")
-        .join(segments, "session_id")
+        per_session.join(segments, "session_id")
         .groupBy("date", "user_segment")
-        .agg(
-            F.count(F.lit(1)).alias("query_count"),
-            missed.alias("zero_click_count"),
-            (missed * 100 / F.count(F.lit(1))).alias("zero_click_percentage"),
-        )
+        .agg(F.sum("_queries").alias("query_count"), F.sum("_missed").alias("zero_click_count"))
+        .withColumn("zero_click_percentage", missed * 100 / F.col("query_count"))
         .orderBy("date", "user_segment")
     )
 
@@ -299,7 +318,7 @@ def query_complexity_stats(queries: DataFrame, start: str, end: str) -> DataFram
         .otherwise(F.struct(F.lit(4), F.lit("8+ words")))
     )
     return (
-        queries.where(_on("timestamp", start, end))
+        _dated(queries, "timestamp", start, end)
         .groupBy(bucket.alias("_bucket"))
         .agg(
             F.count(F.lit(1)).alias("query_count"),

@@ -17,6 +17,10 @@ from clicklake.operators.reformulation import with_previous_query
 from clicklake.operators.relevance import share_of_ideal, unit_dcg, unit_ideal
 
 
+# Column by which ``save_by_month`` partitions, and the time it is taken from.
+MONTH, TIME_COLUMN = "month", "timestamp"
+
+
 @dataclass(frozen=True)
 class Star:
     search_sessions: DataFrame
@@ -122,3 +126,18 @@ def build(
         daily_metrics(facts, users),
         ab_tests,
     )
+
+
+def save_by_month(df: DataFrame, path: str, id_column: str) -> DataFrame:
+    """Write a table with a ``timestamp`` in folders by month and read it back.
+
+    Reports add a month condition for such tables, so only the folders of the
+    wanted range are listed and read. Rows are spread by (month, id) ranges: a
+    month with a large share of the rows is written by many tasks.
+    """
+    dated = df.withColumn(MONTH, F.date_format(TIME_COLUMN, "yyyy-MM"))
+    dated.repartitionByRange(MONTH, id_column).write.partitionBy(MONTH).parquet(path)
+    schema = f"{MONTH} string"
+    return df.sparkSession.read.schema(
+        ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", {schema}"
+    ).parquet(path)

@@ -62,8 +62,12 @@ def create_table(
     table: str,
     columns: Mapping[str, str] | T.StructType,
     primary_key: str | None = None,
+    location: str | None = None,
 ) -> None:
-    """Create an empty table unless it exists. A key is recorded, not enforced."""
+    """Create an empty table unless it exists. A key is recorded, not enforced.
+
+    ``location`` names the folder of its files; else the warehouse holds them.
+    """
     if isinstance(columns, T.StructType):
         types = {f.name: f.dataType.simpleString() for f in columns}
     else:
@@ -72,6 +76,8 @@ def create_table(
         raise ValueError(f"primary key {primary_key!r} is not a column of {table!r}")
     body = ", ".join(f"`{name}` {kind}" for name, kind in types.items())
     extra = f" TBLPROPERTIES ('primary_key' = '{primary_key}')" if primary_key else ""
+    if location is not None:
+        extra = f" LOCATION '{location}'{extra}"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(table)} ({body}) USING parquet{extra}")
 
 

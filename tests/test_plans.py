@@ -7,7 +7,7 @@ import re
 import __spark_entry__ as contract
 from checks.inputs import END, START, Inputs
 from clicklake.operators import relevance
-from clicklake.plans import reports
+from clicklake.plans import reports, star
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = contract.queries()
@@ -41,3 +41,13 @@ def test_ordinary_keys_cost_one_shuffle_of_the_rows(spark):
     summed.collect()
     final = plan(summed).split("== Initial Plan ==")[0]
     assert "Join" not in final
+
+
+def test_tables_by_month_are_pruned(spark, tmp_path):
+    queries = Inputs(spark, FOLDER).search_queries
+    stored = star.save_by_month(queries, str(tmp_path / "queries"), "query_id")
+    report = reports.top_queries(stored, START, END)
+    text = plan(report)
+    assert re.search(r"PartitionFilters: \[[^\]]*month", text)
+    assert report.collect() == reports.top_queries(queries, START, END).collect()
+    assert stored.count() == queries.count()
