@@ -174,7 +174,8 @@ def reformulation_metrics(
             F.min("timestamp").alias("timestamp"),
         )
     )
-    place = F.struct("query_id") if order_by == "query_id" else F.struct("timestamp", "query_id")
+    # A plain id keeps the aggregation hash based; a struct would need a sort.
+    place = F.col("query_id") if order_by == "query_id" else F.struct("timestamp", "query_id")
     known = F.col("query_id").isNotNull()
     per_session = per_query.groupBy(*by, "session_id").agg(
         F.count("query_id").alias("_queries"),
