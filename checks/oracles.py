@@ -207,6 +207,9 @@ def _even(expr: str, digits: int) -> str:
     return f"round_even(round(({expr}) * 1e{digits}, 6), 0) / 1e{digits}"
 
 
+# Normal quantiles at 0.975, 0.95 and 0.8.
+Z_TWO, Z_ONE, Z_POWER = 1.9599639845400536, 1.6448536269514715, 0.8416212335729144
+
 WEEK = "concat(cast(cast(date_trunc('week', d) as date) as varchar), '/', cast(cast(date_trunc('week', d) as date) + 6 as varchar))"
 MONTH = "strftime(d, '%Y-%m')"
 PERIOD = {
@@ -391,6 +394,38 @@ from arm a join arm b using (metric) join dev x using (metric) join dev y using
 where a.ctl and not b.ctl and x.ctl and not y.ctl"""
 
 
+def _rank_p(source: str, metrics: tuple[str, ...], by: str = "") -> str:
+    """Table ``rp``: Mann-Whitney p-values, the normal tail through the series of erf."""
+    keys = "metric, seg" if by else "metric"
+    seg = f"{by} as seg, " if by else ""
+    long = " union all ".join(
+        f"select '{m}' as metric, {seg}variant = 'control' as ctl, {m} as v from {source} "
+        f"where {m} is not null" for m in metrics
+    )
+    return f"""
+rl as ({long}),
+rh as (select {keys}, v, count_if(ctl) as c, count_if(not ctl) as e from rl group by all),
+rc as (select *, sum(e) over (partition by {keys} order by v) as upto_e from rh),
+ru as (select {keys}, sum(c) as n1, sum(e) as n2, sum(c * (upto_e - e / 2)) as u,
+         sum(cast(c + e as double) ** 3 - (c + e)) as tie from rc group by {keys}),
+rz as (select {keys}, (greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5::double)
+         / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - tie / ((n1 + n2) * (n1 + n2 - 1)))) / sqrt(2) as x from ru),
+rp as (select {keys}, p_value, p_value < 0.05 as significant, 'Mann-Whitney U test' as test_type
+  from (select {keys}, least(1.0::double, 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 80),
+      lambda n: (case when n % 2 = 0 then 1 else -1 end) * x ** (2 * n + 1) / (gamma(n + 1) * (2 * n + 1)))))
+    as p_value from rz))"""
+
+
+def _t_margin(mean: str, error: str, n: str) -> str:
+    """0.975 quantile of t with n - 1 degrees of freedom, as a series around the normal one."""
+    z, v = f"{Z_TWO!r}::double", f"({n} - 1)"
+    terms = (
+        f"{z} + ({z}**3 + {z}) / (4 * {v}) + (5 * {z}**5 + 16 * {z}**3 + 3 * {z}) / (96 * {v}**2)"
+        f" + (3 * {z}**7 + 19 * {z}**5 + 17 * {z}**3 - 15 * {z}) / (384 * {v}**3)"
+    )
+    return f"{mean} - {error} * ({terms}) as lower, {mean} + {error} * ({terms}) as upper"
+
+
 SAMPLE = """smp as (select variant, user_segment, date, has_click::int::double as has_click,
   search_latency_ms from qm)"""
 
@@ -400,7 +435,6 @@ BASELINE = f"""base as (
 traffic as (
   select user_segment, avg(n) as daily from (
     select user_segment, d, count(distinct session_id) as n from s group by all) group by all)"""
-Z_TWO, Z_ONE, Z_POWER = 1.9599639845400536, 1.6448536269514715, 0.8416212335729144
 
 
 def _needed(z: float) -> str:
@@ -613,6 +647,11 @@ ORACLES: dict[str, str] = {
         POSITIONS.format(join="", where=f"cast(query_time as date) {IN_1997}")
     ),
     "q8_ab_test_values": _res(AB),
+    **{
+        key: f"with {RESULT_LOG}, {_rank_p('clk', ('dwell_time', 'time_to_click'))} "
+        f"select a.*, p_value, significant from ({AB}) a join rp using (metric)"
+        for key in ("t5_ab_test_results", "q8_ab_test_results", "d4h_ab_testing")
+    },
     "q9_metric_timeseries": _star(
         "select date, user_segment, avg_ctr from daily_in where device_type = 'mobile'"
     ),
@@ -647,27 +686,35 @@ ORACLES: dict[str, str] = {
         user_segment, device_type from queries q join sessions s on q.session_id = s.session_id
         order by timestamp desc, query_id desc limit 100"""
     ),
+    "x1_confidence_interval": _ev(
+        f"""select variant, mean, {_t_margin('mean', 'std_error', 'sample_size')}, std_error, sample_size
+        from (select variant, avg(search_latency_ms) as mean,
+          stddev_samp(search_latency_ms) / sqrt(count(search_latency_ms)) as std_error,
+          count(search_latency_ms) as sample_size from qm group by 1)"""
+    ),
     "x1_mean_and_error": _ev(
         """select variant, avg(search_latency_ms) as mean,
         stddev_samp(search_latency_ms) / sqrt(count(search_latency_ms)) as std_error,
         count(search_latency_ms) as sample_size from qm group by 1"""
     ),
+    "x2_rank_test": f"with {EVENT_LOG}, {SAMPLE}, {_rank_p('smp', ('has_click',))} select * from rp",
     "x2_arm_statistics": f"with {RESULT_LOG}, {_arms('clk', ('dwell_time', 'time_to_click'))}",
     "x2_arm_statistics_binary": f"with {EVENT_LOG}, {SAMPLE}, {_arms('smp', ('has_click', 'search_latency_ms'))}",
-    "x3_differences": _res(
-        " union all ".join(
-            f"""select '{m}' as metric, c as control_mean, e as experiment_mean,
-            e - c as absolute_difference, (e - c) / c * 100 as relative_difference_percent,
-            nc as control_sample_size, ne as experiment_sample_size
-            from (select avg({m}) filter (where variant = 'control') as c,
-              avg({m}) filter (where variant = 'experiment') as e,
-              count({m}) filter (where variant = 'control') as nc,
-              count({m}) filter (where variant = 'experiment') as ne from clk)"""
-            for m in ("dwell_time", "time_to_click")
-        )
-    ),
-    "x4_segment_differences": _res(
-        """select concat('dwell_time for device_type=', device_type) as metric, device_type as segment,
+    "x3_differences": f"with {RESULT_LOG}, {_rank_p('clk', ('dwell_time', 'time_to_click'))} "
+    + "select d.*, p_value, significant, test_type from ("
+    + " union all ".join(
+        f"""select '{m}' as metric, c as control_mean, e as experiment_mean,
+        e - c as absolute_difference, (e - c) / c * 100 as relative_difference_percent,
+        nc as control_sample_size, ne as experiment_sample_size
+        from (select avg({m}) filter (where variant = 'control') as c,
+          avg({m}) filter (where variant = 'experiment') as e,
+          count({m}) filter (where variant = 'control') as nc,
+          count({m}) filter (where variant = 'experiment') as ne from clk)"""
+        for m in ("dwell_time", "time_to_click")
+    )
+    + ") d join rp using (metric)",
+    "x4_segment_differences": f"with {RESULT_LOG}, {_rank_p('clk', ('dwell_time',), 'device_type')} "
+    + """select d.*, p_value, significant, test_type from (select concat('dwell_time for device_type=', device_type) as metric, device_type as segment,
         count(*) as segment_size, count(*) / (select count(*) from clk) * 100 as segment_size_percent,
         avg(dwell_time) filter (where variant = 'control') as control_mean,
         avg(dwell_time) filter (where variant = 'experiment') as experiment_mean,
@@ -675,8 +722,7 @@ ORACLES: dict[str, str] = {
           - avg(dwell_time) filter (where variant = 'control') as absolute_difference,
         count(dwell_time) filter (where variant = 'control') as control_sample_size,
         count(dwell_time) filter (where variant = 'experiment') as experiment_sample_size
-        from clk group by device_type"""
-    ),
+        from clk group by device_type) d join rp on rp.seg = d.segment""",
     "x5_timeseries_means": _ev(
         """select date, avg(search_latency_ms) as search_latency_ms_mean,
         count(search_latency_ms) as search_latency_ms_sample_size from qm group by 1"""

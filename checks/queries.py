@@ -316,6 +316,9 @@ QUERIES: dict[str, Q] = {
     "x2_arm_statistics_binary": lambda i: experiments.arm_statistics(
         experiments.samples(i.search_sample, ["has_click", "search_latency_ms"]), ["metric"]
     ),
+    "x2_rank_test": lambda i: experiments.compare_arms(
+        experiments.samples(i.search_sample, ["has_click"]), draws=0
+    ).select("metric", "p_value", "significant", "test_type"),
     "x2_compare_arms": lambda i: experiments.compare_arms(
         experiments.samples(i.search_sample, ["has_click"])
     ),
@@ -327,6 +330,7 @@ QUERIES: dict[str, Q] = {
     ).select(
         "metric", "control_mean", "experiment_mean", "absolute_difference",
         "relative_difference_percent", "control_sample_size", "experiment_sample_size",
+        "p_value", "significant", "test_type",
     ),
     "x4_segment_impact": lambda i: experiments.segment_impact(
         i.click_sample, "device_type", "dwell_time"
@@ -336,6 +340,7 @@ QUERIES: dict[str, Q] = {
     ).select(
         "metric", "segment", "segment_size", "segment_size_percent", "control_mean",
         "experiment_mean", "absolute_difference", "control_sample_size", "experiment_sample_size",
+        "p_value", "significant", "test_type",
     ),
     "x5_timeseries_intervals": lambda i: experiments.timeseries_intervals(
         i.search_sample, "search_latency_ms"

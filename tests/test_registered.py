@@ -20,7 +20,7 @@ def oracle():
 
 
 # Python runs on summary rows, for tails and quantiles, or on bounded cells.
-MAY_USE_PYTHON = ("x1_confidence", "x2_compare", "x3_", "x4_", "x5_timeseries_intervals", "x10_trend")
+MAY_USE_PYTHON = ("x1_confidence", "x2_compare", "x2_rank", "x3_", "x4_", "x5_timeseries_intervals", "x10_trend")
 
 
 def check_plan(df, key):
