@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_own_folder: dict[str, str] = {}
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -32,8 +34,15 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder the cluster shares; a local one only if none is named."""
-    base = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    """A new path in the folder the cluster shares, as spark.checkpoint.dir names it.
+
+    Where it is unset, only a session whose executors all run in this process may go on,
+    in a folder of this machine; on a cluster a local folder would lose rows unseen.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if not base:
-        base = tempfile.mkdtemp(prefix="clicklake-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError(f"{CHECKPOINT_KEY} must name a folder that driver and executors share")
+        base = _own_folder.setdefault(context.applicationId, tempfile.mkdtemp(prefix="clicklake-"))
     return f"{base.rstrip('/')}/clicklake-{uuid.uuid4().hex}"
