@@ -10,7 +10,8 @@ and a key that very many lines share costs one row per line, not one per pair.
 Variants are emitted only for lines that can have a partner: of two such lines, cut in the
 middle, the first or the last halves are equal, so a line whose halves occur in no other line
 has none. This loses nothing. A bitmap of fixed size first keeps most other lines back where they
-are, and an exact join decides about the rest. Finally the edit distance of each line to its
+are, and an exact join decides about the rest. The same is then asked of PIECES pieces: two lines within
+one edit agree in all but one of them, and only its characters need to be deleted. Finally the edit distance of each line to its
 earliest partner is verified on the texts.
 """
 
@@ -30,6 +31,8 @@ MAX_EDITS = 1
 #: Shorter lines count as repeated only if they are equal: one edit makes them another line.
 MIN_CHARS = 20
 
+#: Pieces of a line, of which one edit changes at most one.
+PIECES = 16
 #: Bits of the map of halves that occur in several lines. More halves only let more lines pass.
 BITMAP = 1 << 26
 
@@ -159,17 +162,54 @@ def _lines_in(texts: DataFrame, bitmap: np.ndarray, min_chars: int) -> DataFrame
     return texts.select("text").mapInPandas(run, "h1 long, h2 long, halves array<long>, line string")
 
 
+def _pieces(line: str) -> list[tuple[int, int, int]]:
+    """(key, from, to): a key of all but one piece, and where in the line that piece is.
+
+    Pieces are cut at shares of the length of the shorter of two lines, which is
+    this one's or one less.
+    """
+    found = []
+    for shorter in (len(line), len(line) - 1):
+        for at in range(PIECES):
+            start, stop = at * shorter // PIECES, len(line) - (shorter - (at + 1) * shorter // PIECES)
+            rest = f"{shorter} {at} {line[:start]}\n{line[stop:]}"
+            found.append((_signed(xxhash.xxh3_64_intdigest(rest.encode("utf-8", "surrogatepass"))), start, stop))
+    return found
+
+
+def _suspected(lines: DataFrame) -> DataFrame:
+    """h1, h2, ranges: where the lines of h1, h2, line can differ by one edit from another one."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(h1, h2, *piece) for h1, h2, line in batch.itertuples(index=False) for piece in _pieces(line)]
+            yield pd.DataFrame(rows, columns=["h1", "h2", "key", "start", "stop"])
+
+    keyed = lines.select("h1", "h2", "line").mapInPandas(run, "h1 long, h2 long, key long, start int, stop int")
+    shared = keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low < high")
+    ranges = F.collect_set(F.struct("start", "stop")).alias("ranges")  # 2 * PIECES at most
+    return keyed.join(shared.select("key"), "key").groupBy("h1", "h2").agg(ranges)
+
+
 def _variants(lines: DataFrame) -> DataFrame:
-    """h1, h2, key, place: the line itself (place -1), and it without the character at each place."""
+    """h1, h2, first, key, place: the line itself (place -1), and it without the character at each place.
+
+    Only places in one of the line's ranges are needed.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for h1, h2, line in batch.itertuples(index=False):
+            for h1, h2, line, ranges in batch.itertuples(index=False):
                 hashed = _Hashes(line)
-                keys = np.concatenate([hashed.whole(), hashed.without_one()])
-                yield pd.DataFrame({"h1": h1, "h2": h2, "key": keys, "place": np.arange(-1, hashed.length, dtype=np.int32)})
+                wanted = np.zeros(hashed.length, dtype=bool)
+                for cut in ranges:
+                    wanted[cut["start"] : cut["stop"]] = True
+                places = np.flatnonzero(wanted)
+                keys = np.concatenate([hashed.whole(), hashed.without_one()[places]])
+                yield pd.DataFrame({"h1": h1, "h2": h2, "key": keys, "place": np.append(-1, places).astype(np.int32)})
 
-    return lines.select("h1", "h2", "line").mapInPandas(run, "h1 long, h2 long, key long, place int")
+    found = lines.select("h1", "h2", "line", "ranges").mapInPandas(run, "h1 long, h2 long, key long, place int")
+    return found.join(lines.select("h1", "h2", "first"), ["h1", "h2"])
 
 
 def _near_lines(texts: DataFrame, places: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame:
@@ -179,8 +219,10 @@ def _near_lines(texts: DataFrame, places: DataFrame, firsts: DataFrame, min_char
     passed = _lines_in(texts, _bitmap(shared, BITMAP), min_chars).dropDuplicates(["h1", "h2"])
     passed = written(passed)
     named = passed.select("h1", "h2", F.explode("halves").alias("half")).join(shared, "half", "left_semi").select("h1", "h2").distinct()
-    lines = written(passed.join(named, ["h1", "h2"], "left_semi").join(firsts, ["h1", "h2"]).select("h1", "h2", "first", "line"))
-    variants = written(_variants(lines).join(lines.select("h1", "h2", "first"), ["h1", "h2"]))
+    candidates = written(passed.join(named, ["h1", "h2"], "left_semi"))
+    suspected = candidates.join(_suspected(candidates), ["h1", "h2"])
+    lines = written(suspected.join(firsts, ["h1", "h2"]).select("h1", "h2", "first", "line", "ranges"))
+    variants = written(_variants(lines))
 
     # In each case the smallest member of a key is the only partner that a line needs.
     shorter = variants.where("place >= 0")
