@@ -126,10 +126,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").where(both * 100 >= union * percent).select("a", "b")
 
 
-def _several(buckets: DataFrame) -> DataFrame:
-    """The rows of buckets that hold two components at least."""
-    mixed = buckets.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    return buckets.join(mixed.select("key"), "key")
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """cid, own: how many shingles of a class occur in no other class of `sets`."""
+    each = sets.select("cid", F.explode("shingles").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count("*").alias("times"), F.min("cid").alias("cid")).where("times = 1")
+    return alone.groupBy("cid").agg(F.count("*").alias("own"))
+
+
+def _several(buckets: DataFrame, percent: int) -> DataFrame:
+    """The rows of buckets that can still be linked to another component in their bucket.
+
+    Two classes of n and m shingles share s at most, the lesser of their shingles that occur
+    elsewhere, and are similar only if (100 + percent) * s >= percent * (n + m).
+    """
+    reach = f"{100 + percent} * (n - own) - {percent} * n"
+    bounds = buckets.groupBy("key").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("n").alias("least"), F.max(F.expr(reach)).alias("most")
+    ).where("low < high")
+    possible = buckets.join(bounds, "key").where(f"{reach} >= {percent} * least and most >= {percent} * n")
+    return possible.select(*buckets.columns)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WORDS, rows: int = BAND_ROWS) -> DataFrame:
@@ -147,23 +162,25 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
     usable = features.where("doc_id is not null and digest is not null")
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("cid"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
     # A band of one class only decides nothing.
-    rows_of = classes.select("cid", F.col("cid").alias("comp"), "n", F.explode("bands").alias("key"))
-    buckets = written(_several(rows_of))
+    rows_of = classes.select("cid", F.col("cid").alias("comp"), "n", F.lit(0).cast("long").alias("own"), F.explode("bands").alias("key"))
+    buckets = written(_several(rows_of, percent))
     members = usable.select("doc_id", "digest").join(classes.select("digest", "cid"), "digest")
     links = [members.where("doc_id <> cid").select(F.col("doc_id").alias("a"), F.col("cid").alias("b"))]
     compared = buckets.select("cid").distinct()
     digests = classes.select("cid", "digest")
     texts = docs.select("doc_id", "text").join(compared, F.col("doc_id") == F.col("cid"), "left_semi")
     sets = written(_sets(texts, words).join(digests, ["cid", "digest"], "left_semi").dropDuplicates(["cid", "digest"]))
+    counted = buckets.drop("own").join(_own_shingles(sets), "cid", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    buckets = written(_several(counted.select("cid", "comp", "n", "own", "key"), percent))
 
     pivots = 1
     found: list[DataFrame] = []
     while not buckets.isEmpty():
-        low = F.pmod(F.xxhash64("cid"), F.lit(pivots))
-        chosen = buckets.groupBy("key", low.alias("part")).agg(F.min(F.struct("cid", "comp", "n")).alias("pivot"))
+        # Those with the fewest shingles of their own are most like the others.
+        part = F.pmod(F.xxhash64("cid"), F.lit(pivots)).alias("part")
+        chosen = buckets.groupBy("key", part).agg(F.min(F.struct("own", "cid", "comp", "n")).alias("pivot"))
         met = buckets.join(chosen, "key").where(
-            "comp <> pivot.comp and cid <> pivot.cid"
-            f" and 100 * least(n, pivot.n) >= {percent} * greatest(n, pivot.n)"
+            f"comp <> pivot.comp and {100 + percent} * least(n - own, pivot.n - pivot.own) >= {percent} * (n + pivot.n)"
         )
         pairs = met.select(F.greatest("cid", "pivot.cid").alias("a"), F.least("cid", "pivot.cid").alias("b")).distinct()
         new = written(_verified(pairs, sets, percent))
@@ -173,7 +190,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
             found.append(new)
             comps = connected(reduce(DataFrame.union, found)).select(F.col("member").alias("cid"), "component")
             rest = rest.join(comps, "cid", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
-        buckets = written(_several(rest))
+        buckets = written(_several(rest.select("cid", "comp", "n", "own", "key"), percent))
         pivots *= PIVOT_GROWTH
 
     graph = connected(reduce(DataFrame.union, links + found))
