@@ -29,7 +29,7 @@ BAND_ROWS = 5
 #: A pair exactly at the threshold shares no band with at most this probability.
 MISS = 1e-6
 COLUMNS = 1 << 14
-PIVOT_GROWTH = 4
+PIVOT_GROWTH = 16
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
