@@ -54,7 +54,6 @@ class _Block:
         self.cuts = np.array_split(np.arange(width), max(1, min(slices, width)))
         self.query_id = queries["query_id"].to_numpy()
         self.vec_id = candidates["vec_id"].to_numpy()
-        self.own = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
 
     def tiles(self):
         """For some queries at a time: their places, the partial scores of each slice, own rows masked."""
@@ -83,10 +82,10 @@ def _listed(queries: pd.DataFrame, candidates: pd.DataFrame, k: int, slices: int
 def _resolved(queries: pd.DataFrame, candidates: pd.DataFrame, k: int, slices: int) -> pd.DataFrame:
     """Phases 2 and 3: the k best of the block that reach the query's cutoff."""
     block, parts = _Block(queries, candidates, slices), []
-    cutoff = queries["cutoff"].to_numpy(dtype=np.float64, na_value=-np.inf)
+    cutoff = queries["cutoff"].to_numpy(dtype=np.int64)
     for at, partial, same in block.tiles():
         bar = cutoff[at][:, None]
-        share = np.floor(bar / len(partial))  # partial scores are whole numbers
+        share = bar // len(partial)  # partial scores are whole numbers
         some = ~same & (np.maximum.reduce(partial) >= share)
         row, column = np.nonzero(some)
         score = sum(scores[row, column] for scores in partial)
@@ -125,8 +124,9 @@ def exact_top_k(queries: DataFrame, candidates: DataFrame, k: int, slices: int =
     heads = meet(queries, _listed, "query_id long, score long")
     place = F.row_number().over(_by_query(F.col("score").desc()))
     kth = heads.withColumn("place", place).where(F.col("place") <= k).groupBy("query_id")
-    cutoffs = kth.agg(F.when(F.count("*") >= k, F.min("score")).cast("double").alias("cutoff"))
-    asked = written(queries.join(cutoffs, "query_id", "left"))
+    cutoffs = kth.agg(F.when(F.count("*") >= k, F.min("score")).alias("cutoff"))
+    lowest = F.lit(-(2**63)).cast("long")
+    asked = written(queries.join(cutoffs, "query_id", "left").withColumn("cutoff", F.coalesce("cutoff", lowest)))
     found = meet(asked, _resolved, "query_id long, vec_id long, score long")
     rank = F.row_number().over(_by_query(F.col("score").desc(), F.col("vec_id")))
     ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)
