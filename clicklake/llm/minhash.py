@@ -162,25 +162,28 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
     usable = features.where("doc_id is not null and digest is not null")
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("cid"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
     # A band of one class only decides nothing.
-    rows_of = classes.select("cid", F.col("cid").alias("comp"), "n", F.lit(0).cast("long").alias("own"), F.explode("bands").alias("key"))
+    rows_of = classes.select("cid", F.col("cid").alias("comp"), "n", F.lit(0).cast("long").alias("own"), F.posexplode("bands").alias("band", "key"))
     buckets = written(_several(rows_of, percent))
     members = usable.select("doc_id", "digest").join(classes.select("digest", "cid"), "digest")
     links = [members.where("doc_id <> cid").select(F.col("doc_id").alias("a"), F.col("cid").alias("b"))]
     compared = buckets.select("cid").distinct()
     digests = classes.select("cid", "digest")
+    columns = ["cid", "comp", "n", "own", "band", "key", "bands"]
     texts = docs.select("doc_id", "text").join(compared, F.col("doc_id") == F.col("cid"), "left_semi")
     sets = written(_sets(texts, words).join(digests, ["cid", "digest"], "left_semi").dropDuplicates(["cid", "digest"]))
     counted = buckets.drop("own").join(_own_shingles(sets), "cid", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    buckets = written(_several(counted.select("cid", "comp", "n", "own", "key"), percent))
+    buckets = written(_several(counted.join(classes.select("cid", "bands"), "cid").select(*columns), percent))
 
     pivots = 1
     found: list[DataFrame] = []
     while not buckets.isEmpty():
         # Those with the fewest shingles of their own are most like the others.
         part = F.pmod(F.xxhash64("cid"), F.lit(pivots)).alias("part")
-        chosen = buckets.groupBy("key", part).agg(F.min(F.struct("own", "cid", "comp", "n")).alias("pivot"))
+        chosen = buckets.groupBy("key", part).agg(F.min(F.struct("own", "cid", "comp", "n", "bands")).alias("pivot"))
         met = buckets.join(chosen, "key").where(
             f"comp <> pivot.comp and {100 + percent} * least(n - own, pivot.n - pivot.own) >= {percent} * (n + pivot.n)"
+            # Of the buckets that two are in, the first decides about them.
+            " and forall(slice(zip_with(bands, pivot.bands, (x, y) -> x = y), 1, band), same -> not same)"
         )
         pairs = met.select(F.greatest("cid", "pivot.cid").alias("a"), F.least("cid", "pivot.cid").alias("b")).distinct()
         new = written(_verified(pairs, sets, percent))
@@ -190,7 +193,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
             found.append(new)
             comps = connected(reduce(DataFrame.union, found)).select(F.col("member").alias("cid"), "component")
             rest = rest.join(comps, "cid", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
-        buckets = written(_several(rest.select("cid", "comp", "n", "own", "key"), percent))
+        buckets = written(_several(rest.select(*columns), percent))
         pivots *= PIVOT_GROWTH
 
     graph = connected(reduce(DataFrame.union, links + found))
