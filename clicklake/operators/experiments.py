@@ -501,10 +501,15 @@ def required_sample_size(
     rate: Column, effect: float | Column, power: float = 0.8, significance: float = 0.05,
     two_sided: bool = True,
 ) -> Column:
-    """Sample size per arm to detect an absolute change of ``effect`` in a rate."""
+    """Sample size per arm to detect an absolute change of ``effect`` in a rate.
+
+    0 at a rate of 0 or 1, which does not vary; null for an effect of 0.
+    """
     change = effect if isinstance(effect, Column) else F.lit(float(effect))
-    scaled = change / F.sqrt(rate * (1 - rate))
-    return F.ceil((F.lit(_z_sum(power, significance, two_sided)) / scaled) ** 2)
+    variance = rate * (1 - rate)
+    scaled = F.try_divide(change, F.sqrt(variance))
+    size = F.ceil(F.try_divide(F.lit(_z_sum(power, significance, two_sided)), scaled) ** 2)
+    return F.when(variance <= 0, F.lit(0).cast("long")).otherwise(size)
 
 
 def days_to_fill(
@@ -518,6 +523,6 @@ def minimum_detectable_effect(
     rate: Column, sample_size: Column, power: float = 0.8, significance: float = 0.05,
     two_sided: bool = True,
 ) -> Column:
-    """Smallest absolute change of a rate that a sample of this size can detect."""
-    error = F.sqrt(rate * (1 - rate) * (F.lit(2.0) / sample_size))
+    """Smallest absolute change of a rate that a sample of this size can detect; null for size 0."""
+    error = F.sqrt(rate * (1 - rate) * F.try_divide(F.lit(2.0), sample_size))
     return F.lit(_z_sum(power, significance, two_sided)) * error

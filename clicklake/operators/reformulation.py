@@ -28,10 +28,12 @@ def with_previous_query(
     """Add ``reformulation_of``: the previous query of the session, by time then id.
 
     With limits, the previous query counts only if it is at most
-    ``max_gap_seconds`` older and at least ``min_similarity`` alike.
+    ``max_gap_seconds`` older and at least ``min_similarity`` alike. A query without a
+    session follows no other; follow_up_rate counts it among all queries.
     """
+    unnamed = queries.where(F.col("session_id").isNull())
     before = scan(
-        queries,
+        queries.where(F.col("session_id").isNotNull()),
         ["session_id"],
         ["timestamp", query_id],
         epoch_micros(F.col("timestamp")),
@@ -46,9 +48,11 @@ def with_previous_query(
         related = related & (
             text_similarity(F.col("_before")[text], F.col(text)) >= min_similarity
         )
-    return before.select(
+    linked = before.select(
         *queries.columns, F.when(related, F.col("_before")[query_id]).alias("reformulation_of")
     )
+    none = F.lit(None).cast(queries.schema[query_id].dataType)
+    return linked.union(unnamed.select(*queries.columns, none.alias("reformulation_of")))
 
 
 def follow_up_rate(
