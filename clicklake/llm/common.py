@@ -46,3 +46,12 @@ def safe_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
+
+
+def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows of the `rows` keys with the smallest hashes; rows of one key count as one.
+
+    Only keys meet at the driver, so what tasks send there does not grow with wide rows.
+    """
+    keys = [r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(key), key).limit(rows).collect()]
+    return df.where(F.col(key).isin(keys))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklake.llm.common import written
+from clicklake.llm.common import hash_sample, written
 from clicklake.llm.components import connected
 
 THRESHOLD = 0.93
@@ -52,7 +52,7 @@ def choose_pivots(sample: np.ndarray, pivots: int) -> np.ndarray:
 
 def _fitted(classes: DataFrame, sample: int, pivots: int) -> dict[int, np.ndarray]:
     """Pivots by dimension, from a bounded sample of the classes."""
-    picked = classes.orderBy(F.xxhash64("cid"), "cid").limit(sample).select("vector").toPandas()["vector"]
+    picked = hash_sample(classes, "cid", sample).select("cid", "vector").dropDuplicates(["cid"]).toPandas().sort_values("cid")["vector"]
     by_size: dict[int, list] = {}
     for vector in picked:
         by_size.setdefault(len(vector), []).append(vector)

@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklake.llm.common import written
+from clicklake.llm.common import hash_sample, written
 from clicklake.session import shared_folder
 
 #: The dictionary is built from at most so many records, and of each at most so many bytes.
@@ -128,8 +128,9 @@ def write_archives(pages: DataFrame, folder: str, rows_per_file: int = ROWS_PER_
     null page_id never revisits and is never revisited. Rows that repeat a page_id with the same
     html are records of the same kind each. The folder must be reachable from all executors.
     """
-    sample = pages.orderBy(F.xxhash64("page_id")).limit(SAMPLE_RECORDS)
-    texts = sample.select("page_id", "url", F.substring(F.coalesce("html", F.lit("")), 1, SAMPLE_BYTES).alias("part")).collect()
+    sample = hash_sample(pages, "page_id", SAMPLE_RECORDS)
+    start = F.substring(F.coalesce("html", F.lit("")), 1, SAMPLE_BYTES).alias("part")
+    texts = sample.select("page_id", "url", start).limit(SAMPLE_RECORDS).collect()
     examples = []
     for page_id, url, part in texts:
         body = part.encode("utf-8", "surrogatepass")
