@@ -180,15 +180,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
         # Those with the fewest shingles of their own are most like the others.
         part = F.pmod(F.xxhash64("cid"), F.lit(pivots)).alias("part")
         chosen = buckets.groupBy("key", part).agg(F.min(F.struct("own", "cid", "comp", "n", "bands")).alias("pivot"))
-        met = buckets.join(chosen, "key").where(
-            f"comp <> pivot.comp and {100 + percent} * least(n - own, pivot.n - pivot.own) >= {percent} * (n + pivot.n)"
+        gone = chosen.select("key", F.col("pivot.cid").alias("cid"), F.lit(True).alias("leaves"))
+        marked = buckets.join(gone, ["key", "cid"], "left").withColumn("leaves", F.coalesce("leaves", F.lit(False)))
+        met = marked.join(chosen, "key").where(
+            # Two pivots of a bucket meet once, not once from either side.
+            "(not leaves or cid < pivot.cid)"
+            f" and comp <> pivot.comp and {100 + percent} * least(n - own, pivot.n - pivot.own) >= {percent} * (n + pivot.n)"
             # Of the buckets that two are in, the first decides about them.
             " and forall(slice(zip_with(bands, pivot.bands, (x, y) -> x = y), 1, band), same -> not same)"
         )
         pairs = met.select(F.greatest("cid", "pivot.cid").alias("a"), F.least("cid", "pivot.cid").alias("b")).distinct()
         new = written(_verified(pairs, sets, percent))
-        gone = chosen.select("key", F.col("pivot.cid").alias("cid"))
-        rest = buckets.join(gone, ["key", "cid"], "left_anti")
+        rest = marked.where("not leaves")
         if not new.isEmpty():
             found.append(new)
             comps = connected(reduce(DataFrame.union, found)).select(F.col("member").alias("cid"), "component")
