@@ -160,7 +160,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
     bands = bands_for(percent / 100, rows)
     features = written(_features(docs, bands, rows, words))
     usable = features.where("doc_id is not null and digest is not null")
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("cid"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    # Written, so that the join of copies to their class has a shuffle of its own that Spark can split.
+    classes = written(usable.groupBy("digest").agg(F.min("doc_id").alias("cid"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands")))
     # A band of one class only decides nothing.
     rows_of = classes.select("cid", F.col("cid").alias("comp"), "n", F.lit(0).cast("long").alias("own"), F.posexplode("bands").alias("band", "key"))
     buckets = written(_several(rows_of, percent))
