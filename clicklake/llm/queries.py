@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklake.llm import html_text, language, line_dedup, minhash, mixing, packing, pivots, sharding, topk, warc
+from clicklake.llm import html_text, language, line_dedup, minhash, mixing, packing, pivots, sharding, sql, topk, warc
 from clicklake.llm.common import table
 
 QUERY_STEP, NEIGHBOURS, SCALE = 20, 20, 64
@@ -73,4 +73,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_warc": sql.OP3_WARC,
+    "op4_mixing": sql.OP4_MIXING,
+    "op6_embedding_near_dedup": sql.OP6_NEAR_VECTORS,
+    "op10_top_k": sql.OP10_TOP_K,
+}
