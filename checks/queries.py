@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -54,9 +55,9 @@ def _s4(i: Inputs) -> DataFrame:
     )
 
 
-def _fresh_table(i: Inputs, name: str, columns: dict[str, str]) -> str:
-    """An empty table of the catalog with its files in the shared folder."""
-    i.spark.sql(f"drop table if exists {name}")
+def _fresh_table(i: Inputs, prefix: str, columns: dict[str, str]) -> str:
+    """An empty table of the catalog, of a name of its own, with its files in the shared folder."""
+    name = f"{prefix}_{uuid.uuid4().hex}"
     catalog.create_table(i.spark, name, columns, location=f"{shared_folder(i.spark)}/{name}")
     return name
 

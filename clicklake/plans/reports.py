@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklake import schemas
-from clicklake.plans.star import MONTH, TIME_COLUMN
+from clicklake.plans.star import MONTH, TIME_COLUMNS
 
 SERIES_METRICS = tuple(
     f.name for f in schemas.DAILY_METRICS if f.name not in ("date", "user_segment", "device_type")
@@ -26,14 +26,14 @@ def _between(day: Column, start: str, end: str) -> Column:
 def _dated(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     """Rows with ``ts`` in the date range; tables stored by month are pruned by it."""
     rows = df.where(_between(F.to_date(ts), start, end))
-    if MONTH in df.columns and ts == TIME_COLUMN:
+    if MONTH in df.columns and ts in TIME_COLUMNS.values():
         rows = rows.where(F.col(MONTH).between(str(start)[:7], str(end)[:7]))
     return rows
 
 
 def daily_rows(daily: DataFrame, start: str, end: str, segment: str | None = None) -> DataFrame:
     """Rows of the daily table in a date range, in no particular order."""
-    rows = daily.where(_between(F.col("date"), start, end))
+    rows = _dated(daily, "date", start, end)
     if segment:
         rows = rows.where(F.col("user_segment") == segment)
     return rows.select(*schemas.DAILY_METRICS.fieldNames())

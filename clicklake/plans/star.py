@@ -17,8 +17,17 @@ from clicklake.operators.reformulation import with_previous_query
 from clicklake.operators.relevance import share_of_ideal, unit_dcg, unit_ideal
 
 
-# Column by which ``save_by_month`` partitions, and the time it is taken from.
-MONTH, TIME_COLUMN = "month", "timestamp"
+# Column by which ``save_by_month`` partitions, and per table the time it is taken from
+# and the column that spreads a month's rows over writers.
+MONTH = "month"
+TIME_COLUMNS = {
+    "search_sessions": "start_time",
+    "search_queries": "timestamp",
+    "search_results": "click_time",
+    "daily_metrics": "date",
+    "ab_test_results": "start_date",
+}
+SPREAD_COLUMNS = {**schemas.PRIMARY_KEYS, "daily_metrics": "date", "ab_test_results": "test_id"}
 
 
 @dataclass(frozen=True)
@@ -36,6 +45,16 @@ class Star:
             if frame is not None:
                 frame.createOrReplaceTempView(name)
 
+    def save(self, folder: str) -> Star:
+        """Write every table in folders by month below ``folder`` and read them back."""
+        stored = {}
+        for name, time_column in TIME_COLUMNS.items():
+            frame = getattr(self, name)
+            if frame is not None:
+                path = f"{folder.rstrip('/')}/{name}"
+                stored[name] = save_by_month(frame, path, SPREAD_COLUMNS[name], time_column)
+        return Star(**stored)
+
 
 def query_facts(queries: DataFrame, results: DataFrame) -> DataFrame:
     """One row per query with its result and click figures and NDCG@10 (none shown: zeros)."""
@@ -128,14 +147,17 @@ def build(
     )
 
 
-def save_by_month(df: DataFrame, path: str, id_column: str) -> DataFrame:
-    """Write a table with a ``timestamp`` in folders by month and read it back.
+def save_by_month(
+    df: DataFrame, path: str, id_column: str, time_column: str = "timestamp"
+) -> DataFrame:
+    """Write a table in folders by the month of ``time_column`` and read it back.
 
     Reports add a month condition for such tables, so only the folders of the
     wanted range are listed and read. Rows are spread by (month, id) ranges: a
-    month with a large share of the rows is written by many tasks.
+    month with a large share of the rows is written by many tasks. Rows without a time,
+    as results without a click, have a folder of their own.
     """
-    dated = df.withColumn(MONTH, F.date_format(TIME_COLUMN, "yyyy-MM"))
+    dated = df.withColumn(MONTH, F.date_format(time_column, "yyyy-MM"))
     dated.repartitionByRange(MONTH, id_column).write.partitionBy(MONTH).parquet(path)
     schema = f"{MONTH} string"
     return df.sparkSession.read.schema(

@@ -32,8 +32,17 @@ def execute(
     return spark.sql(query, args=params if isinstance(params, Mapping) else list(params))
 
 
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def _name(table: str) -> str:
-    return ".".join(f"`{part.replace('`', '``')}`" for part in table.split("."))
+    return ".".join(_quoted(part) for part in table.split("."))
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def insert_dataframe(df: DataFrame, table: str, if_exists: str = "append") -> int:
@@ -45,7 +54,7 @@ def insert_dataframe(df: DataFrame, table: str, if_exists: str = "append") -> in
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if if_exists == "append" and spark.catalog.tableExists(table):
         columns = spark.table(table).columns
-        counted.select(*columns).write.insertInto(table)
+        counted.select(*map(_quoted, columns)).write.insertInto(table)
     else:
         counted.write.mode(SAVE_MODES[if_exists]).format("parquet").saveAsTable(table)
     return seen.get["rows"]
@@ -74,10 +83,10 @@ def create_table(
         types = {name: SQL_TYPES.get(kind.upper(), kind) for name, kind in columns.items()}
     if primary_key is not None and primary_key not in types:
         raise ValueError(f"primary key {primary_key!r} is not a column of {table!r}")
-    body = ", ".join(f"`{name}` {kind}" for name, kind in types.items())
-    extra = f" TBLPROPERTIES ('primary_key' = '{primary_key}')" if primary_key else ""
+    body = ", ".join(f"{_quoted(name)} {kind}" for name, kind in types.items())
+    extra = f" TBLPROPERTIES ('primary_key' = {_literal(primary_key)})" if primary_key else ""
     if location is not None:
-        extra = f" LOCATION '{location}'{extra}"
+        extra = f" LOCATION {_literal(location)}{extra}"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(table)} ({body}) USING parquet{extra}")
 
 

@@ -58,3 +58,16 @@ def test_tables_by_month_are_pruned(spark, tmp_path):
         [r.avg_time_to_click for r in plain.collect()]
     )
     assert stored.count() == queries.count()
+
+
+def test_all_tables_are_stored_by_month_and_pruned(spark, tmp_path):
+    built = Inputs(spark, FOLDER).star
+    stored = built.save(str(tmp_path))
+    for name in star.TIME_COLUMNS:
+        assert getattr(stored, name).count() == getattr(built, name).count()
+    daily = reports.daily_rows(stored.daily_metrics, START, END)
+    assert re.search(r"PartitionFilters: \[[^\]]*month", plan(daily))
+    assert daily.count() == reports.daily_rows(built.daily_metrics, START, END).count()
+    clicks = reports._dated(stored.search_results, "click_time", START, END)
+    assert re.search(r"PartitionFilters: \[[^\]]*month", plan(clicks))
+    assert clicks.count() == reports._dated(built.search_results, "click_time", START, END).count()

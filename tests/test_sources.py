@@ -105,3 +105,12 @@ def test_schema_text(spark):
     assert catalog.table_exists(spark, "one") and catalog.table_exists(spark, "two")
     spark.sql("drop table one")
     spark.sql("drop table two")
+
+
+def test_names_and_folders_with_quotes(spark, tmp_path):
+    folder = tmp_path / "it's"
+    catalog.create_table(spark, "quoted_names", {"a`b": "TEXT"}, "a`b", location=str(folder))
+    catalog.insert_rows(spark, "quoted_names", [("x",)])
+    assert [tuple(r) for r in spark.table("quoted_names").collect()] == [("x",)]
+    assert list(folder.glob("*.parquet"))
+    spark.sql("drop table quoted_names")
