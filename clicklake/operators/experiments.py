@@ -400,9 +400,10 @@ def segment_impact(
     share = F.col("segment_size") / sizes.agg(F.sum("segment_size")).scalar() * 100
     sizes = sizes.select("segment", "segment_size", share.alias("segment_size_percent"))
     long = samples(df, [metric], variant, control, experiment, segment)
-    tested = compare_arms(long, ["metric", "segment"], **options).where(
-        F.least("control_sample_size", "experiment_sample_size") >= min_arm
-    )
+    # Small segments leave before the tests and the bootstrap.
+    keys = ["metric", "segment"]
+    large = moments(long, keys).where(F.least("n_c", "n_e") >= min_arm).select(*keys)
+    tested = compare_arms(long.join(large, keys, "left_semi"), keys, **options)
     label = F.concat(
         F.lit(f"{metric} for {segment}="), F.col("segment").cast("string")
     )

@@ -281,7 +281,7 @@ def compare_relevance(
     baseline: str = "control",
     experiment: str = "experiment",
 ) -> DataFrame:
-    """Nine relevance metrics of two arms side by side, from one pass over the log."""
+    """Nine relevance metrics of two arms side by side."""
     arms = results.where(F.col(variant).isin(baseline, experiment))
     wide = merge_measures(
         [ranking_quality(arms, [variant]), reformulation_metrics(arms, [variant])], [variant]
