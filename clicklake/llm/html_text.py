@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,8 +28,12 @@ WINDOW = 3
 SURGE = 0.3
 #: Of a passage, the share of characters inside links from which it is a list of links.
 LINKS = 0.5
+#: An element with a boilerplate word in its class or id is none from this share of the page's text; one with that word
+#: alone as a class, or named as comments and the like, which can be longer than the article, from the higher one.
+MOST, NEARLY_ALL = 0.5, 0.9
 
-# Kinds of elements of HTML.
+# Ends of lines and structures among pieces of text, kinds of elements of HTML.
+LINE, GAP = object(), object()
 _HIDDEN = frozenset("script style noscript template iframe object embed svg math canvas audio video select textarea button".split())
 _RAW = frozenset("script style textarea title xmp noembed noframes".split())
 _APART = frozenset("head nav footer aside form dialog menu".split())
@@ -45,28 +50,80 @@ _BOILERPLATE = frozenset(
     " replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
+#: Words of them that name running text, which can be longer than the article beside it.
+_OTHER_TEXT = frozenset("comment comments consent cookie cookies disclaimer disqus related replies reply respond".split())
 _CLOSED_BY_BLOCK = frozenset(["p"])
+_IN_HEAD = frozenset("base link meta noscript script style template title".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
-_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
+_ATTRIBUTE = re.compile(r""""[^"]*"|'[^']*'|([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _SPACE = re.compile(r"\s+")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
-def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in _HIDDEN or tag in _APART:
-        return True
-    for match in _ATTRIBUTE.finditer(attributes):
-        name, value = match[1].lower(), next((x for x in match.groups()[1:] if x), "")
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "role" and value.lower() in _ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "main", "article"):
-            parts = {part.lower() for part in _NAME_PARTS.findall(value)} & _BOILERPLATE
-            if parts - ({"header"} if in_article else set()):
-                return True
-    return False
+def _attributes(text: str) -> dict[str, str]:
+    """Names and values, one after the other, so that nothing inside a value counts as a name; the first of a name holds."""
+    found: dict[str, str] = {}
+    for match in _ATTRIBUTE.finditer(text):
+        if match[1]:
+            found.setdefault(match[1].lower(), next((x for x in match.groups()[1:] if x), ""))
+    return found
+
+
+def _hidden(tag: str, attributes: dict[str, str]) -> bool:
+    return tag in _HIDDEN or tag == "head" or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
+
+
+def _most(tag: str, attributes: dict[str, str], in_article: bool) -> float | None:
+    """None if nothing marks the element as boilerplate, else the share of the page's text from which it cannot be that."""
+    # A header inside an article belongs to it; one of the page does not.
+    if tag in _APART and tag != "form" or tag == "header" and not in_article or attributes.get("role", "").lower() in _ROLES:
+        return 1.0
+    if tag in ("html", "body", "main", "article"):
+        return None
+    parts = {part.lower() for name in ("class", "id") for part in _NAME_PARTS.findall(attributes.get(name, ""))} & _BOILERPLATE
+    parts -= {"header"} if in_article else set()
+    whole = {word.lower() for name in ("class", "id") for word in attributes.get(name, "").split()}
+    if parts & (_OTHER_TEXT | whole):
+        return NEARLY_ALL
+    return MOST if parts or tag == "form" else None
+
+
+@dataclass
+class _Apart:
+    """Elements that look like boilerplate: the one each lies in, what they hold and whether they are dropped.
+
+    The last place, -1, is the page outside all of them.
+    """
+
+    within: list[int] = field(default_factory=list)
+    most: list[float] = field(default_factory=list)
+    own: Counter = field(default_factory=Counter)  # characters outside links, without those of elements inside
+    articles: list[list[int]] = field(default_factory=list)  # the element that each article lies in, and its characters
+
+    def open(self, within: int, most: float) -> int:
+        self.within.append(within)
+        self.most.append(most)
+        return len(self.within) - 1
+
+    def chain(self, at: int) -> set[int]:
+        found = set()
+        while at >= 0:
+            found.add(at)
+            at = self.within[at]
+        return found
+
+    def kept(self) -> set[int]:
+        """Those that hold the page's article, or most of its text, and so are no boilerplate."""
+        kept: set[int] = set()
+        home, size = max(self.articles, key=lambda x: x[1], default=(-1, 0))
+        if size and size >= self.own[-1]:
+            kept |= self.chain(home)
+        total = sum(size for at, size in self.own.items() if at < 0 or self.most[at] < 1)
+        at = max(self.own, key=lambda x: self.own[x], default=-1)
+        if at >= 0 and all(self.most[x] < 1 and self.own[at] > self.most[x] * total for x in self.chain(at)):
+            kept |= self.chain(at)
+        return kept
 
 
 @dataclass
@@ -99,53 +156,98 @@ class _Lines:
             self.in_article += [False] * WINDOW
 
 
-def stripped(page: str) -> _Lines:
-    """The lines of a page. Unclosed and stray tags are allowed; a tag cut off at the end is text no more."""
-    lines, open_tags, at = _Lines(), [], 0
-    dropped = articles = links = 0  # how many open elements are of that kind
+def _pieces(page: str) -> tuple[list, _Apart]:
+    """What a page shows: pieces of text with their place, LINE where a line ends, GAP where a structure begins or ends."""
+    found_pieces: list = []
+    apart, open_tags, at = _Apart(), [], 0
+    hidden = articles = links = 0  # how many open elements are of that kind
+    inside, sizes = -1, []  # the innermost element that looks like boilerplate, and the open articles
     length = len(page)
+
+    def close() -> str:
+        nonlocal hidden, articles, links, inside
+        name, was_hidden, was_article, was_link, inside = open_tags.pop()
+        hidden, articles, links = hidden - was_hidden, articles - was_article, links - was_link
+        if was_article:
+            inner = sizes.pop()
+            if sizes and sizes[-1][0] == inner[0]:
+                sizes[-1][1] += inner[1]
+        return name
+
     while at < length:
         found = _TAG.search(page, at)
         stop = found.start() if found else length
-        if stop > at and not dropped:
+        if stop > at:
             piece = page[at:stop]
             if not found:  # a tag that never ends
                 piece = re.split(r"<[!/?a-zA-Z]", piece, maxsplit=1)[0]
-            lines.add(piece, links > 0)
+            if open_tags and open_tags[-1][0] == "head" and piece.strip():
+                close()
+            if not hidden:
+                found_pieces.append((piece, links > 0, articles > 0, inside))
+                if not links:
+                    apart.own[inside] += len(piece.strip())
+                if sizes and sizes[-1][0] == inside:
+                    sizes[-1][1] += len(piece.strip())
         if not found:
             break
         at = found.end()
         tag = (found[2] or "").lower()
         if not tag:
             continue
-        closing, attributes = bool(found[1]), found[3]
+        closing = bool(found[1])
+        if not closing and any(name == "head" for name, *_ in open_tags[:3]):  # its end tag may be missing
+            while tag == "body" and any(name == "head" for name, *_ in open_tags) or open_tags and open_tags[-1][0] == "head" and tag not in _IN_HEAD:
+                close()
         if tag in _BLOCK:
-            lines.end(articles > 0)
+            found_pieces.append((LINE, False, articles > 0, inside))
         if tag in _STRUCTURE:
-            lines.gap()
+            found_pieces.append((GAP, False, articles > 0, inside))
         if not closing:
             if tag in _RAW:  # no markup inside: go on behind the end tag
-                close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = close.end() if close else length
+                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                at = end.end() if end else length
                 continue
             if tag in _BLOCK and open_tags and open_tags[-1][0] in _CLOSED_BY_BLOCK:
-                open_tags.pop()
-            if tag in _VOID or attributes.rstrip().endswith("/") and tag in _HIDDEN:
-                if tag == "br" and not dropped:
-                    lines.add(" ", False)
+                close()
+            if tag in _VOID or found[3].rstrip().endswith("/") and tag in _HIDDEN:
+                if tag == "br" and not hidden:
+                    found_pieces.append((" ", False, articles > 0, inside))
                 continue
-            # A header inside an article belongs to it; one of the page does not.
-            apart = _boilerplate(tag, attributes, articles > 0) or tag == "header" and not articles
-            kind = (apart, tag in ("article", "main"), tag == "a")
-            open_tags.append((tag, *kind))
-            dropped, articles, links = dropped + kind[0], articles + kind[1], links + kind[2]
+            attributes = _attributes(found[3])
+            kind = (_hidden(tag, attributes), tag in ("article", "main"), tag == "a")
+            open_tags.append((tag, *kind, inside))
+            most = None if kind[0] else _most(tag, attributes, articles > 0)
+            if most is not None:
+                inside = apart.open(inside, most)
+            hidden, articles, links = hidden + kind[0], articles + kind[1], links + kind[2]
+            if kind[1]:
+                sizes.append([inside, 0])
+                apart.articles.append(sizes[-1])
         elif any(tag == name for name, *_ in open_tags):
-            while open_tags:
-                name, *kind = open_tags.pop()
-                dropped, articles, links = dropped - kind[0], articles - kind[1], links - kind[2]
-                if name == tag:
-                    break
-    lines.end(articles > 0)
+            while open_tags and close() != tag:
+                pass
+    found_pieces.append((LINE, False, articles > 0, inside))
+    while open_tags:
+        close()
+    return found_pieces, apart
+
+
+def stripped(page: str) -> _Lines:
+    """The lines of a page. Unclosed and stray tags are allowed; a tag cut off at the end is text no more."""
+    pieces, apart = _pieces(page)
+    kept = apart.kept()
+    dropped = [False] * len(apart.within)
+    for at, within in enumerate(apart.within):  # an element follows the one it lies in
+        dropped[at] = at not in kept or within >= 0 and dropped[within]
+    lines = _Lines()
+    for piece, link, article, inside in pieces:
+        if piece is LINE:
+            lines.end(article)
+        elif piece is GAP:
+            lines.gap()
+        elif inside < 0 or not dropped[inside]:
+            lines.add(piece, link)
     return lines
 
 

@@ -189,6 +189,32 @@ def test_odd_pages(page):
     assert html_text.main_text(page) == CASES[page]
 
 
+STORY = "<article><h1>Head</h1><p>The story itself.</p></article>"
+LONG = "<p>A long paragraph of the story itself.</p>" * 5
+LONG_TEXT = "\n".join(["A long paragraph of the story itself."] * 5)
+WRAPPED = {
+    f"<div class='site has-sidebar'>{STORY}<div class='sidebar'>Side</div></div>": "Head\nThe story itself.",
+    f"<div class='no-sidebar'><div id='with-menu'>{STORY}</div></div>": "Head\nThe story itself.",
+    f"<form id='page'><nav>Menu</nav>{STORY}</form>": "Head\nThe story itself.",
+    f"<nav><ul><li>Menu{STORY}": "Head\nThe story itself.",
+    f"<div class='page no-sidebar'>{LONG}</div><div class='sidebar'>Side</div>": LONG_TEXT,
+    f"<article><h1>T</h1><div class='entry has-sidebar'>{LONG}</div></article>": "T\n" + LONG_TEXT,
+    f"<html><head><title>x</title><body>{STORY}": "Head\nThe story itself.",
+    f"<html><head><noscript><style>p</style><body>{STORY}": "Head\nThe story itself.",
+    f"<html><head><meta charset=u><title>x</title>{STORY}": "Head\nThe story itself.",
+    "<article><p title='a hidden gem'>One</p><p>Two <a href=x title='class=ad hidden'>three</a></p></article>": "One\nTwo three",
+    f"{STORY}<div id=comments><article>Me too</article></div>": "Head\nThe story itself.",
+    f"<aside><article>Teaser</article></aside><div>{LONG}</div>": LONG_TEXT,
+    f"<div>{LONG}</div><div class='post-comments'>{LONG * 2}</div>": LONG_TEXT,
+    f"<div><p>A long paragraph of the story itself.</p></div><div class='ad'>{LONG}</div>": "A long paragraph of the story itself.",
+}
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_no_article_is_lost_through_an_element_around_it(page):
+    assert html_text.main_text(page) == WRAPPED[page]
+
+
 def test_pages_with_nulls_and_other_columns(spark):
     rows = [(1, None, None, "t"), (None, "u", "", "t"), (2, "u", "<article>" + "<p>" * 50_000 + "x" * 100_000, "t")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
