@@ -1,12 +1,16 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to one line per block of text, as a browser would break it, with as many
-empty lines as a window is high wherever an element that structures the page begins or ends.
-Elements that hold no article text by their kind (scripts, menus, forms, ...) are stripped
-with what they hold. Over the lines slides a window that sums their text lengths; text surges
-where the sum leaves zero and dives where it is back at zero, so that the stretches between are
-the page's passages. Those whose sums are that of an article are kept whole, between the first
-surge and the last dive inside the page's article, where it marks one.
+empty lines as a window is high where a part of the page (its header, menu, footer, article)
+begins or ends. Elements that hold no article text by their kind (scripts, menus, forms, ...) are
+stripped with what they hold. Over the lines slides a window that sums their text lengths, lines
+of links counting nothing; the stretches between two falls of the sum to zero are the page's
+passages. Text surges in the first passage that is as dense as running text or has the page's
+heading (there at the heading, if it follows a box of less), and dives behind the last one; all
+between is the article, whole.
+
+Where a page marks its article (`article`, `main`), the marks decide instead: they are the
+publisher's own statement, and window sums could only cut what they hold.
 """
 
 from __future__ import annotations
@@ -24,21 +28,22 @@ from pyspark.sql import functions as F
 
 #: Lines in a window.
 WINDOW = 3
-#: A passage surges where a window reaches this share of the highest window of the page.
-SURGE = 0.3
-#: Of a passage, the share of characters inside links from which it is a list of links.
+#: Characters in a window from which a passage is running text; on a page of less, its highest window counts.
+SURGE = 80
+#: Of a line, the share of characters inside links from which it is one of links.
 LINKS = 0.5
 #: An element with a boilerplate word in its class or id is none from this share of the page's text; one with that word
 #: alone as a class, or named as comments and the like, which can be longer than the article, from the higher one.
 MOST, NEARLY_ALL = 0.5, 0.9
 
 # Ends of lines and structures among pieces of text, kinds of elements of HTML.
-LINE, GAP = object(), object()
+LINE, BOX, GAP = object(), object(), object()
 _HIDDEN = frozenset("script style noscript template iframe object embed svg math canvas audio video select textarea button".split())
 _RAW = frozenset("script style textarea title xmp noembed noframes".split())
 _APART = frozenset("head nav footer aside form dialog menu".split())
-_STRUCTURE = frozenset("html body main article section header footer nav aside form div table".split())
-_BLOCK = _STRUCTURE | frozenset(
+_STRUCTURE = frozenset("html body main article header footer nav".split())
+_BOX = frozenset("section aside form div table".split())
+_BLOCK = _STRUCTURE | _BOX | frozenset(
     "address blockquote dd details dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr legend li ol p pre search summary"
     " caption tbody td tfoot th thead tr ul option title head".split()
 )
@@ -128,17 +133,21 @@ class _Apart:
 
 @dataclass
 class _Lines:
-    """Lines of text as markup is stripped, with their characters in links and inside an article."""
+    """Lines of text as markup is stripped, with their characters in links, inside an article and as the page's heading."""
 
     text: list[str] = field(default_factory=list)
     in_links: list[int] = field(default_factory=list)
     in_article: list[bool] = field(default_factory=list)
+    heading: list[bool] = field(default_factory=list)
+    boxes: list[int] = field(default_factory=list)  # lines before which a box begins or ends
     pending: list[str] = field(default_factory=list)
     linked: int = 0
+    headed: bool = False
 
-    def add(self, piece: str, link: bool) -> None:
+    def add(self, piece: str, link: bool, heading: bool) -> None:
         self.pending.append(piece)
-        self.linked += len(piece.strip()) if link else 0
+        self.linked += len(html.unescape(piece).strip()) if link else 0
+        self.headed |= heading and not link
 
     def end(self, article: bool) -> None:
         line = _SPACE.sub(" ", html.unescape("".join(self.pending))).strip()
@@ -146,7 +155,8 @@ class _Lines:
             self.text.append(line)
             self.in_links.append(self.linked)
             self.in_article.append(article)
-        self.pending, self.linked = [], 0
+            self.heading.append(self.headed)
+        self.pending, self.linked, self.headed = [], 0, False
 
     def gap(self) -> None:
         """Empty lines, over which a window falls to zero."""
@@ -154,20 +164,21 @@ class _Lines:
             self.text += [""] * WINDOW
             self.in_links += [0] * WINDOW
             self.in_article += [False] * WINDOW
+            self.heading += [False] * WINDOW
 
 
 def _pieces(page: str) -> tuple[list, _Apart]:
-    """What a page shows: pieces of text with their place, LINE where a line ends, GAP where a structure begins or ends."""
+    """What a page shows: pieces of text with their place, LINE where a line ends, BOX and GAP where a box or structure begins or ends."""
     found_pieces: list = []
     apart, open_tags, at = _Apart(), [], 0
-    hidden = articles = links = 0  # how many open elements are of that kind
+    hidden = articles = links = headings = 0  # how many open elements are of that kind
     inside, sizes = -1, []  # the innermost element that looks like boilerplate, and the open articles
     length = len(page)
 
     def close() -> str:
-        nonlocal hidden, articles, links, inside
-        name, was_hidden, was_article, was_link, inside = open_tags.pop()
-        hidden, articles, links = hidden - was_hidden, articles - was_article, links - was_link
+        nonlocal hidden, articles, links, headings, inside
+        name, was_hidden, was_article, was_link, was_heading, inside = open_tags.pop()
+        hidden, articles, links, headings = hidden - was_hidden, articles - was_article, links - was_link, headings - was_heading
         if was_article:
             inner = sizes.pop()
             if sizes and sizes[-1][0] == inner[0]:
@@ -184,7 +195,7 @@ def _pieces(page: str) -> tuple[list, _Apart]:
             if open_tags and open_tags[-1][0] == "head" and piece.strip():
                 close()
             if not hidden:
-                found_pieces.append((piece, links > 0, articles > 0, inside))
+                found_pieces.append((piece, links > 0, articles > 0, headings > 0, inside))
                 if not links:
                     apart.own[inside] += len(piece.strip())
                 if sizes and sizes[-1][0] == inside:
@@ -200,9 +211,11 @@ def _pieces(page: str) -> tuple[list, _Apart]:
             while tag == "body" and any(name == "head" for name, *_ in open_tags) or open_tags and open_tags[-1][0] == "head" and tag not in _IN_HEAD:
                 close()
         if tag in _BLOCK:
-            found_pieces.append((LINE, False, articles > 0, inside))
+            found_pieces.append((LINE, False, articles > 0, False, inside))
+        if tag in _BOX:
+            found_pieces.append((BOX, False, articles > 0, False, inside))
         if tag in _STRUCTURE:
-            found_pieces.append((GAP, False, articles > 0, inside))
+            found_pieces.append((GAP, False, articles > 0, False, inside))
         if not closing:
             if tag in _RAW:  # no markup inside: go on behind the end tag
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -212,22 +225,22 @@ def _pieces(page: str) -> tuple[list, _Apart]:
                 close()
             if tag in _VOID or found[3].rstrip().endswith("/") and tag in _HIDDEN:
                 if tag == "br" and not hidden:
-                    found_pieces.append((" ", False, articles > 0, inside))
+                    found_pieces.append((" ", False, articles > 0, False, inside))
                 continue
             attributes = _attributes(found[3])
-            kind = (_hidden(tag, attributes), tag in ("article", "main"), tag == "a")
+            kind = (_hidden(tag, attributes), tag in ("article", "main"), tag == "a", tag == "h1")
             open_tags.append((tag, *kind, inside))
             most = None if kind[0] else _most(tag, attributes, articles > 0)
             if most is not None:
                 inside = apart.open(inside, most)
-            hidden, articles, links = hidden + kind[0], articles + kind[1], links + kind[2]
+            hidden, articles, links, headings = hidden + kind[0], articles + kind[1], links + kind[2], headings + kind[3]
             if kind[1]:
                 sizes.append([inside, 0])
                 apart.articles.append(sizes[-1])
         elif any(tag == name for name, *_ in open_tags):
             while open_tags and close() != tag:
                 pass
-    found_pieces.append((LINE, False, articles > 0, inside))
+    found_pieces.append((LINE, False, articles > 0, False, inside))
     while open_tags:
         close()
     return found_pieces, apart
@@ -241,13 +254,15 @@ def stripped(page: str) -> _Lines:
     for at, within in enumerate(apart.within):  # an element follows the one it lies in
         dropped[at] = at not in kept or within >= 0 and dropped[within]
     lines = _Lines()
-    for piece, link, article, inside in pieces:
+    for piece, link, article, heading, inside in pieces:
         if piece is LINE:
             lines.end(article)
+        elif piece is BOX:
+            lines.boxes.append(len(lines.text))
         elif piece is GAP:
             lines.gap()
         elif inside < 0 or not dropped[inside]:
-            lines.add(piece, link)
+            lines.add(piece, link, heading)
     return lines
 
 
@@ -270,20 +285,22 @@ def passages(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int,
 def main_text(page: str | None) -> str:
     """The article of a page, one line per block; empty if it has none."""
     lines = stripped(page or "")
-    if not lines.text:
-        return ""
-    lengths = np.array([len(x) for x in lines.text], dtype=np.int64)
-    marked = np.array(lines.in_article)
-    if marked.any():
-        lengths = np.where(marked, lengths, 0)
-    found = [
-        (start, stop, highest) for start, stop, highest in passages(lengths)
-        if marked.any() or sum(lines.in_links[start:stop]) < LINKS * lengths[start:stop].sum()
-    ]
+    if any(lines.in_article):
+        return "\n".join(text for text, marked in zip(lines.text, lines.in_article, strict=True) if marked)
+    lengths = np.array([
+        0 if linked >= LINKS * len(text) else len(text) for text, linked in zip(lines.text, lines.in_links, strict=True)
+    ], dtype=np.int64)
+    found = passages(lengths) if lines.text else []
     if not found:
         return ""
-    bar = 0 if marked.any() else SURGE * max(highest for *_, highest in found)
-    return "\n".join(lines.text[at] for start, stop, highest in found if highest >= bar for at in range(start, stop) if lengths[at])
+    bar = min(SURGE, max(highest for *_, highest in found))
+    dense = [(start, stop) for start, stop, highest in found if highest >= bar or any(lines.heading[start:stop])]
+    (start, *_), (*_, stop) = dense[0], dense[-1]
+    if any(lines.heading[start:stop]):  # less than running text in a box before the heading is none of the article
+        box = max((at for at in lines.boxes if start < at <= lines.heading.index(True, start)), default=start)
+        if all(highest < bar for *_, highest in (passages(lengths[start:box]) if box > start else [])):
+            start = box
+    return "\n".join(text for text in lines.text[start:stop] if text)
 
 
 def extract_main_text(pages: DataFrame, html_column: str = "html") -> DataFrame:

@@ -215,6 +215,23 @@ def test_no_article_is_lost_through_an_element_around_it(page):
     assert html_text.main_text(page) == WRAPPED[page]
 
 
+BLOCK = "One block of the story. " * 200
+MENU = "".join(f"<li><a href={i}>Item {i} of the menu</a></li>" for i in range(9))
+UNMARKED = {
+    f"<div>Title</div><div>{BLOCK}</div><div>Short.</div>": f"Title\n{BLOCK.strip()}\nShort.",
+    f"<div><h1>Title</h1><div><p>{BLOCK}</p></div><table><tr><td>a<td>1</table><section><p>Short.</p></section><p>Last.</p></div>": f"Title\n{BLOCK.strip()}\na\n1\nShort.\nLast.",
+    f"<h1>Title</h1><nav>{MENU}</nav><p>{BLOCK}</p><form>Name</form><aside>Side</aside><p>Last.</p>": f"Title\n{BLOCK.strip()}\nLast.",
+    f"<div>Home of news</div><nav>{MENU}</nav><div>{BLOCK}</div><footer>f</footer><div>Imprint</div>": BLOCK.strip(),
+    f"<ul>{MENU}</ul><p>First.</p><p>{BLOCK}</p><ul>{MENU}</ul>": f"First.\n{BLOCK.strip()}",
+    f"<ul>{MENU}</ul>": "",
+}
+
+
+@pytest.mark.parametrize("page", UNMARKED)
+def test_short_passages_of_an_unmarked_article_are_kept(page):
+    assert html_text.main_text(page) == UNMARKED[page]
+
+
 def test_pages_with_nulls_and_other_columns(spark):
     rows = [(1, None, None, "t"), (None, "u", "", "t"), (2, "u", "<article>" + "<p>" * 50_000 + "x" * 100_000, "t")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
