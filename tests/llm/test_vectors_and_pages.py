@@ -232,6 +232,17 @@ def test_short_passages_of_an_unmarked_article_are_kept(page):
     assert html_text.main_text(page) == UNMARKED[page]
 
 
+def test_windows_choose_the_article_of_pages_without_its_tag(spark, monkeypatch):
+    pages = [r.html for r in table(spark, "/root/testdata/sf0.01", "pages").collect()]
+    menus = [re.sub("<(/?)nav>", r"<\1div>", page) for page in pages]
+    unmarked = [re.sub("</?article>", "", page) for page in menus]
+    assert not any(any(html_text.stripped(page).in_article) for page in unmarked)
+    assert [html_text.main_text(page) for page in unmarked] == [plain_article(page) for page in pages]
+    monkeypatch.setattr(html_text, "passages", lambda lengths: [])
+    assert not any(map(html_text.main_text, unmarked))
+    assert [html_text.main_text(page) for page in pages] == [plain_article(page) for page in pages]
+
+
 def test_pages_with_nulls_and_other_columns(spark):
     rows = [(1, None, None, "t"), (None, "u", "", "t"), (2, "u", "<article>" + "<p>" * 50_000 + "x" * 100_000, "t")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
