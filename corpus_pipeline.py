@@ -13,7 +13,7 @@ from clicklake.llm.minhash import without_near_duplicates
 from clicklake.llm.mixing import mixed
 from clicklake.llm.packing import packed_documents
 
-#: Below this score a text resembles none of the learned languages.
+#: Below this score a text resembles none of the learned languages; one unlike its best language has score 0.
 MIN_SCORE = 0.2
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

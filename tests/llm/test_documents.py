@@ -111,6 +111,26 @@ def test_language_of_odd_documents(odd, none):
     assert language.with_known_language(none).count() == 0
 
 
+UNLEARNED = [
+    "Это русский текст о погоде и природе, который никто не изучал. Люди живут в большом городе и читают книги.",
+    "今天天气很好我们去公园散步看花学习新的东西中文没有空格所以一切都连在一起", "Ζούμε σε μια μεγάλη πόλη και διαβάζουμε βιβλία κάθε βράδυ",
+    "asdfgh qwerty zxcvbn kjhgfd poiuyt mnbvcx lkjhgf qazwsx edcrfv tgbyhn", "привет", "x9k2 q7zz 8kq1j kk3x",
+]
+
+
+def test_texts_of_unlearned_languages_go_and_all_others_stay(spark):
+    import corpus_pipeline
+
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = language.train(docs)
+    assert max(model.predict(UNLEARNED)[1]) < corpus_pipeline.MIN_SCORE
+    held_out = [i for i in range(20_000_000, 20_000_100) if zlib.crc32(str(i).encode()) % 3 == 1]
+    strange = spark.createDataFrame(list(zip(held_out, UNLEARNED)), "doc_id long, text string")
+    rows = docs.unionByName(strange, allowMissingColumns=True)
+    kept = corpus_pipeline.known_language(spark, rows, "").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+
+
 def test_presence_is_that_of_blended_ngrams():
     text = "aBc ab"
     grams = {text.lower()[i : i + n] for n in (1, 2, 3) for i in range(len(text) - n + 1)}
