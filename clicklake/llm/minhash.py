@@ -118,19 +118,19 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("of_b"))
+    """The pairs (a, b) of which full sets reach the similarity, those of a_twin and b_twin."""
+    left = sets.select(F.col("cid").alias("a"), F.col("twin").alias("a_twin"), F.col("shingles").alias("of_a"))
+    right = sets.select(F.col("cid").alias("b"), F.col("twin").alias("b_twin"), F.col("shingles").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - both
-    return pairs.join(right, "b").join(left, "a").where(both * 100 >= union * percent).select("a", "b")
+    return pairs.join(right, ["b", "b_twin"]).join(left, ["a", "a_twin"]).where(both * 100 >= union * percent).select("a", "b")
 
 
 def _own_shingles(sets: DataFrame) -> DataFrame:
-    """cid, own: how many shingles of a class occur in no other class of `sets`."""
-    each = sets.select("cid", F.explode("shingles").alias("shingle"))
-    alone = each.groupBy("shingle").agg(F.count("*").alias("times"), F.min("cid").alias("cid")).where("times = 1")
-    return alone.groupBy("cid").agg(F.count("*").alias("own"))
+    """cid, twin, own: how many shingles of a class occur in no other class of `sets`."""
+    each = sets.select("cid", "twin", F.explode("shingles").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count("*").alias("times"), F.min("cid").alias("cid"), F.min("twin").alias("twin")).where("times = 1")
+    return alone.groupBy("cid", "twin").agg(F.count("*").alias("own"))
 
 
 def _several(buckets: DataFrame, percent: int) -> DataFrame:
@@ -162,27 +162,29 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
     usable = features.where("doc_id is not null and digest is not null")
     # Written, so that the join of copies to their class has a shuffle of its own that Spark can split.
     classes = written(usable.groupBy("digest").agg(F.min("doc_id").alias("cid"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands")))
+    # A class is its smallest doc_id and, as that can have several texts, a hash of its set.
+    classes = classes.withColumn("twin", F.xxhash64("digest"))
     # A band of one class only decides nothing.
-    rows_of = classes.select("cid", F.col("cid").alias("comp"), "n", F.lit(0).cast("long").alias("own"), F.posexplode("bands").alias("band", "key"))
+    rows_of = classes.select("cid", "twin", F.col("cid").alias("comp"), "n", F.lit(0).cast("long").alias("own"), F.posexplode("bands").alias("band", "key"))
     buckets = written(_several(rows_of, percent))
     members = usable.select("doc_id", "digest").join(classes.select("digest", "cid"), "digest")
     links = [members.where("doc_id <> cid").select(F.col("doc_id").alias("a"), F.col("cid").alias("b"))]
-    compared = buckets.select("cid").distinct()
-    digests = classes.select("cid", "digest")
-    columns = ["cid", "comp", "n", "own", "band", "key", "bands"]
+    compared = buckets.select("cid", "twin").distinct()
+    columns = ["cid", "twin", "comp", "n", "own", "band", "key", "bands"]
     texts = docs.select("doc_id", "text").join(compared, F.col("doc_id") == F.col("cid"), "left_semi")
-    sets = written(_sets(texts, words).join(digests, ["cid", "digest"], "left_semi").dropDuplicates(["cid", "digest"]))
-    counted = buckets.drop("own").join(_own_shingles(sets), "cid", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    buckets = written(_several(counted.join(classes.select("cid", "bands"), "cid").select(*columns), percent))
+    each = _sets(texts, words).withColumn("twin", F.xxhash64("digest"))
+    sets = written(each.join(compared, ["cid", "twin"], "left_semi").dropDuplicates(["cid", "twin"]))
+    counted = buckets.drop("own").join(_own_shingles(sets), ["cid", "twin"], "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    buckets = written(_several(counted.join(classes.select("cid", "twin", "bands"), ["cid", "twin"]).select(*columns), percent))
 
     pivots = 1
     found: list[DataFrame] = []
     while not buckets.isEmpty():
         # Those with the fewest shingles of their own are most like the others.
-        part = F.pmod(F.xxhash64("cid"), F.lit(pivots)).alias("part")
-        chosen = buckets.groupBy("key", part).agg(F.min(F.struct("own", "cid", "comp", "n", "bands")).alias("pivot"))
-        gone = chosen.select("key", F.col("pivot.cid").alias("cid"), F.lit(True).alias("leaves"))
-        marked = buckets.join(gone, ["key", "cid"], "left").withColumn("leaves", F.coalesce("leaves", F.lit(False)))
+        part = F.pmod(F.xxhash64("cid", "twin"), F.lit(pivots)).alias("part")
+        chosen = buckets.groupBy("key", part).agg(F.min(F.struct("own", "cid", "twin", "comp", "n", "bands")).alias("pivot"))
+        gone = chosen.select("key", F.col("pivot.cid").alias("cid"), F.col("pivot.twin").alias("twin"), F.lit(True).alias("leaves"))
+        marked = buckets.join(gone, ["key", "cid", "twin"], "left").withColumn("leaves", F.coalesce("leaves", F.lit(False)))
         met = marked.join(chosen, "key").where(
             # Two pivots of a bucket meet once, not once from either side.
             "(not leaves or cid < pivot.cid)"
@@ -190,7 +192,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
             # Of the buckets that two are in, the first decides about them.
             " and forall(slice(zip_with(bands, pivot.bands, (x, y) -> x = y), 1, band), same -> not same)"
         )
-        pairs = met.select(F.greatest("cid", "pivot.cid").alias("a"), F.least("cid", "pivot.cid").alias("b")).distinct()
+        ends = F.struct("cid", "twin"), F.struct("pivot.cid", "pivot.twin")
+        pairs = met.select(F.greatest(*ends).alias("a"), F.least(*ends).alias("b")).selectExpr(
+            "a.cid as a", "a.twin as a_twin", "b.cid as b", "b.twin as b_twin"
+        ).distinct()
         new = written(_verified(pairs, sets, percent))
         rest = marked.where("not leaves")
         if not new.isEmpty():

@@ -337,6 +337,14 @@ def test_plan_places_every_piece_once(counts):
 # Near duplicates
 
 
+def test_a_text_keeps_its_links_beside_another_of_its_document(spark):
+    words = [f"w{i}" for i in range(400)]
+    near = words[:199] + ["other"]
+    rows = [(5, " ".join(words[:200])), (6, " ".join(near)), (5, " ".join(words[200:])), (7, " ".join(words[250:]))]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(5, 5), (6, 5), (7, 7)}
+
+
 def plain_components(rows, percent):
     sets = {}
     for doc_id, text in rows:
