@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklake.llm import html_text, language, line_dedup, minhash, mixing, packing, pivots, sharding, sql, topk, warc
+from clicklake.llm import bisectors, chunk_dedup, html_text, language, line_dedup, minhash, mixing, packing, pivots, repair, sharding, sql, topk, warc
 from clicklake.llm.common import table
 
 QUERY_STEP, NEIGHBOURS, SCALE = 20, 20, 64
@@ -65,11 +65,25 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.exact_top_k(asked, vectors, NEIGHBOURS)
 
 
+def op11_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = chunk_dedup.exact_groups(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op12_bisectors(spark: SparkSession, folder: str) -> DataFrame:
+    return bisectors.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"), k=40, rounds=5, scale=256, size=64, seed=2)
+
+
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, folder, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
         op1_sharding, op2_language, op3_warc, op4_mixing, op5_line_dedup,
         op6_embedding_near_dedup, op7_packing, op8_minhash, op9_html_text, op10_top_k,
+        op11_chunk_dedup, op12_bisectors, op13_repair,
     )
 }
 
@@ -78,4 +92,7 @@ ORACLES: dict[str, str] = {
     "op4_mixing": sql.OP4_MIXING,
     "op6_embedding_near_dedup": sql.OP6_NEAR_VECTORS,
     "op10_top_k": sql.OP10_TOP_K,
+    "op11_chunk_dedup": sql.OP11_CHUNK_DEDUP,
+    "op12_bisectors": sql.OP12_BISECTORS,
+    "op13_repair": sql.OP13_REPAIR,
 }
