@@ -42,19 +42,20 @@ def _hashed(chunk: Column) -> Column:
     return F.xxhash64(chunk)
 
 
-def shared_hashes(texts: DataFrame, hashed=_hashed) -> DataFrame:
-    """chunk_hash, chunk, twin: the contents that share a hash with another content, numbered.
+def shared_hashes(texts: DataFrame, hashed=_hashed) -> DataFrame | None:
+    """chunk_hash, chunk, twin: the contents that share a hash with another content, numbered. None if there are none.
 
-    Reads the column `text`, whose white space is gone. Empty unless two contents have one hash.
+    Reads the column `text`, whose white space is gone. Contents move once, those of a task that are equal as one.
     """
     each = texts.select(F.explode(chunks(F.col("text"))).alias("chunk")).withColumn("chunk_hash", hashed(F.col("chunk")))
-    contents = each.groupBy("chunk_hash", "chunk").agg(F.count("*").alias("times"))
-    several = contents.groupBy("chunk_hash").agg(F.count("*").alias("contents")).where("contents > 1")
-    found = contents.join(several, "chunk_hash").select("chunk_hash", "chunk")
+    several = written(each.distinct().groupBy("chunk_hash").agg(F.count("*").alias("contents")).where("contents > 1"))
+    if several.isEmpty():
+        return None
+    found = written(each.join(several, "chunk_hash", "left_semi").distinct())
     # Of n contents with one hash, each is compared with the others of that hash: n is 2 but for bad luck.
     less = found.select("chunk_hash", F.col("chunk").alias("other"))
     before = found.join(less, "chunk_hash").where("other < chunk").groupBy("chunk_hash", "chunk").agg(F.count("*").alias("twin"))
-    return found.join(before, ["chunk_hash", "chunk"], "left").select("chunk_hash", "chunk", F.coalesce("twin", F.lit(0)).alias("twin"))
+    return written(found.join(before, ["chunk_hash", "chunk"], "left").select("chunk_hash", "chunk", F.coalesce("twin", F.lit(0)).alias("twin")))
 
 
 def recipes(docs: DataFrame, hashed=_hashed) -> DataFrame:
@@ -64,13 +65,11 @@ def recipes(docs: DataFrame, hashed=_hashed) -> DataFrame:
     contents share the hash.
     """
     own = docs.select(F.col("doc_id"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), normalised(F.col("text")).alias("text"))
-    shared = written(shared_hashes(own, hashed))
+    shared = shared_hashes(own, hashed)
     cut = own.select("doc_id", "n_chars", F.sha2("text", 256).alias("text_sha256"), chunks(F.col("text")).alias("parts"))
-    listed = F.transform("parts", hashed)
-    if shared.isEmpty():
-        named = cut.withColumn("recipe", listed)
-    else:
-        named = _disambiguated(cut.withColumn("recipe", listed), shared)
+    named = cut.withColumn("recipe", F.transform("parts", hashed))
+    if shared is not None:
+        named = _disambiguated(named, shared)
     counted = named.withColumn("task", F.spark_partition_id())
     return counted.groupBy("recipe", "text_sha256", "n_chars", "doc_id", "task").agg(F.count("*").alias("copies"))
 
