@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
@@ -28,7 +28,7 @@ def test_query_agrees_with_sql(spark, key):
     from checks.compare import difference
 
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "pages"):
+    for name in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"create view {name} as select * from '{FOLDER}/{name}.parquet'")
     assert difference(con, QUERIES[key](spark, FOLDER), ORACLES[key]) is None
 

@@ -17,7 +17,7 @@ def _sorted(rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_returns_the_rows_of_its_sql(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "conversations"):
         database.execute(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
     answer = database.execute(ORACLES[name])
     columns = [c[0] for c in answer.description]
