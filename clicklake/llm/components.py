@@ -9,15 +9,18 @@ and its result is written, so that neither lineage nor driver grows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clicklake.llm.common import written
 
 
-def _state(links: DataFrame) -> tuple:
-    row = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return (row[0], row[1])
+def _kept(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links, written, with their number and a sum of hashes, both taken while they are written."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    rows = written(links.observe(seen, F.count(F.lit(1)).alias("rows"), total.alias("total")))
+    return rows, (seen.get["rows"], seen.get["total"])
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -40,12 +43,10 @@ def connected(links: DataFrame) -> DataFrame:
     Members without a link to another are not in the result. Nulls, loops,
     repeated and reversed links are allowed and change nothing.
     """
-    edge = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edge = written(edge)
-    state = _state(edge)
+    edge, state = _kept(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while state[0]:
-        edge = written(_small_star(_large_star(edge)))
-        before, state = state, _state(edge)
+        before = state
+        edge, state = _kept(_small_star(_large_star(edge)))
         if before == state:
             break
     roots = edge.select(F.col("b").alias("member"), F.col("b").alias("component")).distinct()

@@ -108,12 +108,13 @@ def fit(found: np.ndarray, languages: list[str], landmarks: int = LANDMARKS, rid
     turn = np.empty(len(labels), dtype=np.int64)
     for at in range(len(names)):
         turn[labels == at] = np.arange((labels == at).sum())
-    scaled = _scaled(found).astype(np.float64)
-    marks = scaled[np.argsort(turn, kind="stable")[:landmarks]]
+    marks = _scaled(found[np.argsort(turn, kind="stable")[:landmarks]]).astype(np.float64)
     values, vectors = np.linalg.eigh(marks @ marks.T)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    features = scaled @ marks.T @ root
+    # Only kernel values with the landmarks are kept of all rows; the rows themselves are scaled a few at a time.
+    kernel = np.concatenate([_scaled(found[at : at + BATCH]).astype(np.float64) @ marks.T for at in range(0, len(found), BATCH)])
+    features = kernel @ root
     wanted = np.where(labels[:, None] == np.arange(len(names)), 1.0, -1.0)
     mean, bias = features.mean(axis=0), wanted.mean(axis=0)
     centred = features - mean
@@ -124,7 +125,8 @@ def fit(found: np.ndarray, languages: list[str], landmarks: int = LANDMARKS, rid
         rows = np.unpackbits(rows, axis=1, count=found.shape[1])
         times = rows.sum(axis=0, dtype=np.int64)
         seen[at] = times >= TEXTS
-        least[at] = ALIKE * np.quantile(rows[:, times > TEXTS].sum(axis=1) / np.maximum(rows.sum(axis=1), 1), LOW)
+        others = rows @ (times > TEXTS).astype(np.uint32)
+        least[at] = ALIKE * np.quantile(others / np.maximum(rows.sum(axis=1, dtype=np.int64), 1), LOW)
     return Model(
         names, marks.T.astype(np.float32), (root @ solved).astype(np.float32), (bias - mean @ solved).astype(np.float32), seen, least
     )
@@ -139,16 +141,23 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """The model of the labelled documents that are not held out; none if there are none.
 
     Of each language the rows with the smallest hashes of doc_id are taken, sample_rows
-    in all at most. Only their n-gram presence comes to the driver, 2 KB a row.
+    in all at most; beyond so many languages only the most frequent are learned. Of rows that
+    repeat a doc_id one counts, the least by language and text. Only their n-gram presence comes to the driver, 2 KB a row.
     """
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    names = [row["lang"] for row in usable.select("lang").distinct().collect()]
-    if not names:
+    rows_of = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
+    if not rows_of:
         return None
-    each = max(1, sample_rows // len(names))
+    names = sorted(rows_of, key=lambda name: (-rows_of[name], name))[:sample_rows]
+    each = sample_rows // len(names)
+    # A hash below the bar is that of some 4 * each rows of a language, however many it has: few rows meet to be ordered.
+    share = F.create_map(*[F.lit(x) for name in names for x in (name, min(1.0, 4 * each / rows_of[name]))])
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    low = usable.select("doc_id", "lang").where(draw < share[F.col("lang")])
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = [row["doc_id"] for row in usable.select("doc_id", "lang").withColumn("place", place).where(F.col("place") <= each).collect()]
-    chosen = usable.where(F.col("doc_id").isin(ids)).select("doc_id", "lang", "text").dropDuplicates(["doc_id"])
+    ids = [row["doc_id"] for row in low.distinct().withColumn("place", place).where(F.col("place") <= each).collect()]
+    read = usable.where(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row"))
+    chosen = read.select("doc_id", "row.lang", "row.text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

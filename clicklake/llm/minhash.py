@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -168,7 +167,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
     rows_of = classes.select("cid", "twin", F.col("cid").alias("comp"), "n", F.lit(0).cast("long").alias("own"), F.posexplode("bands").alias("band", "key"))
     buckets = written(_several(rows_of, percent))
     members = usable.select("doc_id", "digest").join(classes.select("digest", "cid"), "digest")
-    links = [members.where("doc_id <> cid").select(F.col("doc_id").alias("a"), F.col("cid").alias("b"))]
     compared = buckets.select("cid", "twin").distinct()
     columns = ["cid", "twin", "comp", "n", "own", "band", "key", "bands"]
     texts = docs.select("doc_id", "text").join(compared, F.col("doc_id") == F.col("cid"), "left_semi")
@@ -178,7 +176,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
     buckets = written(_several(counted.join(classes.select("cid", "twin", "bands"), ["cid", "twin"]).select(*columns), percent))
 
     pivots = 1
-    found: list[DataFrame] = []
+    stars: DataFrame | None = None  # of the links so far: every member to its component
     while not buckets.isEmpty():
         # Those with the fewest shingles of their own are most like the others.
         part = F.pmod(F.xxhash64("cid", "twin"), F.lit(pivots)).alias("part")
@@ -199,13 +197,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
         new = written(_verified(pairs, sets, percent))
         rest = marked.where("not leaves")
         if not new.isEmpty():
-            found.append(new)
-            comps = connected(reduce(DataFrame.union, found)).select(F.col("member").alias("cid"), "component")
+            comps = connected(new if stars is None else stars.union(new)).select(F.col("member").alias("cid"), "component")
+            stars = comps.select(F.col("cid").alias("a"), F.col("component").alias("b"))
             rest = rest.join(comps, "cid", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
         buckets = written(_several(rest.select(*columns), percent))
         pivots *= PIVOT_GROWTH
 
-    graph = connected(reduce(DataFrame.union, links + found))
+    copies = members.where("doc_id <> cid").select(F.col("doc_id").alias("a"), F.col("cid").alias("b"))
+    graph = connected(copies if stars is None else copies.union(stars))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return (
         features.join(graph, F.col("doc_id") == F.col("member"), "left")

@@ -26,6 +26,8 @@ from clicklake.llm.sharding import number_slots
 CAPACITY = 1024
 END_ID = 2
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Fixed value: the vocabulary's one special token, which is found in texts as well.
+SPECIAL = {"<|endoftext|>": 50256}
 #: Words whose ids a Python worker remembers.
 REMEMBERED = 1 << 18
 
@@ -60,7 +62,6 @@ def encoder(vocabulary: str) -> Callable[[str], bytes]:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(vocabulary)
-            tokenizer.encode_special_tokens = True
 
             def encode(text: str) -> list[int]:
                 return tokenizer.encode(text, add_special_tokens=False).ids
@@ -69,7 +70,10 @@ def encoder(vocabulary: str) -> Callable[[str], bytes]:
 
             with open(vocabulary, "rb") as lines:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-            encode = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            made = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+
+            def encode(text: str) -> list[int]:
+                return made.encode(text, allowed_special="all")
         remembered = _Remembered(encode)
 
         def whole(text: str) -> bytes:

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import settings
 from pyspark.sql import functions as F
 
+settings.register_profile("fixed", derandomize=True)
+settings.load_profile("fixed")
+
 LONG = " ".join(f"word{i % 977} und{i % 31}" for i in range(30_000))
 BASE = "the quick brown fox jumps over the lazy dog while nine small birds sing in the old green tree near my house today"
 ROWS = [
