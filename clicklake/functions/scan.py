@@ -1,86 +1,66 @@
-"""Ordered scans (running sum, previous row, carried value) that survive hot keys.
+"""Ordered scans (running sum, previous row, carried value) for keys of any size.
 
 A plain window puts every row of a key into one task, so a key that holds a
-third of a log stops the job. Here a key that is much larger than the others is
-cut into slices along its own order; each slice is scanned on its own and the
-result is completed with what the earlier slices carry over. Other keys stay in
-slice 0 and run as an ordinary window: one shuffle, and nothing is carried.
-
-Size bounds: a key counts as hot only above 1/10,000 of all rows, so there are
-at most 10,000 hot keys. That bounds the two broadcast frames (hot keys, and one
-array of ``SLICES - 1`` cut points for each) whatever the size of the input.
+third of a log stops the job. Here the rows of keys above ``slice_rows`` are cut into
+slices of about that many rows, along the key and the scan order, by Spark's range
+partitioning: the number of slices grows with the rows, equal positions are split as well, and no
+table of cut points is made. Each slice is scanned on its own and completed with what earlier
+slices of the key carry over. That is one row per slice, folded in two levels: groups of
+``GROUP`` slices first, then the groups. Nothing is broadcast by hand. Without large keys the
+scan is an ordinary window: one shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 10_000
-SLICES = 1024
-HOT_ROWS = 5_000_000
+from clicklake.session import materialized
 
-_STEPS = [1 << bit for bit in reversed(range(SLICES.bit_length() - 1))]
-_SHARES = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
+SLICE_ROWS = 1_000_000
+GROUP = 1024
 
 
-def hot_keys(loads: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys whose ``_rows`` exceed both ``hot_rows`` and 1/10,000 of the total."""
-    bar = loads.agg(F.greatest(F.lit(float(hot_rows)), F.sum("_rows") / MAX_HOT_KEYS))
-    return loads.where(F.col("_rows") > bar.scalar()).select(*keys)
-
-
-def slice_hot_keys(
+def sliced_keys(
     df: DataFrame,
     keys: Sequence[str],
-    position: Column,
-    hot_rows: int = HOT_ROWS,
+    order: Sequence[str],
+    slice_rows: int = SLICE_ROWS,
     loads: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``_slice`` (0 for ordinary keys) and ``_hot``.
+    """Add ``_slice`` (0 for keys of up to ``slice_rows`` rows) and ``_large``.
 
-    ``position`` is a number that never decreases along the scan order. Cut
-    points are approximate quantiles of it, so slices hold similar row counts
-    for any distribution; the result does not depend on where the cuts fall.
-    ``loads`` (keys, ``_rows``) may give row counts per key, or upper bounds of
-    them, where they are cheaper to get than by counting ``df``.
+    Slices of a key are numbered along ``order``; the result of a scan does not depend on
+    where they are cut. ``loads`` (keys, ``_rows``) may give row counts per key, or
+    estimates of them, where they are cheaper to get than by counting ``df``. Counting is a job of its own, and
+    sliced rows are written to the shared folder, as range partitioning cuts anew whenever it is run again.
     """
     if loads is None:
         loads = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    pos = position.cast("double")
-    cuts = (
-        df.select(*keys, pos.alias("_pos"))
-        .join(F.broadcast(hot_keys(loads, keys, hot_rows)), list(keys), "left_semi")
-        .groupBy(*keys)
-        .agg(
-            F.expr(f"percentile_approx(_pos, array({_SHARES}), {20 * SLICES})").alias("_cuts")
-        )
-    )
-    # Binary search in the sorted cut points.
-    index = F.aggregate(
-        F.array(*[F.lit(step) for step in _STEPS]),
-        F.lit(0),
-        lambda at, step: at
-        + F.when(pos >= F.element_at("_cuts", at + step), step).otherwise(F.lit(0)),
-    )
-    hot = F.col("_cuts").isNotNull()
-    return df.join(F.broadcast(cuts), list(keys), "left").select(
-        *df.columns, hot.alias("_hot"), F.when(hot, index).otherwise(F.lit(0)).alias("_slice")
-    )
+    slice_rows = max(1, slice_rows)
+    large = loads.where(F.col("_rows") > slice_rows)
+    rows = large.agg(F.sum("_rows")).first()[0]
+    if not rows:
+        return df.select("*", F.lit(False).alias("_large"), F.lit(0).alias("_slice"))
+    marked = df.join(large.select(*keys, F.lit(True).alias("_large")), list(keys), "left")
+    marked = marked.select(*df.columns, F.coalesce("_large", F.lit(False)).alias("_large"))
+    ranged = marked.where("_large").repartitionByRange(math.ceil(rows / slice_rows), *keys, *order)
+    cut = materialized(ranged.withColumn("_slice", F.spark_partition_id()))
+    return marked.where("not _large").withColumn("_slice", F.lit(0)).union(cut)
 
 
 def scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    position: Column,
     *,
     sums: Mapping[str, Column] | None = None,
     previous: Mapping[str, Column] | None = None,
     carried: Mapping[str, Column] | None = None,
-    hot_rows: int = HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
     loads: DataFrame | None = None,
 ) -> DataFrame:
     """Running results per key along ``order``, which must be a total order.
@@ -89,10 +69,10 @@ def scan(
     ``previous``  value of the row before, null on the first row of the key
     ``carried``   last non-null value up to and including the row
     """
-    sliced = slice_hot_keys(df, keys, position, hot_rows, loads)
+    sliced = sliced_keys(df, keys, order, slice_rows, loads)
     return scan_slices(
         sliced, keys, order, sums=sums, previous=previous, carried=carried
-    ).drop("_hot", "_slice")
+    ).drop("_large", "_slice")
 
 
 def scan_slices(
@@ -104,7 +84,7 @@ def scan_slices(
     previous: Mapping[str, Column] | None = None,
     carried: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """``scan`` over rows that already carry ``_hot`` and ``_slice``, which are kept.
+    """``scan`` over rows that already carry ``_large`` and ``_slice``, which are kept.
 
     Several scans along one order can follow each other without a new shuffle.
     """
@@ -125,32 +105,69 @@ def scan_slices(
     )
 
     at = F.struct(*order)
-    ends = sliced.where("_hot").groupBy(*place).agg(
-        F.count(F.lit(1)).alias("_size"),
+    ends = sliced.where("_large").groupBy(*place).agg(
         *[F.sum(f"_in_{n}").alias(f"_end_{n}") for n in sums],
-        *[F.max_by(F.struct(f"_in_{n}"), at)[f"_in_{n}"].alias(f"_end_{n}") for n in previous],
+        *[F.max_by(F.struct(f"_in_{n}"), at).alias(f"_end_{n}") for n in previous],
         *[
             F.max_by(f"_in_{n}", F.when(F.col(f"_in_{n}").isNotNull(), at)).alias(f"_end_{n}")
             for n in carried
         ],
     )
-    # At most SLICES rows for each hot key.
-    by_slice = Window.partitionBy(*keys).orderBy("_slice")
-    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    brought = ends.select(
-        *place,
-        *[F.sum(f"_end_{n}").over(earlier).alias(f"_from_{n}") for n in sums],
-        *[F.lag(f"_end_{n}").over(by_slice).alias(f"_from_{n}") for n in previous],
-        *[F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_from_{n}") for n in carried],
-    )
+    brought = _brought(ends, keys, sums, previous, carried)
     return local.join(brought, place, "left").select(
         *[c for c in columns if c not in inputs],
         *[
             (F.col(f"_at_{n}") + F.coalesce(F.col(f"_from_{n}"), F.lit(0))).alias(n) for n in sums
         ],
         *[
-            F.when(F.col("_nth") == 1, F.col(f"_from_{n}")).otherwise(F.col(f"_at_{n}")).alias(n)
+            F.when(F.col("_nth") == 1, F.col(f"_from_{n}")[f"_in_{n}"])
+            .otherwise(F.col(f"_at_{n}"))
+            .alias(n)
             for n in previous
         ],
         *[F.coalesce(f"_at_{n}", f"_from_{n}").alias(n) for n in carried],
     )
+
+
+def _before(
+    frame: DataFrame, keys: Sequence[str], place: str, sums, previous, carried, name: str
+) -> list[Column]:
+    """What the rows of ``keys`` before ``place`` carry over, from columns ``_end_*``."""
+    along = Window.partitionBy(*keys).orderBy(place)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    return [
+        *[F.sum(f"_end_{n}").over(earlier).alias(f"{name}{n}") for n in sums],
+        *[F.lag(f"_end_{n}").over(along).alias(f"{name}{n}") for n in previous],
+        *[F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"{name}{n}") for n in carried],
+    ]
+
+
+def _brought(ends: DataFrame, keys: Sequence[str], sums, previous, carried) -> DataFrame:
+    """keys, ``_slice`` and, as ``_from_*``, what all earlier slices of the key carry over."""
+    group = (F.col("_slice") / GROUP).cast("int").alias("_group")
+    inside = ends.select("*", group)
+    groups = inside.groupBy(*keys, "_group").agg(
+        *[F.sum(f"_end_{n}").alias(f"_end_{n}") for n in sums],
+        *[F.max_by(f"_end_{n}", "_slice").alias(f"_end_{n}") for n in previous],
+        *[
+            F.max_by(f"_end_{n}", F.when(F.col(f"_end_{n}").isNotNull(), F.col("_slice"))).alias(
+                f"_end_{n}"
+            )
+            for n in carried
+        ],
+    )
+    shared = (keys, "_group", sums, previous, carried, "_group_")
+    outer = groups.select(*keys, "_group", *_before(groups, *shared))
+    within = ([*keys, "_group"], "_slice", sums, previous, carried, "_inner_")
+    inner = inside.select(*keys, "_group", "_slice", *_before(inside, *within))
+    return inner.join(outer, [*keys, "_group"]).select(
+        *keys,
+        "_slice",
+        *[
+            (F.coalesce(f"_inner_{n}", F.lit(0)) + F.coalesce(f"_group_{n}", F.lit(0))).alias(
+                f"_from_{n}"
+            )
+            for n in sums
+        ],
+        *[F.coalesce(f"_inner_{n}", f"_group_{n}").alias(f"_from_{n}") for n in [*previous, *carried]],
+    )

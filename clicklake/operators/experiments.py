@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicklake.functions.normal_scores import shapiro_p, score_sums
-from clicklake.functions.scan import HOT_ROWS, scan
+from clicklake.functions.scan import SLICE_ROWS, scan
 from clicklake.functions.tails import (
     NORMAL,
     f_tail_one,
@@ -72,21 +72,21 @@ def moments(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def ranked_values(long: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def ranked_values(long: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Distinct values per key with the counts of both arms and their running totals."""
     counts = long.groupBy(*keys, "value").agg(
         F.count_if("is_control").alias("c"), F.count_if(~F.col("is_control")).alias("e")
     )
-    # The sample size bounds the number of distinct values and combines on the map side.
-    loads = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    # An estimate combines on the map side, and only says how many slices to cut.
+    loads = long.groupBy(*keys).agg(F.approx_count_distinct("value").alias("_rows"))
     return scan(
-        counts, list(keys), ["value"], F.col("value"),
-        sums={"upto_c": F.col("c"), "upto_e": F.col("e")}, hot_rows=hot_rows, loads=loads,
+        counts, list(keys), ["value"],
+        sums={"upto_c": F.col("c"), "upto_e": F.col("e")}, slice_rows=slice_rows, loads=loads,
     )
 
 
 def rank_sums(
-    long: DataFrame, keys: Sequence[str], with_scores: bool = True, hot_rows: int = HOT_ROWS
+    long: DataFrame, keys: Sequence[str], with_scores: bool = True, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """One row per key: moments, U, tie sum, medians, absolute deviations, normal scores.
 
@@ -95,7 +95,7 @@ def rank_sums(
     of the sorted values minus the lower half needs no second pass.
     """
     stats = moments(long, keys)
-    joined = ranked_values(long, keys, hot_rows).join(stats, list(keys))
+    joined = ranked_values(long, keys, slice_rows).join(stats, list(keys))
     both = (F.col("c") + F.col("e")).cast("double")
     wins = F.col("c") * (F.col("upto_e") - F.col("e") / 2)
     measures = [
@@ -141,9 +141,9 @@ def _score_sum(before: pd.Series, upto: pd.Series, n: pd.Series) -> pd.Series:
     )
 
 
-def arm_statistics(long: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def arm_statistics(long: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """The exact statistics behind the tests: Student, Welch, Levene and U (no tails)."""
-    s = rank_sums(long, keys, with_scores=False, hot_rows=hot_rows)
+    s = rank_sums(long, keys, with_scores=False, slice_rows=slice_rows)
     n_c, n_e = F.col("n_c"), F.col("n_e")
     gap = F.col("mean_c") - F.col("mean_e")
     err_c, err_e = F.col("var_c") / n_c, F.col("var_e") / n_e
@@ -319,7 +319,7 @@ def compare_arms(
     alpha: float = 0.05,
     draws: int = 10_000,
     seed: int = 0,
-    hot_rows: int = HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Full two-arm comparison, one row per key.
 
@@ -327,7 +327,7 @@ def compare_arms(
     all values), else Mann-Whitney. An arm with fewer than 2 values gives an
     ``error`` and no test. ``draws=0`` leaves the interval out.
     """
-    sums = rank_sums(long, keys, hot_rows=hot_rows)
+    sums = rank_sums(long, keys, slice_rows=slice_rows)
     schema = T.StructType(
         [
             *sums.schema.fields,

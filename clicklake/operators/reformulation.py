@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklake.functions.numeric import epoch_micros, seconds_between
-from clicklake.functions.scan import HOT_ROWS, scan
+from clicklake.functions.numeric import seconds_between
+from clicklake.functions.scan import SLICE_ROWS, scan
 
 
 def text_similarity(left: Column, right: Column) -> Column:
@@ -23,7 +23,7 @@ def with_previous_query(
     text: str = "query_text",
     max_gap_seconds: float | None = None,
     min_similarity: float | None = None,
-    hot_rows: int = HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add ``reformulation_of``: the previous query of the session, by time then id.
 
@@ -36,9 +36,8 @@ def with_previous_query(
         queries.where(F.col("session_id").isNotNull()),
         ["session_id"],
         ["timestamp", query_id],
-        epoch_micros(F.col("timestamp")),
         previous={"_before": F.struct(F.col(query_id), F.col(text), F.col("timestamp"))},
-        hot_rows=hot_rows,
+        slice_rows=slice_rows,
     )
     related = F.col("_before").isNotNull()
     if max_gap_seconds is not None:
@@ -61,11 +60,11 @@ def follow_up_rate(
     text: str = "query_text",
     max_gap_seconds: float = 600,
     min_similarity: float = 0.7,
-    hot_rows: int = HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Share of queries that are followed by a related query of the same session."""
     linked = with_previous_query(
-        queries, query_id, text, max_gap_seconds, min_similarity, hot_rows
+        queries, query_id, text, max_gap_seconds, min_similarity, slice_rows
     )
     return linked.agg(
         F.count(F.lit(1)).alias("total_queries"),

@@ -9,9 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklake.functions.numeric import epoch_micros, seconds_between
+from clicklake.functions.numeric import seconds_between
 from clicklake.functions.period import time_of_day
-from clicklake.functions.scan import HOT_ROWS, scan_slices, slice_hot_keys
+from clicklake.functions.scan import SLICE_ROWS, scan_slices, sliced_keys
 from clicklake.operators.engagement import user_engagement_segments
 
 
@@ -29,19 +29,19 @@ def sessionize(
     timeout_seconds: float = 1800,
     user: str = "user_id",
     tie_break: str = "event_id",
-    hot_rows: int = HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add ``session_number`` (0-based per user): a new one after a long pause."""
     order = ["timestamp", tie_break]
     rows = log.where(F.col(user).isNotNull())
-    sliced = slice_hot_keys(rows, [user], epoch_micros(F.col("timestamp")), hot_rows)
+    sliced = sliced_keys(rows, [user], order, slice_rows)
     spaced = scan_slices(sliced, [user], order, previous={"_before": F.col("timestamp")})
     starts = F.col("_before").isNotNull() & (
         seconds_between(F.col("_before"), F.col("timestamp")) > timeout_seconds
     )
     return scan_slices(
         spaced, [user], order, sums={"session_number": starts.cast("int")}
-    ).drop("_before", "_hot", "_slice")
+    ).drop("_before", "_large", "_slice")
 
 
 def limit_session_length(

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _own_folder: dict[str, str] = {}
@@ -46,3 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError(f"{CHECKPOINT_KEY} must name a folder that driver and executors share")
         base = _own_folder.setdefault(context.applicationId, tempfile.mkdtemp(prefix="clicklake-"))
     return f"{base.rstrip('/')}/clicklake-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """The rows, written to a new path in the shared folder and read back."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

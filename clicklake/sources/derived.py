@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklake.functions.numeric import epoch_micros
 from clicklake.functions.scan import scan
 from clicklake.session import shared_folder
 
@@ -85,7 +84,6 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
         raw,
         ["session_id"],
         ["timestamp", "event_id"],
-        epoch_micros(F.col("timestamp")),
         sums={"_searches": F.col("_search").cast("int")},
         carried={"_topic": F.when(F.col("_search"), F.col("_k"))},
     ).where(F.col("_searches") > 0)
@@ -158,7 +156,6 @@ def result_log(spark: SparkSession, folder: str) -> DataFrame:
         items,
         ["l_orderkey"],
         ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
-        F.col("l_linenumber") * F.lit(1e12) + F.col("l_partkey"),
         sums={"_place": F.lit(1)},
     )
     clicked, late = F.col("clicked"), (F.col("l_partkey") % 600).cast("int")

@@ -82,12 +82,12 @@ def test_rank_sum_normal_tail_with_ties():
     assert math.isnan(ex.rank_sum_p(50, 10, 10, 20**3 - 20))
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**9])
-def test_statistics_equal_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("slice_rows", [10, 10**9])
+def test_statistics_equal_brute_force(spark, slice_rows):
     rng = np.random.default_rng(4)
     c, e = rng.normal(5, 2, 301).round(1), rng.exponential(5, 240).round(1)
     long = ex.samples(arms(spark, c, e), ["m"])
-    row = ex.arm_statistics(long, ["metric"], hot_rows=hot_rows).first()
+    row = ex.arm_statistics(long, ["metric"], slice_rows=slice_rows).first()
     assert row.control_median == np.median(c) and row.experiment_median == np.median(e)
     assert row.u_statistic == sum((a > e).sum() + 0.5 * (a == e).sum() for a in c)
     _, counts = np.unique(np.concatenate([c, e]), return_counts=True)
@@ -99,7 +99,7 @@ def test_statistics_equal_brute_force(spark, hot_rows):
     assert row.levene_w == pytest.approx((len(every) - 2) * between / within)
     gap, vc, ve = c.mean() - e.mean(), c.var(ddof=1) / 301, e.var(ddof=1) / 240
     assert row.welch_t == pytest.approx(gap / math.sqrt(vc + ve))
-    sums = ex.rank_sums(long, ["metric"], hot_rows=hot_rows).first()
+    sums = ex.rank_sums(long, ["metric"], slice_rows=slice_rows).first()
     for sample, a in ((c, "c"), (e, "e")):
         found = normal_scores.shapiro_p(
             sums[f"n_{a}"], (sums[f"n_{a}"] - 1) * sums[f"var_{a}"], sums[f"scores_{a}"],

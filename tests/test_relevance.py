@@ -93,19 +93,19 @@ def _queries(spark, rows):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10**9])
-def test_previous_query_limits(spark, hot_rows):
+@pytest.mark.parametrize("slice_rows", [0, 10**9])
+def test_previous_query_limits(spark, slice_rows):
     rows = [("a", 1, "red shoes", at(0)), ("a", 2, "red shoe", at(600)),
             ("a", 3, "red shoes", at(1300)), ("a", 4, "laptop", at(1301)), ("b", 5, "laptop", at(1302))]
     queries = _queries(spark, rows)
 
     def links(**limits):
-        linked = ref.with_previous_query(queries, hot_rows=hot_rows, **limits)
+        linked = ref.with_previous_query(queries, slice_rows=slice_rows, **limits)
         return {r.query_id: r.reformulation_of for r in linked.collect()}
 
     assert links() == {1: None, 2: 1, 3: 2, 4: 3, 5: None}
     assert links(max_gap_seconds=600, min_similarity=0.7) == {1: None, 2: 1, 3: None, 4: None, 5: None}
-    rate = ref.follow_up_rate(queries, hot_rows=hot_rows).first()
+    rate = ref.follow_up_rate(queries, slice_rows=slice_rows).first()
     assert (rate.total_queries, rate.refined_queries, rate.reformulation_rate) == (5, 1, 0.2)
 
 

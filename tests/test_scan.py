@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clicklake.functions.scan import scan, slice_hot_keys
+from clicklake.functions.scan import scan, sliced_keys
 from clicklake.operators.shaping import sessionize
 from tests.logs_by_hand import at
 
@@ -36,37 +36,61 @@ def _plain(df):
     )
 
 
-def _scanned(df, hot_rows):
+def _scanned(df, slice_rows):
     return scan(
-        df, ["key"], ["at", "id"], F.col("at"),
+        df, ["key"], ["at", "id"],
         sums={"total": F.col("amount")}, previous={"before": F.col("mark")},
-        carried={"latest": F.col("mark")}, hot_rows=hot_rows,
+        carried={"latest": F.col("mark")}, slice_rows=slice_rows,
     )
 
 
-@pytest.mark.parametrize("hot_rows", [10, 100, 10**9])
-def test_scan_equals_plain_window(skewed, hot_rows):
+@pytest.mark.parametrize("slice_rows", [10, 100, 10**9])
+def test_scan_equals_plain_window(skewed, slice_rows):
     expected = sorted(map(tuple, _plain(skewed).collect()), key=lambda r: r[2])
-    found = _scanned(skewed, hot_rows)
+    found = _scanned(skewed, slice_rows)
     assert found.columns == ["key", "at", "id", "amount", "mark", "total", "before", "latest"]
     assert sorted(map(tuple, found.collect()), key=lambda r: r[2]) == expected
 
 
-def test_only_hot_keys_are_sliced_and_evenly(skewed):
-    sliced = slice_hot_keys(skewed, ["key"], F.col("at"), hot_rows=100)
-    assert {r.key for r in sliced.where("_hot").select("key").distinct().collect()} == {"hot"}
-    assert sliced.where("not _hot and _slice <> 0").count() == 0
-    largest = sliced.where("_hot").groupBy("_slice").count().agg(F.max("count")).first()[0]
-    assert largest < 4000 / 10  # equal times stay together, the rest is spread
+def _slices(df, slice_rows):
+    return {r._slice: r["count"] for r in sliced_keys(df, ["key"], ["at", "id"], slice_rows).where("_large").groupBy("_slice").count().collect()}
+
+
+def test_only_large_keys_are_sliced_and_evenly(skewed):
+    sliced = sliced_keys(skewed, ["key"], ["at", "id"], 100)
+    assert {r.key for r in sliced.where("_large").select("key").distinct().collect()} == {"hot"}
+    assert sliced.where("not _large and _slice <> 0").count() == 0
+    assert sliced.count() == 6000
+    assert len(_slices(skewed, 100)) == 40 and max(_slices(skewed, 100).values()) < 250
+
+
+def test_slices_grow_with_the_rows_of_a_key_also_at_one_position(spark):
+    for rows in (2000, 4000):
+        same = spark.range(rows).selectExpr("'a' as key", "5L as at", "id")
+        found = _slices(same, 100)
+        assert len(found) == rows / 100 and max(found.values()) < 250
+
+
+def test_carries_cross_groups_of_slices(skewed, monkeypatch):
+    from clicklake.functions import scan as module
+
+    monkeypatch.setattr(module, "GROUP", 4)
+    expected = sorted(map(tuple, _plain(skewed).collect()), key=lambda r: r[2])
+    assert sorted(map(tuple, _scanned(skewed, 100).collect()), key=lambda r: r[2]) == expected
+
+
+def test_without_large_keys_the_plan_is_one_window(skewed):
+    plan = _scanned(skewed, 10**9)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("hashpartitioning") == 1
 
 
 def test_column_of_the_same_name_is_replaced(skewed):
-    again = scan(skewed, ["key"], ["at", "id"], F.col("at"), sums={"amount": F.col("amount")})
+    again = scan(skewed, ["key"], ["at", "id"], sums={"amount": F.col("amount")})
     assert again.columns.count("amount") == 1
 
 
-@pytest.mark.parametrize("hot_rows", [5, 10**9])
-def test_sessionize_splits_on_long_pauses(spark, hot_rows):
+@pytest.mark.parametrize("slice_rows", [5, 10**9])
+def test_sessionize_splits_on_long_pauses(spark, slice_rows):
     rng = random.Random(5)
     times = [at(rng.uniform(0, 4e5)) for _ in range(400)]
     log = spark.createDataFrame(
@@ -81,5 +105,5 @@ def test_sessionize_splits_on_long_pauses(spark, hot_rows):
             if place and (t - mine[place - 1][0]).total_seconds() > 1800:
                 number += 1
             expected[n] = number
-    found = sessionize(log, 1800, hot_rows=hot_rows)
+    found = sessionize(log, 1800, slice_rows=slice_rows)
     assert {r.event_id: r.session_number for r in found.collect()} == expected
