@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.inputs import END, NUDGE, START
+from clicklake.functions.normal_scores import C1, C2, C5, C6, MIDDLE, OUTER, TAIL
 
 PHRASED = """case {sel} when 0 then p_name
   when 1 then concat('how to ', p_name)
@@ -416,6 +417,100 @@ rp as (select {keys}, p_value, p_value < 0.05 as significant, 'Mann-Whitney U te
     as p_value from rz))"""
 
 
+def _polynomial(coefficients: tuple, x: str) -> str:
+    return "(" + " + ".join(f"{c!r}::double * {x} ** {at}" for at, c in enumerate(coefficients)) + ")"
+
+
+def _normal_quantile(p: str, r: str) -> str:
+    """AS 241; r is the root of minus the logarithm of the smaller tail."""
+    def ratio(parts: tuple, x: str) -> str:
+        return f"{_polynomial(parts[0], x)} / {_polynomial(parts[1], x)}"
+
+    return f"""case when abs({p} - 0.5) <= 0.425 then ({p} - 0.5) * ({ratio(MIDDLE, f"(0.180625 - ({p} - 0.5) ** 2)")})
+      else sign({p} - 0.5) * (case when {r} <= 5 then {ratio(OUTER, f"({r} - 1.6)")} else {ratio(TAIL, f"({r} - 5)")} end) end"""
+
+
+def _mix(x: str, out: str) -> str:
+    """Columns that scatter the 32-bit number x, the last of them ``out``."""
+    mask = "4294967295::ubigint"
+    return f"""(xor({x}, {x} >> 16) * 2146121005::ubigint) & {mask} as {out}_1,
+    (xor({out}_1, {out}_1 >> 15) * 2221713035::ubigint) & {mask} as {out}_2, xor({out}_2, {out}_2 >> 16) as {out}"""
+
+
+def _compared(source: str, metrics: tuple[str, ...], by: str = "", draws: int = 10_000) -> str:
+    """Table ``cmp``: test chosen by Shapiro-Wilk, its p-value, and the Poisson bootstrap's bounds.
+
+    Every observation has its own row and score. Arms have more than 11 values; for arms that both look
+    normal there is no p-value here, so such a row would differ.
+    """
+    keys = "metric, seg" if by else "metric"
+    return f"""{_rank_p(source, metrics, by)},
+arm as (
+  select *, sum(times) over (partition by {keys}, ctl order by v) as upto, sum(times) over (partition by {keys}, ctl) as n
+  from (select {keys}, ctl, v, count(*) as times from rl group by all)),
+ranked as (select *, unnest(range(cast(upto - times + 1 as bigint), cast(upto + 1 as bigint))) as rank from arm),
+shares as (select *, (rank - 0.375::double) / (n + 0.25::double) as p, sqrt(-ln(least(p, 1 - p))) as r from ranked),
+scored as (select *, {_normal_quantile("p", "r")} as m from shares),
+shapiro as (
+  select {keys}, ctl, any_value(n) as n, sum(m * m) as mm, sum(m * v) - sum(m) * avg(v) as scores,
+    sum(v * v) - sum(v) * avg(v) as squares, -min(m) filter (where rank = 1) as m1, -min(m) filter (where rank = 2) as m2,
+    max(v) - min(v) as wide, max(v) filter (where rank = n - 1) - max(v) filter (where rank = 2) as narrow
+  from scored group by {keys}, ctl),
+weights as (
+  select *, 1 / sqrt(n) as root, {_polynomial(C1, "root")} + m1 / sqrt(mm) as a1, {_polynomial(C2, "root")} + m2 / sqrt(mm) as a2,
+    sqrt((mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)) as scale,
+    (a1 * wide + a2 * narrow + (scores - m1 * wide - m2 * narrow) / scale) ** 2 / squares as w, ln(n) as logn
+  from shapiro),
+normal as (
+  select {keys}, bool_and((ln(1 - w) - ({_polynomial(C5, "logn")})) / exp({_polynomial(C6, "logn")}) <= 1.6448536269514722::double) as both_normal
+  from weights group by {keys}),
+law as (
+  select k, pow(2, k) as mean, unnest(range(cast(greatest(0, floor(mean - 8 * sqrt(mean))) as bigint), cast(ceil(mean + 8 * sqrt(mean)) + 9 as bigint))) as j,
+    exp(-mean + j * ln(mean) - lgamma(j + 1)) as w from range(0, 16) t(k)),
+upto as (select k, j, sum(w) over (partition by k order by j) / sum(w) over (partition by k) as upto from law),
+drawn as (
+  select g.k, h, j from (select k, h, (h + 0.5::double) / 65536 as q from range(0, 16) t(k) cross join range(0, 65536) s(h)) g
+  asof join upto u on g.k = u.k and g.q <= u.upto),
+bits as (
+  select *, cast(ctl as int) as is_control, cast(upto as ubigint) as place from (select *, unnest(range(0, 16)) as k from arm)
+  where (cast(times as bigint) >> k) & 1 = 1),
+named as (
+  select *, cast((place >> 32) * 128 + 2 * k + is_control as ubigint) & 4294967295::ubigint as high, {_mix("high", "mixed")},
+    xor(mixed, place & 4294967295::ubigint) as low, {_mix("low", "name")} from bits),
+replicated as (
+  select {keys}, ctl, v, k, replicate, (name + cast(replicate as ubigint) * 2654435769::ubigint) & 4294967295::ubigint as x, {_mix("x", "y")}, y >> 16 as h
+  from named cross join range(0, {draws}) t(replicate)),
+resampled as (
+  select {keys}, replicate, sum(v * j) filter (where not ctl) / sum(j) filter (where not ctl)
+      - sum(v * j) filter (where ctl) / sum(j) filter (where ctl) as gap
+  from replicated a join drawn d on d.k = a.k and d.h = cast(a.h as bigint) group by {keys}, replicate),
+bounds as (select {keys}, quantile_cont(gap, 0.025) as ci_lower, quantile_cont(gap, 0.975) as ci_upper from resampled group by {keys}),
+cmp as (
+  select {keys}, case when not both_normal then p_value end as p_value, case when not both_normal then significant end as significant,
+    case when both_normal then 'a t-test' else 'Mann-Whitney U test' end as test_type, ci_lower, ci_upper
+  from rp join normal using ({keys}) join bounds using ({keys}))"""
+
+
+def _arm_means(source: str, metrics: tuple[str, ...], by: str = "") -> str:
+    seg = f"{by} as seg, " if by else ""
+    group = "group by 1, 2" if by else ""
+    return " union all ".join(
+        f"""select '{m}' as metric, {seg}avg({m}) filter (where variant = 'control') as control_mean,
+        avg({m}) filter (where variant = 'experiment') as experiment_mean,
+        count({m}) filter (where variant = 'control') as control_sample_size,
+        count({m}) filter (where variant = 'experiment') as experiment_sample_size, count(*) as segment_size
+        from {source} {group}""" for m in metrics
+    )
+
+
+def _comparison(source: str, metrics: tuple[str, ...]) -> str:
+    return f"""{_compared(source, metrics)}
+select metric, control_mean, experiment_mean, experiment_mean - control_mean as absolute_difference,
+  (experiment_mean - control_mean) / control_mean * 100 as relative_difference_percent,
+  control_sample_size, experiment_sample_size, p_value, significant, test_type, cast(null as varchar) as error, ci_lower, ci_upper
+from ({_arm_means(source, metrics)}) join cmp using (metric)"""
+
+
 def _t_margin(mean: str, error: str, n: str) -> str:
     """0.975 quantile of t with n - 1 degrees of freedom, as a series around the normal one."""
     z, v = f"{Z_TWO!r}::double", f"({n} - 1)"
@@ -698,6 +793,15 @@ ORACLES: dict[str, str] = {
         count(search_latency_ms) as sample_size from qm group by 1"""
     ),
     "x2_rank_test": f"with {EVENT_LOG}, {SAMPLE}, {_rank_p('smp', ('has_click',))} select * from rp",
+    "x2_compare_arms": f"with {EVENT_LOG}, {SAMPLE}, {_comparison('smp', ('has_click',))}",
+    "x3_analyze_experiment": f"with {RESULT_LOG}, {_comparison('clk', ('dwell_time', 'time_to_click'))}",
+    "x4_segment_impact": f"""with {RESULT_LOG}, {_compared('clk', ('dwell_time',), 'device_type')}
+        select concat('dwell_time for device_type=', seg) as metric, seg as segment, segment_size,
+          segment_size / (select count(*) from clk) * 100 as segment_size_percent, control_mean, experiment_mean,
+          experiment_mean - control_mean as absolute_difference,
+          (experiment_mean - control_mean) / control_mean * 100 as relative_difference_percent, control_sample_size,
+          experiment_sample_size, p_value, significant, test_type, cast(null as varchar) as error, ci_lower, ci_upper
+        from ({_arm_means('clk', ('dwell_time',), 'device_type')}) join cmp using (metric, seg)""",
     "x2_arm_statistics": f"with {RESULT_LOG}, {_arms('clk', ('dwell_time', 'time_to_click'))}",
     "x2_arm_statistics_binary": f"with {EVENT_LOG}, {SAMPLE}, {_arms('smp', ('has_click', 'search_latency_ms'))}",
     "x3_differences": f"with {RESULT_LOG}, {_rank_p('clk', ('dwell_time', 'time_to_click'))} "

@@ -1,9 +1,8 @@
 """Comparison of two experiment arms.
 
-Spark does all work that grows with the data: one pass for moments, one value
-histogram per metric and segment with running counts along the values (for rank
-sums, medians and normal scores), and one pass that folds the samples into a
-fixed number of cells for resampling. What remains for each (metric, segment) is
+Spark does all work that grows with the data: one pass for moments and one value
+histogram per metric and segment with running counts along the values, for rank
+sums, medians, normal scores and resampling. What remains for each (metric, segment) is
 one row of sums, finished in Python with the tail functions.
 
 The samples are never gathered. The running counts use the hot-key-safe scan,
@@ -13,8 +12,9 @@ since one metric without segments is a single group holding every row.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator, Sequence
+from fractions import Fraction
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicklake.functions.normal_scores import shapiro_p, score_sums
+from clicklake.functions.normal_scores import shapiro_p, with_score_sums
 from clicklake.functions.scan import SLICE_ROWS, scan
 from clicklake.functions.tails import (
     NORMAL,
@@ -32,11 +32,13 @@ from clicklake.functions.tails import (
     t_two_sided,
 )
 
-CELLS = 4096
+# Replicates that a task works on at a time, and the group totals it holds before it hands them on.
+REPLICATES, HELD = 1024, 64
+# Fixed values of the mixing of 32-bit numbers.
+_M1, _M2, _STEP = 0x7FEB352D, 0x846CA68B, 0x9E3779B9
 NOT_ENOUGH = "Insufficient data for statistical analysis"
-# Exact rank-sum tails: a sample of at most 8, no ties, and a table this large.
+# Exact rank-sum tails: no ties, and a sample of at most 8 beside one of any size.
 EXACT_SAMPLE = 8
-EXACT_TABLE = 1_000_000
 
 
 def samples(
@@ -96,6 +98,9 @@ def rank_sums(
     """
     stats = moments(long, keys)
     joined = ranked_values(long, keys, slice_rows).join(stats, list(keys))
+    if with_scores:
+        runs = {a: (F.col(f"upto_{a}") - F.col(a), F.col(f"upto_{a}"), F.col(f"n_{a}")) for a in "ce"}
+        joined = with_score_sums(joined, {f"_score_{a}": run for a, run in runs.items()})
     both = (F.col("c") + F.col("e")).cast("double")
     wins = F.col("c") * (F.col("upto_e") - F.col("e") / 2)
     measures = [
@@ -123,7 +128,6 @@ def rank_sums(
             at_rank(n).alias(f"last_{a}"),
         ]
         if with_scores:
-            joined = joined.withColumn(f"_score_{a}", _score_sum(before, upto, n))
             measures.append(F.sum(off * F.col(f"_score_{a}")).alias(f"scores_{a}"))
     summed = joined.groupBy(*keys).agg(*measures)
     for a in "ce":
@@ -133,14 +137,6 @@ def rank_sums(
     return summed.drop(*[f"_{m}_{a}" for a in "ce" for m in ("mid_low", "mid_high", "dev")])
 
 
-@F.pandas_udf(T.DoubleType())
-def _score_sum(before: pd.Series, upto: pd.Series, n: pd.Series) -> pd.Series:
-    """Sum of the expected normal scores of the ranks before+1 .. upto out of n."""
-    return pd.Series(
-        score_sums(before.to_numpy(float), upto.to_numpy(float), n.to_numpy(float))
-    )
-
-
 def arm_statistics(long: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """The exact statistics behind the tests: Student, Welch, Levene and U (no tails)."""
     s = rank_sums(long, keys, with_scores=False, slice_rows=slice_rows)
@@ -209,21 +205,54 @@ def _t_test(row, equal_variance: bool) -> float:
     return t_two_sided(gap / error, df)
 
 
+@cache
+def _partitions(parts: int) -> list[int]:
+    """How many ways 0, 1, 2, ... or less are a sum of parts of 1 .. ``parts``, for parts + 1 periods.
+
+    Along steps of the least common multiple of the parts these are polynomials of degree ``parts``.
+    """
+    ways = [1] * (math.lcm(*range(1, parts + 1)) * (parts + 1))
+    for part in range(1, parts + 1):
+        for at in range(part, len(ways)):
+            ways[at] += ways[at - part]
+    return ways
+
+
+def _ways_upto(total: int, parts: int) -> int:
+    """``_partitions`` at any total, by Newton's forward differences."""
+    if total < 0:
+        return 0
+    table = _partitions(parts)
+    period = len(table) // (parts + 1)
+    steps, rest = divmod(total, period)
+    known = table[rest::period]
+    found = 0
+    for order in range(parts + 1):
+        found += math.comb(steps, order) * known[0]
+        known = [b - a for a, b in zip(known, known[1:])]
+    return found
+
+
+def exact_rank_tail(u: int, small: int, large: int) -> Fraction:
+    """P(U >= u) without ties, exact, in time that does not depend on ``large``.
+
+    The arrangements with U <= t are the partitions of t or less into at most ``small``
+    parts of at most ``large``. Their generating function is that of parts 1 .. small times
+    (1 - q^(large + i)) for each i, which makes 2^small terms of ``_ways_upto``.
+    """
+    below = small * large - u  # by symmetry
+    found = 0
+    for chosen in range(1 << small):
+        members = [i + 1 for i in range(small) if chosen >> i & 1]
+        found += (-1) ** len(members) * _ways_upto(below - sum(large + i for i in members), small)
+    return Fraction(found, math.comb(small + large, small))
+
+
 def rank_sum_p(u: float, n1: int, n2: int, tie_sum: float) -> float:
     """Two-sided p-value of the Mann-Whitney test."""
     larger = max(u, n1 * n2 - u)
-    if min(n1, n2) <= EXACT_SAMPLE and tie_sum == 0 and n1 * n2 <= EXACT_TABLE:
-        # Number of arrangements for each U, by adding one member at a time.
-        ways = np.zeros(n1 * n2 + 1)
-        ways[0] = 1.0
-        small, large = sorted((n1, n2))
-        for k in range(1, small + 1):
-            step = large + k
-            if step < len(ways):
-                ways[step:] -= ways[:-step].copy()
-            for first in range(k):
-                ways[first::k] = np.cumsum(ways[first::k])
-        return min(1.0, 2.0 * ways[int(larger):].sum() / ways.sum())
+    if min(n1, n2) <= EXACT_SAMPLE and tie_sum == 0:
+        return min(1.0, float(2 * exact_rank_tail(int(larger), *sorted((int(n1), int(n2))))))
     total = n1 + n2
     spread = n1 * n2 / 12.0 * ((total + 1) - tie_sum / (total * (total - 1.0)))
     if spread <= 0:
@@ -259,57 +288,122 @@ def _finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch
 
 
-def _bootstrap_group(draws: int, alpha: float, seed: int, keys: list[str]):
-    """Percentile interval of the mean difference from the cells of one group.
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A scattering of 32-bit numbers, the same in every engine with whole numbers."""
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(_M1)
+    x = (x ^ (x >> np.uint32(15))) * np.uint32(_M2)
+    return x ^ (x >> np.uint32(16))
 
-    A resample of n values is a multinomial draw of cell counts; the sum of the
-    m values drawn from one cell has mean m * mean and variance m * var. Cells with a
-    single value are exact, the others match the first two moments.
-    """
 
-    def run(cells: pd.DataFrame) -> pd.DataFrame:
-        label = [cells[k].iloc[0] for k in keys]
-        rng = np.random.default_rng([seed, zlib.crc32(repr(label).encode())])
-        cells = cells.sort_values(["is_control", "cell"])
-        means = {}
-        for arm, part in cells.groupby("is_control"):
-            sizes = part["size"].to_numpy()
-            n, middle = int(sizes.sum()), part["mean"].to_numpy()
-            spread = part["var"].to_numpy()
-            drawn = []
-            for start in range(0, draws, 500):
-                counts = rng.multinomial(n, sizes / n, size=min(500, draws - start))
-                noise = np.sqrt(counts @ spread) * rng.standard_normal(len(counts))
-                drawn.append((counts @ middle + noise) / n)
-            means[bool(arm)] = np.concatenate(drawn)
-        if len(means) < 2:
-            low = high = math.nan
-        else:
-            gaps = means[False] - means[True]
-            low, high = np.percentile(gaps, [50 * alpha, 100 - 50 * alpha])
-        return pd.DataFrame([[*label, low, high]], columns=[*keys, "ci_lower", "ci_upper"])
+@cache
+def _poisson(bit: int) -> np.ndarray:
+    """Quantiles of the Poisson law of mean 2^bit, at the middles of 2^16 equal parts."""
+    mean = 2.0**bit
+    first = max(0, math.floor(mean - 8 * math.sqrt(mean)))
+    at = np.arange(first, math.ceil(mean + 8 * math.sqrt(mean)) + 9, dtype=np.float64)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(mean / at[1:]))])
+    law = np.exp(logs - logs.max())
+    upto = np.cumsum(law) / law.sum()
+    return first + np.searchsorted(upto, (np.arange(1 << 16) + 0.5) / (1 << 16), side="left").astype(np.float64)
+
+
+def _weighted(values: np.ndarray, upto: np.ndarray, count: np.ndarray, arm: int, draws: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted sums and weights of all replicates, over distinct values of one arm.
+
+    A value that occurs c times has a weight from the Poisson law of mean c, as the sum
+    of one draw for each binary digit of c.
+    """
+    sums, weights = np.zeros(draws), np.zeros(draws)
+    for bit in range(int(count.max()).bit_length()):
+        mine = np.flatnonzero((count >> bit) & 1)
+        table = _poisson(bit)
+        for start in range(0, len(mine), 256):
+            at = mine[start : start + 256]
+            place = upto[at].astype(np.uint64)
+            high = ((place >> np.uint64(32)) * np.uint64(128) + np.uint64(2 * bit + arm + 7919 * seed)).astype(np.uint32)
+            name = _mixed(_mixed(high) ^ place.astype(np.uint32))
+            for first in range(0, draws, REPLICATES):
+                step = np.arange(first, min(draws, first + REPLICATES), dtype=np.uint32) * np.uint32(_STEP)
+                drawn = table[_mixed(name[:, None] + step[None, :]) >> np.uint32(16)]
+                sums[first : first + REPLICATES] += values[at] @ drawn
+                weights[first : first + REPLICATES] += drawn.sum(axis=0)
+    return sums, weights
+
+
+def _resampled(draws: int, seed: int, keys: list[str]):
+    names = [*keys, "is_control", "replicate", "total", "weight"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+
+        def handed_on() -> pd.DataFrame:
+            parts = [
+                pd.DataFrame(dict(zip(names, [*key, np.arange(draws), *sums], strict=True)))
+                for key, sums in held.items()
+            ]
+            held.clear()
+            return pd.concat(parts, ignore_index=True)
+
+        for batch in batches:
+            for key, part in batch.groupby([*keys, "is_control"], sort=False, dropna=False):
+                label = tuple(part[k].iloc[0] for k in [*keys, "is_control"])
+                found = _weighted(
+                    part["value"].to_numpy(float), part["upto"].to_numpy(np.int64), part["count"].to_numpy(np.int64),
+                    int(label[-1]), draws, seed,
+                )
+                before = held.get(label)
+                held[label] = found if before is None else (before[0] + found[0], before[1] + found[1])
+                if len(held) >= HELD:
+                    yield handed_on()
+        if held:
+            yield handed_on()
 
     return run
 
 
 def bootstrap_intervals(
-    long: DataFrame, keys: Sequence[str], alpha: float = 0.05, draws: int = 10_000, seed: int = 0
+    long: DataFrame,
+    keys: Sequence[str],
+    alpha: float = 0.05,
+    draws: int = 10_000,
+    seed: int = 0,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Bootstrap percentile interval of the mean difference per key.
 
-    Samples of any size are folded into at most ``CELLS`` cells per arm by a hash
-    of the value, so a group hands at most 2 * CELLS rows to Python.
+    A Poisson bootstrap: in each replicate every observation has a weight of mean 1, drawn by a
+    hash of its rank, so samples stay where they are and tasks hand on one sum
+    and weight per replicate, arm and key. Equal values draw together; weights follow
+    the Poisson law to 16 bits. Replicates in which an arm has no weight are left out.
     """
-    cell = F.pmod(F.xxhash64("value"), F.lit(CELLS)).alias("cell")
-    cells = long.groupBy(*keys, "is_control", cell).agg(
-        F.count(F.lit(1)).alias("size"),
-        F.avg("value").alias("mean"),
-        F.var_pop("value").alias("var"),
+    ranked = ranked_values(long, keys, slice_rows)
+    arms = F.explode(
+        F.array(
+            F.struct(F.lit(True).alias("is_control"), F.col("c").alias("count"), F.col("upto_c").alias("upto")),
+            F.struct(F.lit(False).alias("is_control"), F.col("e").alias("count"), F.col("upto_e").alias("upto")),
+        )
+    ).alias("arm")
+    each = ranked.select(*keys, "value", arms).select(*keys, "value", "arm.*").where("count > 0")
+    spark = long.sparkSession
+    # The rows are few and small, the work on each is not: as many tasks as there are cores at least.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    schema = ", ".join(f"`{k}` {long.schema[k].dataType.simpleString()}" for k in keys)
+    spread = each.repartition(tasks, *keys, "value")
+    partial = spread.mapInPandas(
+        _resampled(draws, seed, list(keys)),
+        f"{schema}, is_control boolean, replicate int, total double, weight double",
+    )
+    control = F.col("is_control")
+    means = partial.groupBy(*keys, "replicate").agg(
+        *[
+            F.try_divide(F.sum(F.when(arm, F.col("total"))), F.sum(F.when(arm, F.col("weight")))).alias(name)
+            for name, arm in (("mean_c", control), ("mean_e", ~control))
+        ]
     )
-    schema = ", ".join(f"`{k}` {cells.schema[k].dataType.simpleString()}" for k in keys)
-    return cells.groupBy(*keys).applyInPandas(
-        _bootstrap_group(draws, alpha, seed, list(keys)),
-        f"{schema}, ci_lower double, ci_upper double",
+    gap = F.col("mean_e") - F.col("mean_c")
+    bounds = F.percentile(gap, F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2)))
+    return means.groupBy(*keys).agg(bounds.alias("_b")).select(
+        *keys, F.col("_b")[0].alias("ci_lower"), F.col("_b")[1].alias("ci_upper")
     )
 
 
@@ -356,7 +450,7 @@ def compare_arms(
         return out.withColumns(
             {c: F.lit(None).cast("double") for c in ("ci_lower", "ci_upper")}
         )
-    intervals = bootstrap_intervals(long, keys, alpha, draws, seed)
+    intervals = bootstrap_intervals(long, keys, alpha, draws, seed, slice_rows)
     kept = [c for c in out.columns if c not in keys]
     return out.join(intervals, list(keys), "left").select(
         *keys,

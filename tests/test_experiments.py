@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -49,14 +50,24 @@ def test_shapiro_published_values():
     assert 0 < brute_shapiro([1.0, 2.0, 4.0, 4.5]) < 1
 
 
-@pytest.mark.parametrize("n", [80, 3000, 50_000])
-def test_score_sums_equal_the_term_by_term_sum(n):
+def test_normal_quantile_column(spark):
+    ps = [1e-300, 1e-30, 1e-12, 1e-6, 0.01, 0.0749, 0.0751, 0.3, 0.5, 0.6, 0.925, 0.9251, 0.999, 1 - 1e-9]
+    rows = normal_scores.with_normal_quantiles(spark.createDataFrame([(p,) for p in ps], "p double"), {"z": F.col("p")})
+    for r in rows.collect():
+        assert r.z == pytest.approx(tails.NORMAL.inv_cdf(r.p), rel=1e-13, abs=1e-15)
+
+
+@pytest.mark.parametrize("n", [3, 80, 3000, 50_000])
+def test_score_sums_equal_the_term_by_term_sum(spark, n):
     each = np.array([normal_scores._score(i, n) for i in range(1, n + 1)])
     assert normal_scores.square_sum(float(n)) == pytest.approx(float(each @ each), rel=1e-10)
-    for low, high in ((1, n), (1, n // 2), (n // 3, n - 5), (n // 9, n // 9 + 70), (7, 7)):
-        exact = float(each[low - 1 : high].sum())
-        assert normal_scores.score_sum(low, high, n) == pytest.approx(exact, abs=1e-7 * n)
-    assert normal_scores.score_sums(np.array([4.0]), np.array([4.0]), np.array([float(n)]))[0] == 0
+    rng = np.random.default_rng(n)
+    runs = [(0, n), (0, n // 2), (n // 3, n - 2), (n // 9, min(n, n // 9 + 70)), (1, 2), (1, 1), (n - 1, n)]
+    runs += [tuple(sorted(int(x) for x in rng.integers(0, n + 1, 2))) for _ in range(40)]
+    rows = spark.createDataFrame([(a, b, n) for a, b in runs], "before long, upto long, n long")
+    found = normal_scores.with_score_sums(rows, {"s": tuple(map(F.col, ("before", "upto", "n")))})
+    for r in found.collect():
+        assert r.s == pytest.approx(math.fsum(each[r.before : r.upto]), abs=1e-9)
 
 
 def test_rank_sum_exact_tail():
@@ -75,6 +86,40 @@ def test_rank_sum_exact_tail():
         assert ex.rank_sum_p(u_seen, 3, 4, 0) == pytest.approx(min(1.0, 2 * hits / total))
 
 
+def _tail_by_recurrence(u, n1, n2):
+    """Numbers of arrangements for each U, by the larger member's sample."""
+    ways = {(0, k): [1] for k in range(n2 + 1)} | {(k, 0): [1] for k in range(n1 + 1)}
+    for a in range(1, n1 + 1):
+        for b in range(1, n2 + 1):
+            out = [0] * (a * b + 1)
+            for at, w in enumerate(ways[a - 1, b]):
+                out[at + b] += w
+            for at, w in enumerate(ways[a, b - 1]):
+                out[at] += w
+            ways[a, b] = out
+    return Fraction(sum(ways[n1, n2][u:]), math.comb(n1 + n2, n1))
+
+
+@pytest.mark.parametrize("n1, n2", [(1, 1), (1, 40), (2, 9), (3, 30), (5, 20), (8, 25), (8, 8)])
+def test_exact_tail_equals_the_recurrence(n1, n2):
+    for u in range(0, n1 * n2 + 1, max(1, n1 * n2 // 17)):
+        assert ex.exact_rank_tail(u, n1, n2) == _tail_by_recurrence(u, n1, n2)
+
+
+def test_exact_tail_beside_a_sample_of_any_size():
+    n = 10**6
+    assert ex.exact_rank_tail(0, 8, n) == 1 and ex.exact_rank_tail(8 * n, 8, n) == Fraction(1, math.comb(n + 8, 8))
+    middle = float(ex.exact_rank_tail(4 * n, 8, n))
+    assert middle == pytest.approx(0.5, abs=1e-5) and middle > 0.5
+    u = int(4 * n + 2.0 * math.sqrt(8 * n * (n + 9) / 12))
+    # U / n is nearly a sum of 8 uniform numbers (Irwin and Hall)
+    x = 8 - u / n
+    tail = sum((-1) ** k * math.comb(8, k) * (x - k) ** 8 for k in range(int(x) + 1)) / math.factorial(8)
+    assert float(ex.exact_rank_tail(u, 8, n)) == pytest.approx(tail, rel=1e-4)
+    assert ex.rank_sum_p(u, 8, n, 0) == pytest.approx(2 * tail, rel=1e-4)
+    assert 0 < ex.rank_sum_p(8 * 10**12, 8, 10**12, 0) < 1e-80
+
+
 def test_rank_sum_normal_tail_with_ties():
     # continuity and tie corrected: n1 = n2 = 10, mean 50
     expected = math.erfc((70 - 50 - 0.5) / math.sqrt(100 / 12 * (21 - 600 / 380)) / math.sqrt(2))
@@ -168,6 +213,30 @@ def test_bootstrap_of_a_small_sample_matches_plain_resampling(spark):
     assert found.ci_lower == pytest.approx(low, abs=0.08) and found.ci_upper == pytest.approx(high, abs=0.08)
 
 
+def test_poisson_weights_have_their_law():
+    for bit in (0, 1, 5, 20, 34):
+        table, mean = ex._poisson(bit), 2.0**bit
+        assert table.mean() == pytest.approx(mean, rel=2e-4 / math.sqrt(mean) + 1e-6)
+        assert table.var() == pytest.approx(mean, rel=3e-3)
+
+
+def test_bootstrap_of_ties_equals_that_of_single_values(spark):
+    """A value that occurs c times draws once per binary digit of c, with the same law."""
+    rng = np.random.default_rng(7)
+    c, e = rng.integers(0, 3, 700), rng.integers(0, 4, 500)
+    found = ex.bootstrap_intervals(ex.samples(arms(spark, c, e), ["m"]), ["metric"]).first()
+    gap, error = e.mean() - c.mean(), math.sqrt(c.var() / 700 + e.var() / 500)
+    assert found.ci_lower == pytest.approx(gap - 1.96 * error, abs=0.06 * error)
+    assert found.ci_upper == pytest.approx(gap + 1.96 * error, abs=0.06 * error)
+
+
+def test_bootstrap_does_not_depend_on_slices(spark):
+    rng = np.random.default_rng(9)
+    long = ex.samples(arms(spark, rng.normal(0, 1, 300), rng.normal(0, 1, 200)), ["m"])
+    found = [ex.bootstrap_intervals(long, ["metric"], draws=300, slice_rows=n).first() for n in (40, 10**9)]
+    assert found[0].ci_lower == pytest.approx(found[1].ci_lower, abs=1e-12)
+
+
 def test_segments(spark):
     rows = []
     for segment, n_c, n_e in (("kept", 12, 10), ("short", 30, 9), (None, 50, 50)):
