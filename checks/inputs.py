@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from clicklake.operators import experiments
 from clicklake.operators.sessions import query_metrics
 from clicklake.plans import star
+from clicklake.plans.metrics import MetricTables
 from clicklake.sources import derived
+from clicklake.sources.stages import Stages
 
 START, END = "1997-01-01", "1997-12-31"
 
@@ -31,6 +33,10 @@ class Inputs:
     def events(self) -> DataFrame:
         return self._stored("event_log", lambda: derived.event_log(self.spark, self.folder))
 
+    @cached_property
+    def metrics(self) -> MetricTables:
+        return MetricTables(Stages(self.spark, [self.folder]), lambda: self.events)
+
     @cached_property
     def results(self) -> DataFrame:
         return self._stored("result_log", lambda: derived.result_log(self.spark, self.folder))

@@ -517,10 +517,19 @@ def _t_margin(mean: str, error: str, n: str) -> str:
     terms = (
         f"{z} + ({z}**3 + {z}) / (4 * {v}) + (5 * {z}**5 + 16 * {z}**3 + 3 * {z}) / (96 * {v}**2)"
         f" + (3 * {z}**7 + 19 * {z}**5 + 17 * {z}**3 - 15 * {z}) / (384 * {v}**3)"
+        f" + (79 * {z}**9 + 776 * {z}**7 + 1482 * {z}**5 - 1920 * {z}**3 - 945 * {z}) / (92160 * {v}**4)"
     )
     return f"{mean} - {error} * ({terms}) as lower, {mean} + {error} * ({terms}) as upper"
 
 
+def _t_two_sided(t: str, v: str) -> str:
+    """P(|T| > t) by the finite series in the angle atan(t / sqrt(v)), for 2 to 160 degrees of freedom."""
+    angle = f"atan(({t}) / sqrt({v}))"
+    even = f"list_sum([gamma(i + 0.5) / (sqrt(pi()) * gamma(i + 1.0)) * cos({angle}) ** (2 * i) for i in range(0, cast({v} // 2 as bigint))])"
+    odd = f"coalesce(list_sum([sqrt(pi()) / 2 * gamma(i + 1.0) / gamma(i + 1.5) * cos({angle}) ** (2 * i + 1) for i in range(0, cast(({v} - 1) // 2 as bigint))]), 0)"
+    return f"case when {v} % 2 = 0 then 1 - sin({angle}) * {even} else 1 - 2 / pi() * ({angle} + sin({angle}) * {odd}) end"
+
+
 SAMPLE = """smp as (select variant, user_segment, date, has_click::int::double as has_click,
   search_latency_ms from qm)"""
 
@@ -827,6 +836,13 @@ ORACLES: dict[str, str] = {
         count(dwell_time) filter (where variant = 'control') as control_sample_size,
         count(dwell_time) filter (where variant = 'experiment') as experiment_sample_size
         from clk group by device_type) d join rp on rp.seg = d.segment""",
+    "x5_timeseries_intervals": _ev(
+        f"""select date, mean as search_latency_ms_mean, lower as search_latency_ms_lower,
+        upper as search_latency_ms_upper, sample_size as search_latency_ms_sample_size
+        from (select date, mean, {_t_margin('mean', 'std_error', 'sample_size')}, sample_size
+          from (select date, avg(search_latency_ms) as mean, count(search_latency_ms) as sample_size,
+            stddev_samp(search_latency_ms) / sqrt(count(search_latency_ms)) as std_error from qm group by 1))"""
+    ),
     "x5_timeseries_means": _ev(
         """select date, avg(search_latency_ms) as search_latency_ms_mean,
         count(search_latency_ms) as search_latency_ms_sample_size from qm group by 1"""
@@ -850,6 +866,14 @@ ORACLES: dict[str, str] = {
         case when regr_slope(ctr, row_index) > 0 then 'Upward' else 'Downward' end as direction
         from ({TREND})"""
     ),
+    "x10_trend": _ev(
+        f"""select n, slope, intercept, strength, direction, {_t_two_sided('sqrt(strength * v / (1 - strength))', 'v')} as p_value
+        from (select *, n - 2 as v from (
+          select count(*) as n, regr_slope(ctr, row_index) as slope,
+            regr_intercept(ctr, row_index) as intercept, regr_r2(ctr, row_index) as strength,
+            case when regr_slope(ctr, row_index) > 0 then 'Upward' else 'Downward' end as direction
+          from ({TREND})))"""
+    ),
     "x10_trend_line": _ev(
         f"""select date, ctr, cast(row_index as int) as row_index, i + m * row_index as fitted
         from ({TREND}) cross join (select regr_slope(ctr, row_index) as m,
@@ -925,6 +949,9 @@ ORACLES: dict[str, str] = {
               where date_diff('microsecond', s.timestamp, c.timestamp) / 1e6 <= 14400)""",
         )
     ),
+    "c1_sample_sessions": _ev(
+        "select * from log where cast('0x' || left(md5(session_id), 8) as bigint) < 2147483648"
+    ),
     "c5_time_to_click_capped": _ev(
         _ttc(
             "daily", (), None,

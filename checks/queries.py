@@ -208,19 +208,11 @@ QUERIES: dict[str, Q] = {
     "p1_session_metrics": lambda i: sessions.session_metrics(i.events),
     "p2_time_to_first_click": lambda i: sessions.time_to_first_click(i.events),
     "p3_query_metrics": lambda i: sessions.query_metrics(i.events),
-    "p4_daily_aggregates": lambda i: sessions.daily_aggregates(sessions.query_metrics(i.events)),
-    "p4_daily_unrounded": lambda i: sessions.daily_aggregates(
-        sessions.query_metrics(i.events), digits=None
-    ),
-    "p5_segment_aggregates": lambda i: sessions.segment_aggregates(
-        sessions.query_metrics(i.events)
-    ),
-    "p6_quality_score": lambda i: sessions.quality_score(
-        sessions.daily_aggregates(sessions.query_metrics(i.events))
-    ),
-    "p7_summary_statistics": lambda i: sessions.summary_statistics(
-        sessions.query_metrics(i.events)
-    ),
+    "p4_daily_aggregates": lambda i: i.metrics.daily_aggregates(),
+    "p4_daily_unrounded": lambda i: i.metrics.daily_aggregates(None),
+    "p5_segment_aggregates": lambda i: i.metrics.segment_aggregates(),
+    "p6_quality_score": lambda i: i.metrics.quality_score(),
+    "p7_summary_statistics": lambda i: i.metrics.summary_statistics(),
     # engagement
     "e1_ctr_daily": lambda i: engagement.click_through_rate(i.events),
     "e1_ctr_daily_segment": lambda i: engagement.click_through_rate(i.events, ["user_segment"]),

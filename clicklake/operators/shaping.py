@@ -16,12 +16,16 @@ from clicklake.operators.engagement import user_engagement_segments
 
 
 def sample_sessions(log: DataFrame, rate: float, key: str = "session_id") -> DataFrame:
-    """Keep whole sessions with probability ``rate``, the same ones on every run."""
+    """Keep whole sessions with probability ``rate``, the same ones on every run and in every engine.
+
+    A session stays if the first 8 digits of the MD5 of its key, as text, are below the rate's share of 16^8.
+    """
     if not 0 <= rate <= 1:
         raise ValueError("rate must lie between 0 and 1")
     if rate == 1:
         return log
-    return log.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < round(rate * 1_000_000))
+    draw = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+    return log.where(draw < round(rate * 16**8))
 
 
 def sessionize(

@@ -33,8 +33,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder the cluster shares, as spark.checkpoint.dir names it.
+def shared_base(spark: SparkSession) -> str:
+    """The folder the cluster shares, as spark.checkpoint.dir names it.
 
     Where it is unset, only a session whose executors all run in this process may go on,
     in a folder of this machine; on a cluster a local folder would lose rows unseen.
@@ -45,7 +45,12 @@ def shared_folder(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError(f"{CHECKPOINT_KEY} must name a folder that driver and executors share")
         base = _own_folder.setdefault(context.applicationId, tempfile.mkdtemp(prefix="clicklake-"))
-    return f"{base.rstrip('/')}/clicklake-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the folder the cluster shares."""
+    return f"{shared_base(spark)}/clicklake-{uuid.uuid4().hex}"
 
 
 def materialized(df: DataFrame) -> DataFrame:

@@ -15,25 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklake.functions.scan import scan
-from clicklake.session import shared_folder
-
-_written: dict[tuple[str, str, str], str] = {}
+from clicklake.sources.stages import Stages
 
 
 def stored(
     spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
-    """The frame as a table in the shared folder, written once per application and input.
+    """The frame as a table in the shared folder, written once while the files of ``folder`` stay as they are.
 
-    Reports then read a stored log, as they would in service, and a lost executor
-    only re-reads files instead of repeating the derivation.
+    Reports then read a stored log, as they would in service.
     """
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _written:
-        path = f"{shared_folder(spark)}/{name}"
-        build().write.parquet(path)
-        _written[key] = path
-    return spark.read.parquet(_written[key])
+    return Stages(spark, [folder]).get(name, build)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clicklake.functions.quantiles import SMALL, exact_percentile
+from clicklake.functions.quantiles import MARGIN, exact_percentile
+
+SMALL = int(2 / MARGIN)
 
 
 @pytest.fixture(scope="module")
@@ -32,3 +34,19 @@ def test_equals_the_sorted_answer(groups, fraction):
     assert set(found) == set(values)
     for key, numbers in values.items():
         assert found[key] == pytest.approx(np.quantile(numbers, fraction), rel=1e-12), key
+
+
+def test_one_group_of_all_rows_in_slices(spark):
+    rng = np.random.default_rng(2)
+    values = rng.lognormal(size=20_000)
+    df = spark.createDataFrame([("a", float(v)) for v in values], "g string, x double").repartition(6)
+    for fraction in (0.5, 0.9):
+        found = exact_percentile(df, ["g"], F.col("x"), fraction, "p", slice_rows=20).collect()
+        assert [r.p for r in found] == [pytest.approx(np.quantile(values, fraction), rel=1e-12)]
+
+
+@pytest.mark.parametrize("accuracy", [1, 3])
+def test_a_rank_outside_its_bracket_is_found_in_a_wider_one(groups, accuracy):
+    values, df = groups
+    found = exact_percentile(df, ["g"], F.col("x"), 0.7, "p", accuracy=accuracy, margin=0.004)
+    assert {r.g: r.p for r in found.collect()} == {k: pytest.approx(np.quantile(v, 0.7), rel=1e-12) for k, v in values.items()}
