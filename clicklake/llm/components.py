@@ -37,6 +37,13 @@ def _small_star(links: DataFrame) -> DataFrame:
     return hung.union(least.select("a", F.col("least").alias("b"))).distinct()
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """member, component: one contraction. Members that share a component are connected, but not all that are share one."""
+    edge = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edge = written(_small_star(_large_star(edge)))
+    return edge.groupBy(F.col("a").alias("member")).agg(F.min("b").alias("component"))
+
+
 def connected(links: DataFrame) -> DataFrame:
     """member, component (the smallest member reachable) from links of columns a and b.
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,14 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklake.llm.common import written
-from clicklake.llm.components import connected
+from clicklake.llm.components import connected, contracted
 
 SHINGLE_WORDS = 5
 BAND_ROWS = 5
 #: A pair exactly at the threshold shares no band with at most this probability.
 MISS = 1e-6
 COLUMNS = 1 << 14
-PIVOT_GROWTH = 16
+PIVOT_GROWTH = 64
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -176,17 +177,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
     buckets = written(_several(counted.join(classes.select("cid", "twin", "bands"), ["cid", "twin"]).select(*columns), percent))
 
     pivots = 1
-    stars: DataFrame | None = None  # of the links so far: every member to its component
+    found: list[DataFrame] = []
     while not buckets.isEmpty():
         # Those with the fewest shingles of their own are most like the others.
         part = F.pmod(F.xxhash64("cid", "twin"), F.lit(pivots)).alias("part")
         chosen = buckets.groupBy("key", part).agg(F.min(F.struct("own", "cid", "twin", "comp", "n", "bands")).alias("pivot"))
-        gone = chosen.select("key", F.col("pivot.cid").alias("cid"), F.col("pivot.twin").alias("twin"), F.lit(True).alias("leaves"))
-        marked = buckets.join(gone, ["key", "cid", "twin"], "left").withColumn("leaves", F.coalesce("leaves", F.lit(False)))
-        met = marked.join(chosen, "key").where(
-            # Two pivots of a bucket meet once, not once from either side.
-            "(not leaves or cid < pivot.cid)"
-            f" and comp <> pivot.comp and {100 + percent} * least(n - own, pivot.n - pivot.own) >= {percent} * (n + pivot.n)"
+        met = buckets.join(chosen, "key").where(
+            f"comp <> pivot.comp and {100 + percent} * least(n - own, pivot.n - pivot.own) >= {percent} * (n + pivot.n)"
             # Of the buckets that two are in, the first decides about them.
             " and forall(slice(zip_with(bands, pivot.bands, (x, y) -> x = y), 1, band), same -> not same)"
         )
@@ -195,16 +192,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
             "a.cid as a", "a.twin as a_twin", "b.cid as b", "b.twin as b_twin"
         ).distinct()
         new = written(_verified(pairs, sets, percent))
-        rest = marked.where("not leaves")
+        gone = chosen.select("key", F.col("pivot.cid").alias("cid"), F.col("pivot.twin").alias("twin"))
+        rest = buckets.join(gone, ["key", "cid", "twin"], "left_anti")
         if not new.isEmpty():
-            comps = connected(new if stars is None else stars.union(new)).select(F.col("member").alias("cid"), "component")
-            stars = comps.select(F.col("cid").alias("a"), F.col("component").alias("b"))
-            rest = rest.join(comps, "cid", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
+            found.append(new)
+            # Members of one component are not compared again; that some of them are not known as such yet costs comparisons alone.
+            comps = contracted(reduce(DataFrame.union, found)).select(F.col("member").alias("cid"), "component")
+            rest = rest.join(comps, "cid", "left").withColumn("comp", F.least("comp", "component")).drop("component")
         buckets = written(_several(rest.select(*columns), percent))
         pivots *= PIVOT_GROWTH
 
     copies = members.where("doc_id <> cid").select(F.col("doc_id").alias("a"), F.col("cid").alias("b"))
-    graph = connected(copies if stars is None else copies.union(stars))
+    graph = connected(reduce(DataFrame.union, [copies, *found]))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return (
         features.join(graph, F.col("doc_id") == F.col("member"), "left")
