@@ -523,13 +523,19 @@ def _t_margin(mean: str, error: str, n: str) -> str:
 
 
 def _t_two_sided(t: str, v: str) -> str:
-    """P(|T| > t) by the finite series in the angle atan(t / sqrt(v)), for 2 to 160 degrees of freedom."""
+    """P(|T| > t) by the finite series in the angle atan(t / sqrt(v)), for 1 degree of freedom or more."""
     angle = f"atan(({t}) / sqrt({v}))"
-    even = f"list_sum([gamma(i + 0.5) / (sqrt(pi()) * gamma(i + 1.0)) * cos({angle}) ** (2 * i) for i in range(0, cast({v} // 2 as bigint))])"
-    odd = f"coalesce(list_sum([sqrt(pi()) / 2 * gamma(i + 1.0) / gamma(i + 1.5) * cos({angle}) ** (2 * i + 1) for i in range(0, cast(({v} - 1) // 2 as bigint))]), 0)"
+    even = f"list_sum([exp(lgamma(i + 0.5) - lgamma(i + 1.0)) / sqrt(pi()) * cos({angle}) ** (2 * i) for i in range(0, cast({v} // 2 as bigint))])"
+    odd = f"coalesce(list_sum([sqrt(pi()) / 2 * exp(lgamma(i + 1.0) - lgamma(i + 1.5)) * cos({angle}) ** (2 * i + 1) for i in range(0, cast(({v} - 1) // 2 as bigint))]), 0)"
     return f"case when {v} % 2 = 0 then 1 - sin({angle}) * {even} else 1 - 2 / pi() * ({angle} + sin({angle}) * {odd}) end"
 
 
+def _newton(t: str, v: str) -> str:
+    """One step from t towards the 0.975 quantile."""
+    density = f"exp(lgamma(({v} + 1) / 2) - lgamma({v} / 2)) / sqrt({v} * pi()) * (1 + {t} ** 2 / {v}) ** (-({v} + 1) / 2)"
+    return f"{t} + ({_t_two_sided(t, v)} - 0.05) / (2 * {density})"
+
+
 SAMPLE = """smp as (select variant, user_segment, date, has_click::int::double as has_click,
   search_latency_ms from qm)"""
 
@@ -837,11 +843,13 @@ ORACLES: dict[str, str] = {
         count(dwell_time) filter (where variant = 'experiment') as experiment_sample_size
         from clk group by device_type) d join rp on rp.seg = d.segment""",
     "x5_timeseries_intervals": _ev(
-        f"""select date, mean as search_latency_ms_mean, lower as search_latency_ms_lower,
-        upper as search_latency_ms_upper, sample_size as search_latency_ms_sample_size
-        from (select date, mean, {_t_margin('mean', 'std_error', 'sample_size')}, sample_size
-          from (select date, avg(search_latency_ms) as mean, count(search_latency_ms) as sample_size,
-            stddev_samp(search_latency_ms) / sqrt(count(search_latency_ms)) as std_error from qm group by 1))"""
+        f"""select date, mean as search_latency_ms_mean, mean - error * t4 as search_latency_ms_lower,
+        mean + error * t4 as search_latency_ms_upper, n as search_latency_ms_sample_size
+        from (select *, n - 1 as v, lower as t0, {_newton('t0', 'v')} as t1, {_newton('t1', 'v')} as t2,
+            {_newton('t2', 'v')} as t3, {_newton('t3', 'v')} as t4
+          from (select *, {_t_margin('0', '-1', 'n')} from (
+            select date, avg(search_latency_ms) as mean, count(search_latency_ms) as n,
+              stddev_samp(search_latency_ms) / sqrt(count(search_latency_ms)) as error from qm group by 1)))"""
     ),
     "x5_timeseries_means": _ev(
         """select date, avg(search_latency_ms) as search_latency_ms_mean,
