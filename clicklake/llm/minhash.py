@@ -182,8 +182,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = SHINGLE_WOR
         # Those with the fewest shingles of their own are most like the others.
         part = F.pmod(F.xxhash64("cid", "twin"), F.lit(pivots)).alias("part")
         chosen = buckets.groupBy("key", part).agg(F.min(F.struct("own", "cid", "twin", "comp", "n", "bands")).alias("pivot"))
-        met = buckets.join(chosen, "key").where(
-            f"comp <> pivot.comp and {100 + percent} * least(n - own, pivot.n - pivot.own) >= {percent} * (n + pivot.n)"
+        own = chosen.select("key", "part", F.col("pivot.cid").alias("own_cid"), F.col("pivot.twin").alias("own_twin"))
+        marked = buckets.withColumn("part", part).join(own, ["key", "part"]).drop("part")
+        met = marked.join(chosen.drop("part"), "key").where(
+            # Two pivots of a bucket meet once, not once from either side.
+            "(cid <> own_cid or twin <> own_twin or cid < pivot.cid) and"
+            f" comp <> pivot.comp and {100 + percent} * least(n - own, pivot.n - pivot.own) >= {percent} * (n + pivot.n)"
             # Of the buckets that two are in, the first decides about them.
             " and forall(slice(zip_with(bands, pivot.bands, (x, y) -> x = y), 1, band), same -> not same)"
         )
