@@ -10,7 +10,10 @@ heading (there at the heading, if it follows a box of less), and dives behind th
 between is the article, whole.
 
 Where a page marks its article (`article`, `main`), the marks decide instead: they are the
-publisher's own statement, and window sums could only cut what they hold.
+publisher's own statement, and window sums could only cut what they hold. Of several the one with the page's heading is
+the article, of those the innermost, else the longest; the others are teasers. An element named or made for
+boilerplate goes whatever its length. Only where no text surges outside of such elements, one that merely has such a word
+within a longer name, or a form, is read as the page's body.
 """
 
 from __future__ import annotations
@@ -32,9 +35,8 @@ WINDOW = 3
 SURGE = 80
 #: Of a line, the share of characters inside links from which it is one of links.
 LINKS = 0.5
-#: An element with a boilerplate word in its class or id is none from this share of the page's text; one with that word
-#: alone as a class, or named as comments and the like, which can be longer than the article, from the higher one.
-MOST, NEARLY_ALL = 0.5, 0.9
+#: How sure a mark of boilerplate is: a form or a word within a longer name can also lie around the article.
+WEAK, STRONG = 1, 2
 
 # Ends of lines and structures among pieces of text, kinds of elements of HTML.
 LINE, BOX, GAP = object(), object(), object()
@@ -55,12 +57,17 @@ _BOILERPLATE = frozenset(
     " replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
-#: Words of them that name running text, which can be longer than the article beside it.
+#: Words of them that name boilerplate also within a longer name.
 _OTHER_TEXT = frozenset("comment comments consent cookie cookies disclaimer disqus related replies reply respond".split())
+#: Words before them that tell what a page has around its article.
+_STATES = frozenset("has no with without".split())
 _CLOSED_BY_BLOCK = frozenset(["p"])
 _IN_HEAD = frozenset("base link meta noscript script style template title".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
+_OPENING = re.compile(r"<(?=[!?]|/?[a-zA-Z])")
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?", re.S)
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+_LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTRIBUTE = re.compile(r""""[^"]*"|'[^']*'|([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _SPACE = re.compile(r"\s+")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -79,36 +86,52 @@ def _hidden(tag: str, attributes: dict[str, str]) -> bool:
     return tag in _HIDDEN or tag == "head" or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
 
 
-def _most(tag: str, attributes: dict[str, str], in_article: bool) -> float | None:
-    """None if nothing marks the element as boilerplate, else the share of the page's text from which it cannot be that."""
+def _mark(tag: str, attributes: dict[str, str], in_article: bool) -> int:
+    """How sure the element is boilerplate: 0, WEAK or STRONG."""
     # A header inside an article belongs to it; one of the page does not.
     if tag in _APART and tag != "form" or tag == "header" and not in_article or attributes.get("role", "").lower() in _ROLES:
-        return 1.0
-    if tag in ("html", "body", "main", "article"):
-        return None
-    parts = {part.lower() for name in ("class", "id") for part in _NAME_PARTS.findall(attributes.get(name, ""))} & _BOILERPLATE
-    parts -= {"header"} if in_article else set()
-    whole = {word.lower() for name in ("class", "id") for word in attributes.get(name, "").split()}
-    if parts & (_OTHER_TEXT | whole):
-        return NEARLY_ALL
-    return MOST if parts or tag == "form" else None
+        return STRONG
+    if tag in ("html", "body", "main"):
+        return 0
+    names = [name for key in ("class", "id") for name in attributes.get(key, "").split()]
+    mark = WEAK if tag == "form" else 0
+    for name in names:
+        parts = [part.lower() for part in _NAME_PARTS.findall(name)]
+        words = set() if parts and parts[0] in _STATES else _BOILERPLATE.intersection(parts) - ({"header"} if in_article else set())
+        if words & _OTHER_TEXT or words and len(parts) == 1:
+            return STRONG
+        if words and tag != "article":
+            mark = WEAK
+    return mark
+
+
+@dataclass
+class _Article:
+    tag: str
+    within: int  # the innermost element that looks like boilerplate, or -1
+    parent: int  # the article around it, or -1
+    depth: int
+    size: int = 0  # characters, without those of boilerplate
+    headed: bool = False
 
 
 @dataclass
 class _Apart:
-    """Elements that look like boilerplate: the one each lies in, what they hold and whether they are dropped.
+    """Elements that look like boilerplate, the one each lies in and what they hold, and the articles.
 
     The last place, -1, is the page outside all of them.
     """
 
     within: list[int] = field(default_factory=list)
-    most: list[float] = field(default_factory=list)
+    mark: list[int] = field(default_factory=list)
+    strong: list[bool] = field(default_factory=list)  # the element or one around it is surely boilerplate
     own: Counter = field(default_factory=Counter)  # characters outside links, without those of elements inside
-    articles: list[list[int]] = field(default_factory=list)  # the element that each article lies in, and its characters
+    articles: list[_Article] = field(default_factory=list)
 
-    def open(self, within: int, most: float) -> int:
+    def open(self, within: int, mark: int) -> int:
         self.within.append(within)
-        self.most.append(most)
+        self.mark.append(mark)
+        self.strong.append(mark == STRONG or within >= 0 and self.strong[within])
         return len(self.within) - 1
 
     def chain(self, at: int) -> set[int]:
@@ -118,17 +141,29 @@ class _Apart:
             at = self.within[at]
         return found
 
-    def kept(self) -> set[int]:
-        """Those that hold the page's article, or most of its text, and so are no boilerplate."""
-        kept: set[int] = set()
-        home, size = max(self.articles, key=lambda x: x[1], default=(-1, 0))
-        if size and size >= self.own[-1]:
-            kept |= self.chain(home)
-        total = sum(size for at, size in self.own.items() if at < 0 or self.most[at] < 1)
-        at = max(self.own, key=lambda x: self.own[x], default=-1)
-        if at >= 0 and all(self.most[x] < 1 and self.own[at] > self.most[x] * total for x in self.chain(at)):
-            kept |= self.chain(at)
-        return kept
+    def article(self) -> int | None:
+        """The page's article, if it marks one that holds text."""
+
+        def order(at: int) -> tuple:
+            article = self.articles[at]
+            inner = article.depth if article.headed else (article.tag == "article", -article.depth)
+            return article.headed, article.within < 0, inner, article.size, -at
+
+        return max(
+            (at for at, x in enumerate(self.articles) if x.size and (x.headed or x.within < 0 or not self.strong[x.within])),
+            key=order, default=None,
+        )
+
+    def body(self) -> int:
+        """The element of most text among those that only may be boilerplate, or -1."""
+        return max((at for at in self.own if at >= 0 and not self.strong[at]), key=lambda at: (self.own[at], -at), default=-1)
+
+    def inside_article(self, chosen: int | None) -> list[bool]:
+        """For each article whether it is the chosen one or lies in it; last, for no article: no."""
+        found = [False] * (len(self.articles) + 1)
+        for at, article in enumerate(self.articles):  # an article follows the one it lies in
+            found[at] = at == chosen or found[article.parent]
+        return found
 
 
 @dataclass
@@ -158,6 +193,11 @@ class _Lines:
             self.heading.append(self.headed)
         self.pending, self.linked, self.headed = [], 0, False
 
+    def lengths(self) -> np.ndarray:
+        """Characters of each line, none of a line of links."""
+        sizes = [0 if linked >= LINKS * len(text) else len(text) for text, linked in zip(self.text, self.in_links, strict=True)]
+        return np.array(sizes, dtype=np.int64)
+
     def gap(self) -> None:
         """Empty lines, over which a window falls to zero."""
         if self.text and self.text[-1]:
@@ -171,92 +211,101 @@ def _pieces(page: str) -> tuple[list, _Apart]:
     """What a page shows: pieces of text with their place, LINE where a line ends, BOX and GAP where a box or structure begins or ends."""
     found_pieces: list = []
     apart, open_tags, at = _Apart(), [], 0
-    hidden = articles = links = headings = 0  # how many open elements are of that kind
-    inside, sizes = -1, []  # the innermost element that looks like boilerplate, and the open articles
-    length = len(page)
+    hidden = links = headings = 0  # how many open elements are of that kind
+    inside = article = -1  # the innermost element that looks like boilerplate, and the innermost article
+    names: Counter = Counter()  # how many open elements have a name
+    length, pattern = len(page), _TAG
 
     def close() -> str:
-        nonlocal hidden, articles, links, headings, inside
+        nonlocal hidden, links, headings, inside, article
         name, was_hidden, was_article, was_link, was_heading, inside = open_tags.pop()
-        hidden, articles, links, headings = hidden - was_hidden, articles - was_article, links - was_link, headings - was_heading
+        names[name] -= 1
+        hidden, links, headings = hidden - was_hidden, links - was_link, headings - was_heading
         if was_article:
-            inner = sizes.pop()
-            if sizes and sizes[-1][0] == inner[0]:
-                sizes[-1][1] += inner[1]
+            inner = apart.articles[article]
+            article = inner.parent
+            if article >= 0 and apart.articles[article].within == inner.within:
+                apart.articles[article].size += inner.size
+                apart.articles[article].headed |= inner.headed
         return name
 
+    text_from = 0
     while at < length:
-        found = _TAG.search(page, at)
-        stop = found.start() if found else length
-        if stop > at:
-            piece = page[at:stop]
-            if not found:  # a tag that never ends
-                piece = re.split(r"<[!/?a-zA-Z]", piece, maxsplit=1)[0]
-            if open_tags and open_tags[-1][0] == "head" and piece.strip():
+        opening = _OPENING.search(page, at)
+        found = None
+        if opening:
+            found = _COMMENT.match(page, opening.start()) or pattern.match(page, opening.start())
+            if not found and pattern is _TAG:  # a quote that never ends: from here on quotes count no more
+                pattern = _LOOSE_TAG
+                found = pattern.match(page, opening.start())
+        stop = opening.start() if opening else length
+        if stop > text_from:
+            piece = page[text_from:stop]
+            if names["head"] and open_tags[-1][0] == "head" and piece.strip():
                 close()
             if not hidden:
-                found_pieces.append((piece, links > 0, articles > 0, headings > 0, inside))
+                found_pieces.append((piece, links > 0, article, headings > 0, inside))
                 if not links:
                     apart.own[inside] += len(piece.strip())
-                if sizes and sizes[-1][0] == inside:
-                    sizes[-1][1] += len(piece.strip())
-        if not found:
+                if article >= 0 and apart.articles[article].within == inside:
+                    apart.articles[article].size += len(piece.strip())
+                    apart.articles[article].headed |= headings > 0
+        if not found:  # no tag, or one that never ends
             break
-        at = found.end()
-        tag = (found[2] or "").lower()
-        if not tag:
+        at = text_from = found.end()
+        if found.re is _COMMENT:
             continue
-        closing = bool(found[1])
-        if not closing and any(name == "head" for name, *_ in open_tags[:3]):  # its end tag may be missing
-            while tag == "body" and any(name == "head" for name, *_ in open_tags) or open_tags and open_tags[-1][0] == "head" and tag not in _IN_HEAD:
+        tag, closing = found[2].lower(), bool(found[1])
+        if not closing and names["head"]:  # its end tag may be missing
+            while names["head"] and (tag == "body" or open_tags[-1][0] == "head" and tag not in _IN_HEAD):
                 close()
         if tag in _BLOCK:
-            found_pieces.append((LINE, False, articles > 0, False, inside))
+            found_pieces.append((LINE, False, article, False, inside))
         if tag in _BOX:
-            found_pieces.append((BOX, False, articles > 0, False, inside))
+            found_pieces.append((BOX, False, article, False, inside))
         if tag in _STRUCTURE:
-            found_pieces.append((GAP, False, articles > 0, False, inside))
+            found_pieces.append((GAP, False, article, False, inside))
         if not closing:
             if tag in _RAW:  # no markup inside: go on behind the end tag
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = end.end() if end else length
+                at = text_from = end.end() if end else length
                 continue
             if tag in _BLOCK and open_tags and open_tags[-1][0] in _CLOSED_BY_BLOCK:
                 close()
             if tag in _VOID or found[3].rstrip().endswith("/") and tag in _HIDDEN:
                 if tag == "br" and not hidden:
-                    found_pieces.append((" ", False, articles > 0, False, inside))
+                    found_pieces.append((" ", False, article, False, inside))
                 continue
             attributes = _attributes(found[3])
             kind = (_hidden(tag, attributes), tag in ("article", "main"), tag == "a", tag == "h1")
             open_tags.append((tag, *kind, inside))
-            most = None if kind[0] else _most(tag, attributes, articles > 0)
-            if most is not None:
-                inside = apart.open(inside, most)
-            hidden, articles, links, headings = hidden + kind[0], articles + kind[1], links + kind[2], headings + kind[3]
+            names[tag] += 1
+            mark = 0 if kind[0] else _mark(tag, attributes, article >= 0)
+            if mark:
+                inside = apart.open(inside, mark)
+            hidden, links, headings = hidden + kind[0], links + kind[2], headings + kind[3]
             if kind[1]:
-                sizes.append([inside, 0])
-                apart.articles.append(sizes[-1])
-        elif any(tag == name for name, *_ in open_tags):
+                depth = apart.articles[article].depth + 1 if article >= 0 else 0
+                apart.articles.append(_Article(tag, inside, article, depth))
+                article = len(apart.articles) - 1
+        elif names[tag]:
             while open_tags and close() != tag:
                 pass
-    found_pieces.append((LINE, False, articles > 0, False, inside))
+    found_pieces.append((LINE, False, article, False, inside))
     while open_tags:
         close()
     return found_pieces, apart
 
 
-def stripped(page: str) -> _Lines:
-    """The lines of a page. Unclosed and stray tags are allowed; a tag cut off at the end is text no more."""
-    pieces, apart = _pieces(page)
-    kept = apart.kept()
+def _lines(pieces: list, apart: _Apart, kept: set[int], chosen: int | None) -> _Lines:
     dropped = [False] * len(apart.within)
     for at, within in enumerate(apart.within):  # an element follows the one it lies in
         dropped[at] = at not in kept or within >= 0 and dropped[within]
+    marked = apart.inside_article(chosen)
     lines = _Lines()
     for piece, link, article, heading, inside in pieces:
         if piece is LINE:
-            lines.end(article)
+            lines.end(marked[article])
         elif piece is BOX:
             lines.boxes.append(len(lines.text))
         elif piece is GAP:
@@ -266,8 +315,22 @@ def stripped(page: str) -> _Lines:
     return lines
 
 
+def stripped(page: str) -> _Lines:
+    """The lines of a page. Unclosed and stray tags are allowed; a tag cut off at the end is text no more."""
+    pieces, apart = _pieces(page)
+    chosen = apart.article()
+    if chosen is not None:
+        return _lines(pieces, apart, apart.chain(apart.articles[chosen].within), chosen)
+    lines = _lines(pieces, apart, set(), None)
+    if apart.body() >= 0 and all(highest < SURGE for *_, highest in passages(lines.lengths())):
+        return _lines(pieces, apart, apart.chain(apart.body()), None)
+    return lines
+
+
 def passages(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int]]:
     """(surge, dive, highest window) of every stretch of lines between two falls to zero."""
+    if not len(lengths):
+        return []
     sums = np.convolve(lengths, np.ones(window, dtype=np.int64))  # the window that ends at each line
     found, start = [], None
     for at, here in enumerate(np.append(sums[: len(lengths)], 0)):
@@ -287,9 +350,7 @@ def main_text(page: str | None) -> str:
     lines = stripped(page or "")
     if any(lines.in_article):
         return "\n".join(text for text, marked in zip(lines.text, lines.in_article, strict=True) if marked)
-    lengths = np.array([
-        0 if linked >= LINKS * len(text) else len(text) for text, linked in zip(lines.text, lines.in_links, strict=True)
-    ], dtype=np.int64)
+    lengths = lines.lengths()
     found = passages(lengths) if lines.text else []
     if not found:
         return ""

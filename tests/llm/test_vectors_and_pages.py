@@ -6,6 +6,7 @@ import base64
 import hashlib
 import html
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -232,6 +233,46 @@ def test_short_passages_of_an_unmarked_article_are_kept(page):
     assert html_text.main_text(page) == UNMARKED[page]
 
 
+OTHERS = "<p>Someone else's words, at length.</p>" * 200
+UNWANTED = [
+    "<div class='comments'>{}</div>", "<section id='reader-comments'>{}</section>", "<div class='ad'>{}</div>", "<form>{}</form>",
+    "<aside>{}</aside>", "<div class='box cookie-notice'>{}</div>", "<article class='comment'>{}</article>",
+]
+
+
+@pytest.mark.parametrize("element", UNWANTED)
+@pytest.mark.parametrize("size", [1, 20, 200])
+def test_what_is_no_article_goes_at_any_length(element, size):
+    other = element.format("<p>Someone else's words, at length.</p>" * size)
+    assert html_text.main_text(f"<article><h1>Head</h1><p>The story itself.</p>{other}</article>") == "Head\nThe story itself."
+    assert html_text.main_text(f"{STORY}{other}") == html_text.main_text(f"{other}{STORY}") == "Head\nThe story itself."
+    assert html_text.main_text(f"<div><h1>Head</h1>{LONG}</div>{other.replace('article', 'div')}") == "Head\n" + LONG_TEXT
+
+
+SEVERAL = {
+    f"<main>{STORY}<article><h2>Teaser</h2>{OTHERS}</article></main>": "Head\nThe story itself.",
+    f"<article><h2>Teaser</h2>{OTHERS}</article>{STORY}": "Head\nThe story itself.",
+    f"<main><h1>Head</h1><article>{LONG}</article></main>": "Head\n" + LONG_TEXT,
+    f"<main><article>{LONG}</article><article><p>Teaser</p></article></main>": LONG_TEXT,
+    f"<form class='search-form'><div>{LONG}</div></form><footer>f</footer>": LONG_TEXT,
+    f"<div class='comments'><article>{LONG}</article></div>": "",
+}
+
+
+@pytest.mark.parametrize("page", SEVERAL)
+def test_one_article_of_several(page):
+    assert html_text.main_text(page) == SEVERAL[page]
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 150_000 + "</i>" * 150_000, "<a '" * 250_000, "<a '>" * 200_000, "<div class=ad>" * 70_000, "<article>" * 100_000 + "x",
+])
+def test_a_megabyte_of_broken_markup_takes_no_time(page):
+    start = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - start < 5
+
+
 def test_windows_choose_the_article_of_pages_without_its_tag(spark, monkeypatch):
     pages = [r.html for r in table(spark, "/root/testdata/sf0.01", "pages").collect()]
     menus = [re.sub("<(/?)nav>", r"<\1div>", page) for page in pages]
