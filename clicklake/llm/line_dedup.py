@@ -212,6 +212,34 @@ def _variants(lines: DataFrame) -> DataFrame:
     return found.join(lines.select("h1", "h2", "first"), ["h1", "h2"])
 
 
+def within_one_edit(line: str, other: str) -> bool:
+    """Whether one edit at most parts two lines, by where they first differ: no more than their length times its logarithm."""
+    short, long = sorted((line, other), key=len)
+    if len(long) - len(short) > MAX_EDITS:
+        return False
+    low, high = 0, len(short)  # the longest common start has low to high characters
+    while low < high:
+        middle = (low + high + 1) // 2
+        if short[low:middle] == long[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return short[low + (len(short) == len(long)) :] == long[low + 1 :]
+
+
+def _verified(lines: pd.Series, others: pd.Series) -> pd.Series:
+    return pd.Series([within_one_edit(line, other) for line, other in zip(lines, others, strict=True)], dtype=bool)
+
+
+def _without(texts: pd.Series, places: pd.Series) -> pd.Series:
+    """The texts without the lines at the places; null where there are none."""
+    left = []
+    for text, gone in zip(texts, places, strict=True):
+        gone = None if text is None or gone is None else set(gone.tolist())
+        left.append(None if gone is None else "\n".join(line for at, line in enumerate(text.split("\n")) if at not in gone))
+    return pd.Series(left, dtype=object)
+
+
 def _near_lines(texts: DataFrame, places: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame:
     """h1, h2 of the lines within one edit of an earlier line that is not equal to them."""
     keyed = places.where("halves is not null").select(F.explode("halves").alias("half"), "h1")
@@ -236,7 +264,7 @@ def _near_lines(texts: DataFrame, places: DataFrame, firsts: DataFrame, min_char
     partners = found.groupBy("h1", "h2").agg(F.min("partner").alias("partner"))
     others = lines.select(F.col("first").alias("partner"), F.col("line").alias("other"))
     compared = lines.select("h1", "h2", "line").join(partners, ["h1", "h2"]).join(others, "partner")
-    return compared.where(F.levenshtein("line", "other") <= MAX_EDITS).select("h1", "h2")
+    return compared.where(F.pandas_udf(_verified, "boolean")("line", "other")).select("h1", "h2")
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -269,7 +297,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
     joined = rows.join(gone, same, "left")
     split = F.split(F.col("row.text"), "\n")
-    left = F.array_join(F.filter(split, lambda line, at: ~F.array_contains("places", at)), "\n")
+    left = F.pandas_udf(_without, "string")(F.when(F.col("places").isNotNull(), F.col("row.text")), "places")
     solid = F.size(F.filter(split, lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     removed = F.coalesce(F.size("places"), F.lit(0))
     return joined.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -225,6 +226,27 @@ def test_lines_against_all_earlier_lines(spark):
     assert [r.kept_text for r in rows] == plain_dedup(texts)
 
 
+@settings(max_examples=200, deadline=None, derandomize=True)
+@given(st.text("ab", max_size=8), st.text("ab", max_size=8))
+def test_one_edit_is_verified_as_by_its_definition(line, other):
+    def near(a, b):
+        shorter = {b[:at] + b[at + 1 :] for at in range(len(b))}
+        return a == b or a in shorter or len(a) == len(b) and any(a[:at] + a[at + 1 :] == b[:at] + b[at + 1 :] for at in range(len(a)))
+
+    assert line_dedup.within_one_edit(line, other) == (near(line, other) or near(other, line))
+
+
+def test_very_long_lines(spark):
+    start = time.perf_counter()
+    line = "".join(chr(97 + at * at % 23) for at in range(1_000_000))
+    assert line_dedup.within_one_edit(line * 10, line * 10 + "x") and not line_dedup.within_one_edit(line * 10, line * 10 + "xy")
+    assert time.perf_counter() - start < 5
+    rows = [(1, line), (2, line[:-1] + "?"), (3, line[:500] + line[502:]), (4, "short\n" * 50_000 + "end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.row.doc_id: r.kept_text for r in line_dedup.dedup_lines(docs).collect()}
+    assert kept == {1: line, 2: "", 3: rows[2][1], 4: "short\nend"}
+
+
 def test_lines_of_odd_documents(odd, none):
     done = line_dedup.dedup_lines(odd).select("row.doc_id", "row.text", "kept_text", "n_lines", "n_removed").collect()
     by_id = defaultdict(list)
