@@ -90,6 +90,12 @@ class Inputs:
             self.daily_metrics, self.ab_tests,
         )
 
+    @cached_property
+    def stored_star(self) -> star.Star:
+        """The reporting tables as ``Star.save`` stores them, by month."""
+        folder = Stages(self.spark, [self.folder]).get_folder("star", self.star.save)
+        return star.Star.load(self.spark, folder)
+
     @cached_property
     def profiled_queries(self) -> DataFrame:
         """Query rows with click counts and the device and nation of the user."""

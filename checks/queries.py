@@ -298,6 +298,31 @@ QUERIES: dict[str, Q] = {
     ),
     "q14_complexity": lambda i: reports.query_complexity_stats(i.search_queries, START, END),
     "q15_recent_activity": lambda i: reports.recent_activity(i.search_queries, i.search_sessions),
+    # reports over tables stored by month
+    "q5_top_queries_by_month": lambda i: reports.top_queries(i.stored_star.search_queries, START, END),
+    "q6_reformulations_by_month": lambda i: reports.reformulation_patterns(
+        i.stored_star.search_queries, START, END
+    ),
+    "q7_positions_by_month": lambda i: reports.engagement_by_position(
+        i.stored_star.search_results, START, END
+    ),
+    "q7_positions_by_query_month": lambda i: reports.engagement_by_position(
+        i.stored_star.search_results, START, END, date_basis="query",
+        queries=i.stored_star.search_queries,
+    ),
+    "q12_low_satisfaction_by_month": lambda i: reports.low_satisfaction_queries(
+        i.stored_star.search_queries, i.stored_star.search_results, START, END
+    ),
+    "q15_recent_activity_by_month": lambda i: reports.recent_activity(
+        i.stored_star.search_queries, i.stored_star.search_sessions
+    ),
+    "t4_daily_metrics_merged": lambda i: star.daily_rows(
+        star.merged_states(
+            star.daily_state(i.facts.where(f"timestamp <= '{END} 12:00:00'")),
+            star.daily_state(i.facts.where(f"timestamp > '{END} 12:00:00'")),
+        ),
+        i.users,
+    ),
     # experiments and series
     "x1_confidence_interval": lambda i: experiments.confidence_intervals(
         i.search_sample, "search_latency_ms", ["variant"]

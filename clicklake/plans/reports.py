@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklake import schemas
-from clicklake.plans.star import MONTH, TIME_COLUMNS
+from clicklake.plans.star import MONTH, PREVIOUS_MONTH, QUERY_MONTH, TIME_COLUMNS
 
 SERIES_METRICS = tuple(
     f.name for f in schemas.DAILY_METRICS if f.name not in ("date", "user_segment", "device_type")
@@ -31,6 +31,11 @@ def _dated(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     return rows
 
 
+def _linked(df: DataFrame, months: str, start: str, end: str) -> DataFrame:
+    """Of tables stored by the month of related rows, the folders of related rows in the date range."""
+    return df.where(F.col(months).between(str(start)[:7], str(end)[:7])) if months in df.columns else df
+
+
 def daily_rows(daily: DataFrame, start: str, end: str, segment: str | None = None) -> DataFrame:
     """Rows of the daily table in a date range, in no particular order."""
     rows = _dated(daily, "date", start, end)
@@ -103,13 +108,16 @@ def top_queries(queries: DataFrame, start: str, end: str, limit: int = 10) -> Da
 def reformulation_patterns(
     queries: DataFrame, start: str, end: str, limit: int = 10
 ) -> DataFrame:
-    """Most frequent pairs of a query text and the text that replaced it."""
+    """Most frequent pairs of a query text and the text that replaced it.
+
+    Of stored tables only queries that replace one of the range's months are read.
+    """
     before = _dated(queries, "timestamp", start, end).select(
         "session_id",
         F.col("query_id").alias("reformulation_of"),
         F.col("query_text").alias("original_query"),
     )
-    after = queries.where(F.col("reformulation_of").isNotNull()).select(
+    after = _linked(queries, PREVIOUS_MONTH, start, end).where(F.col("reformulation_of").isNotNull()).select(
         "session_id", "reformulation_of", F.col("query_text").alias("reformulated_query")
     )
     pair = ["original_query", "reformulated_query"]
@@ -151,7 +159,7 @@ def engagement_by_position(
         if queries is None:
             raise ValueError("date_basis='query' needs the queries table")
         asked = _dated(queries, "timestamp", start, end).select("query_id")
-        rows = results.join(asked, "query_id", "left_semi")
+        rows = _linked(results, QUERY_MONTH, start, end).join(asked, "query_id", "left_semi")
     else:
         raise ValueError(f"date_basis must be 'click' or 'query', not {date_basis!r}")
     measures = {
@@ -254,9 +262,10 @@ def low_satisfaction_queries(
     """Texts asked at least 5 times that are rarely, slowly or deeply clicked.
 
     A query counts once per click (once without clicks); ``dedupe`` counts every
-    query once. Clicks are folded per query, so nothing is multiplied out.
+    query once. Clicks are folded per query, so nothing is multiplied out, and of stored tables
+    only the results of queries of the range's months are read.
     """
-    deep = results.where("clicked").groupBy("query_id").agg(
+    deep = _linked(results, QUERY_MONTH, start, end).where("clicked").groupBy("query_id").agg(
         F.count(F.lit(1)).alias("_clicks"), F.max("position").alias("_deepest")
     )
     weight = F.lit(1).cast("long") if dedupe else F.coalesce("_clicks", F.lit(1).cast("long"))
@@ -337,15 +346,62 @@ def query_complexity_stats(queries: DataFrame, start: str, end: str) -> DataFram
     )
 
 
+#: Newest queries that are looked up at first, as a multiple of the limit, and at most before all are joined.
+AHEAD, MOST_AHEAD = 4, 100_000
+
+
+def _months_back(rows: DataFrame) -> list[str]:
+    """The months a table is stored by, newest first."""
+    return sorted((r[0] for r in rows.select(MONTH).distinct().collect() if r[0]), reverse=True)
+
+
+def _newest(queries: DataFrame, rows: int) -> tuple[DataFrame, int, str | None]:
+    """The ``rows`` newest queries, how many there are, and the oldest month read (null: all of them).
+
+    Months are read from the newest on, twice as many each time: rows of a newer month come before
+    all of an older one, so those read decide as soon as they are enough.
+    """
+    order = [F.col("timestamp").desc(), F.col("query_id").desc()]
+    months, step = _months_back(queries), 1
+    while step < len(months):
+        recent = queries.where(F.col(MONTH) >= months[step - 1])
+        if (found := recent.limit(rows).count()) >= rows:
+            return recent.orderBy(*order).limit(rows), found, months[step - 1]
+        step *= 2
+    return queries.orderBy(*order).limit(rows), queries.limit(rows).count(), None
+
+
+def _month_before(month: str) -> str:
+    year, number = int(month[:4]), int(month[5:7])
+    return f"{year - 1:04d}-12" if number == 1 else f"{year:04d}-{number - 1:02d}"
+
+
 def recent_activity(queries: DataFrame, sessions: DataFrame, limit: int = 100) -> DataFrame:
-    """Newest queries with the segment and device of their session."""
+    """Newest queries with the segment and device of their session.
+
+    Tables stored by month are read from the newest month back until the rows are certain: a bounded
+    number of the newest queries is looked up in the sessions of their months and the one before,
+    then, where some session began earlier, in all sessions, and more queries only where sessions are missing.
+    """
+    order = [F.col("timestamp").desc(), F.col("query_id").desc()]
+    columns = (
+        "query_id", "session_id", "query_text", "timestamp", "has_click",
+        "time_to_first_click", "user_segment", "device_type",
+    )
+    if MONTH in queries.columns and MONTH in sessions.columns:
+        asked, ahead = queries.where(F.col("session_id").isNotNull()), max(1, AHEAD * limit)
+        while ahead <= MOST_AHEAD:
+            newest, found, since = _newest(asked, ahead)
+            newest = newest.drop(MONTH, PREVIOUS_MONTH)
+            for first in [_month_before(since), None] if since else [None]:
+                begun = sessions.where(F.col(MONTH) >= first) if first else sessions
+                attributes = begun.select("session_id", "user_segment", "device_type")
+                # At most MOST_AHEAD queries travel; sessions stay where they are.
+                joined = F.broadcast(newest).join(attributes, "session_id").select(*columns)
+                if first and joined.select("session_id").distinct().count() < newest.select("session_id").distinct().count():
+                    continue
+                if found < ahead or joined.count() >= limit:
+                    return joined.orderBy(*order).limit(limit)
+            ahead *= 8
     attributes = sessions.select("session_id", "user_segment", "device_type")
-    return (
-        queries.join(attributes, "session_id")
-        .select(
-            "query_id", "session_id", "query_text", "timestamp", "has_click",
-            "time_to_first_click", "user_segment", "device_type",
-        )
-        .orderBy(F.col("timestamp").desc(), F.col("query_id").desc())
-        .limit(limit)
-    )
+    return queries.join(attributes, "session_id").select(*columns).orderBy(*order).limit(limit)

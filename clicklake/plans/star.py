@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from clicklake import schemas
 from clicklake.functions.numeric import seconds_between
@@ -20,6 +23,10 @@ from clicklake.operators.relevance import share_of_ideal, unit_dcg, unit_ideal
 # Column by which ``save_by_month`` partitions, and per table the time it is taken from
 # and the column that spreads a month's rows over writers.
 MONTH = "month"
+# Results are partitioned by the month of their query as well, queries by that of the query they replace, so
+# that a range of dates on those reaches the other side of the join.
+QUERY_MONTH, PREVIOUS_MONTH = "query_month", "previous_month"
+LINKED_MONTHS = {"search_results": ("query_id", QUERY_MONTH), "search_queries": ("reformulation_of", PREVIOUS_MONTH)}
 TIME_COLUMNS = {
     "search_sessions": "start_time",
     "search_queries": "timestamp",
@@ -47,14 +54,35 @@ class Star:
 
     def save(self, folder: str) -> Star:
         """Write every table in folders by month below ``folder`` and read them back."""
+        months = self.search_queries.select(
+            F.col("query_id").alias("_asked"), F.date_format("timestamp", "yyyy-MM").alias("_month")
+        )
         stored = {}
         for name, time_column in TIME_COLUMNS.items():
-            frame = getattr(self, name)
-            if frame is not None:
-                path = f"{folder.rstrip('/')}/{name}"
-                stored[name] = save_by_month(frame, path, SPREAD_COLUMNS[name], time_column)
+            frame, linked = getattr(self, name), ()
+            if frame is None:
+                continue
+            if name in LINKED_MONTHS:
+                key, column = LINKED_MONTHS[name]
+                kept = frame.columns
+                frame = frame.join(months, F.col(key) == F.col("_asked"), "left")
+                frame, linked = frame.select(*kept, F.col("_month").alias(column)), (column,)
+            path = f"{folder.rstrip('/')}/{name}"
+            stored[name] = save_by_month(frame, path, SPREAD_COLUMNS[name], time_column, linked)
         return Star(**stored)
 
+    @staticmethod
+    def load(spark: SparkSession, folder: str) -> Star:
+        """The tables that ``save`` wrote below ``folder``; ``ab_test_results`` may be missing."""
+
+        def read(name: str) -> DataFrame:
+            months = [LINKED_MONTHS[name][1]] if name in LINKED_MONTHS else []
+            return _by_month(spark, f"{folder.rstrip('/')}/{name}", schemas.STAR_TABLES[name], months)
+
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/ab_test_results")
+        tests = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+        return Star(**{name: read(name) for name in TIME_COLUMNS if tests or name != "ab_test_results"})
+
 
 def query_facts(queries: DataFrame, results: DataFrame) -> DataFrame:
     """One row per query with its result and click figures and NDCG@10 (none shown: zeros)."""
@@ -111,29 +139,72 @@ def search_results(results: DataFrame) -> DataFrame:
     return results.select(*schemas.SEARCH_RESULTS.fieldNames())
 
 
-def daily_metrics(facts: DataFrame, users: DataFrame) -> DataFrame:
-    """Per date, user segment and device: totals, means over queries and mean NDCG@10."""
+DAY_KEYS = ("date", "session_id", "user_id")
+
+
+def daily_state(facts: DataFrame) -> DataFrame:
+    """Per date, session and user: sums and counts that add up, from which the daily table is made.
+
+    States of different batches of queries are put together by ``merged_states``: a new day, or
+    queries of a known day that come late, need no second look at earlier queries.
+    """
+    return facts.groupBy(F.to_date("timestamp").alias("date"), "session_id", "user_id").agg(
+        F.count(F.lit(1)).alias("queries"),
+        F.count_if("has_click").alias("clicked"),
+        F.sum("click_count").alias("clicks"),
+        F.sum("time_to_first_click").alias("wait"),
+        F.count("time_to_first_click").alias("waits"),
+        F.sum("max_click_position").alias("depth"),
+        F.count("max_click_position").alias("depths"),
+        F.sum("ndcg_10").alias("ndcg"),
+        F.count("ndcg_10").alias("ndcgs"),
+    )
+
+
+def _summed(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
+
+
+def merged_states(*states: DataFrame) -> DataFrame:
+    """One state of all; each query may be in one of them only."""
+    union = states[0]
+    for state in states[1:]:
+        union = union.unionByName(state)
+    return _summed(union, DAY_KEYS, [c for c in union.columns if c not in DAY_KEYS])
+
+
+def daily_rows(state: DataFrame, users: DataFrame) -> DataFrame:
+    """The daily table of a state. Users join folded rows, and a session is one row per group before it is counted."""
+    measures = [c for c in state.columns if c not in DAY_KEYS]
     attributes = users.select("user_id", "user_segment", "device_type")
-    rows = facts.join(attributes, "user_id", "left").withColumn("date", F.to_date("timestamp"))
+    rows = state.join(attributes, "user_id", "left")
     keys = ["date", "user_segment", "device_type"]
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
-    ctr = F.avg(F.col("has_click").cast("int"))
-    return rows.groupBy(*keys).agg(
-        F.count_distinct("session_id").alias("total_sessions"),
-        F.count(F.lit(1)).alias("total_queries"),
-        F.sum("click_count").alias("total_clicks"),
+    sessions = _summed(rows, [*keys, "session_id"], measures)
+    totals = sessions.groupBy(*keys).agg(
+        F.count("session_id").alias("total_sessions"), *[F.sum(c).alias(c) for c in measures]
+    )
+    ctr = F.col("clicked") / F.col("queries")
+    return totals.select(
+        *keys,
+        "total_sessions",
+        F.col("queries").alias("total_queries"),
+        F.col("clicks").alias("total_clicks"),
         ctr.alias("avg_ctr"),
-        F.avg("time_to_first_click").alias("avg_time_to_first_click"),
-        F.try_divide(F.count(F.lit(1)), F.count_distinct("session_id")).alias(
-            "avg_queries_per_session"
-        ),
+        F.try_divide("wait", "waits").alias("avg_time_to_first_click"),
+        F.try_divide("queries", "total_sessions").alias("avg_queries_per_session"),
         (1 - ctr).alias("zero_click_rate"),
-        F.avg("max_click_position").alias("click_depth"),
-        F.avg("ndcg_10").alias("avg_ndcg"),
+        F.try_divide("depth", "depths").alias("click_depth"),
+        F.try_divide("ndcg", "ndcgs").alias("avg_ndcg"),
     )
 
 
+def daily_metrics(facts: DataFrame, users: DataFrame) -> DataFrame:
+    """Per date, user segment and device: totals, means over queries and mean NDCG@10."""
+    return daily_rows(daily_state(facts), users)
+
+
 def build(
     queries: DataFrame, results: DataFrame, users: DataFrame, ab_tests: DataFrame | None = None
 ) -> Star:
@@ -148,18 +219,25 @@ def build(
 
 
 def save_by_month(
-    df: DataFrame, path: str, id_column: str, time_column: str = "timestamp"
+    df: DataFrame, path: str, id_column: str, time_column: str = "timestamp", linked: Sequence[str] = ()
 ) -> DataFrame:
     """Write a table in folders by the month of ``time_column`` and read it back.
 
     Reports add a month condition for such tables, so only the folders of the
     wanted range are listed and read. Rows are spread by (month, id) ranges: a
     month with a large share of the rows is written by many tasks. Rows without a time,
-    as results without a click, have a folder of their own.
+    as results without a click, have a folder of their own. ``linked`` names columns of ``df``
+    that hold months of related rows; they become folders too.
     """
     dated = df.withColumn(MONTH, F.date_format(time_column, "yyyy-MM"))
-    dated.repartitionByRange(MONTH, id_column).write.partitionBy(MONTH).parquet(path)
-    schema = f"{MONTH} string"
-    return df.sparkSession.read.schema(
-        ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", {schema}"
-    ).parquet(path)
+    folders = [MONTH, *linked]
+    dated.repartitionByRange(*folders, id_column).write.partitionBy(*folders).parquet(path)
+    kept = StructType([f for f in df.schema if f.name not in linked])
+    return _by_month(df.sparkSession, path, kept, linked)
+
+
+def _by_month(spark: SparkSession, path: str, schema: StructType, linked: Sequence[str]) -> DataFrame:
+    full = StructType(list(schema.fields))
+    for column in (MONTH, *linked):
+        full = full.add(column, StringType())
+    return spark.read.schema(full).parquet(path)

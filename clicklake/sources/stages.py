@@ -51,6 +51,18 @@ class Stages:
             build().write.mode("overwrite").parquet(target)
         return self.spark.read.parquet(target)
 
+    def get_folder(self, name: str, write: Callable[[str], object]) -> str:
+        """A folder of several tables that ``write`` fills, once it is filled."""
+        print_now = self.fingerprint()
+        target = f"{self.folder}/{print_now}/{name}"
+        done, system = self._path(f"{target}/_SUCCESS")
+        if not system.exists(done):
+            self._drop_others(print_now)
+            system.delete(self._path(target)[0], True)  # what a failed attempt left
+            write(target)
+            system.create(done).close()
+        return target
+
     def _drop_others(self, kept: str) -> None:
         top, system = self._path(self.folder)
         if system.exists(top):

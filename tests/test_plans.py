@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from checks.inputs import END, START, Inputs
@@ -71,3 +72,69 @@ def test_all_tables_are_stored_by_month_and_pruned(spark, tmp_path):
     clicks = reports._dated(stored.search_results, "click_time", START, END)
     assert re.search(r"PartitionFilters: \[[^\]]*month", plan(clicks))
     assert clicks.count() == reports._dated(built.search_results, "click_time", START, END).count()
+
+
+def month_filters(text: str, column: str) -> list[str]:
+    return [m for m in re.findall(r"PartitionFilters: \[([^\]]*)\]", text) if re.search(rf"\b{column}#", m)]
+
+
+@pytest.fixture(scope="module")
+def by_month(spark):
+    return Inputs(spark, FOLDER).stored_star
+
+
+def test_dates_of_queries_reach_the_other_side(spark, by_month):
+    s = by_month
+    pairs = plan(reports.reformulation_patterns(s.search_queries, START, END))
+    assert len(month_filters(pairs, "previous_month")) == 1 and len(month_filters(pairs, "month")) >= 1
+    shown = plan(reports.engagement_by_position(s.search_results, START, END, date_basis="query", queries=s.search_queries))
+    assert len(month_filters(shown, "query_month")) == 1
+    low = plan(reports.low_satisfaction_queries(s.search_queries, s.search_results, START, END))
+    assert len(month_filters(low, "query_month")) == 1
+
+
+def test_recent_activity_reads_the_newest_months(spark, by_month):
+    queries, sessions = by_month.search_queries, by_month.search_sessions
+    text = plan(reports.recent_activity(queries, sessions, 3))
+    months = reports._months_back(queries)
+    bounds = {m for found in month_filters(text, "month") for m in re.findall(r">= (\d{4}-\d\d)", found)}
+    assert len(months) > 20 and bounds and min(bounds) >= months[8]
+    plain = Inputs(spark, FOLDER)
+    for limit in (1, 3, 100, 10**6):
+        wanted = reports.recent_activity(plain.search_queries, plain.search_sessions, limit)
+        assert reports.recent_activity(queries, sessions, limit).collect() == wanted.collect()
+
+
+def test_recent_activity_with_early_and_missing_sessions(spark, tmp_path):
+    asked = [(n, f"s{n % 7}" if n % 3 else f"none{n}", "q", f"2024-{1 + n % 12:02d}-05 00:00:{n % 60:02d}") for n in range(400)]
+    queries = spark.createDataFrame(asked, "query_id long, session_id string, query_text string, time string").select(
+        "query_id", "session_id", "query_text", F.col("time").cast("timestamp_ntz").alias("timestamp"),
+        F.lit(True).alias("has_click"), F.lit(1.0).alias("time_to_first_click"),
+    )
+    queries = queries.union(queries.limit(1).select(F.lit(-1), F.lit("s1"), "query_text", F.lit(None), "has_click", "time_to_first_click"))
+    begun = [(f"s{n}", "2020-01-01 00:00:00" if n < 5 else "2024-12-01 00:00:00", "A", "m") for n in range(7)]
+    sessions = spark.createDataFrame(begun, "session_id string, time string, user_segment string, device_type string").select(
+        "session_id", F.col("time").cast("timestamp_ntz").alias("start_time"), "user_segment", "device_type"
+    )
+    stored = star.save_by_month(queries, f"{tmp_path}/q", "query_id"), star.save_by_month(sessions, f"{tmp_path}/s", "session_id", "start_time")
+    for limit in (0, 1, 40, 300, 1000):
+        assert reports.recent_activity(*stored, limit).collect() == reports.recent_activity(queries, sessions, limit).collect()
+    empty = [df.where("false") for df in stored]
+    assert reports.recent_activity(*empty).count() == reports.recent_activity(stored[0], empty[1]).count() == 0
+
+
+def test_daily_table_joins_folded_rows_and_takes_a_new_day(spark):
+    inputs = Inputs(spark, FOLDER)
+    facts, users = inputs.facts, inputs.users
+    text = plan(star.daily_metrics(facts, users))
+    below = text[text.index("Join") :]
+    assert re.search(r"HashAggregate\(keys=\[[^\]]*session_id#[^\]]*user_id#", below) and "Expand" not in text
+    days = F.to_date("timestamp")
+    last = facts.agg(F.max(days)).first()[0]
+    late = (days == F.lit(last)) | (F.col("query_id") % 5 == 0)
+    grown = star.merged_states(star.daily_state(facts.where(~late)), star.daily_state(facts.where(late)))
+    found = {tuple(r[:3]): r[3:] for r in star.daily_rows(grown, users).collect()}
+    wanted = {tuple(r[:3]): r[3:] for r in star.daily_metrics(facts, users).collect()}
+    assert found.keys() == wanted.keys() and len(found) > 50
+    assert all(found[k] == pytest.approx(wanted[k], nan_ok=True) for k in wanted if None not in wanted[k])
+    assert all([x is None for x in found[k]] == [x is None for x in wanted[k]] for k in wanted)
