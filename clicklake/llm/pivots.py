@@ -2,9 +2,11 @@
 
 A vector is described by its nearest reference points (pivots), in order. Two vectors within
 the threshold share several of their `nearest` pivots, so each vector is listed under all
-but the last `shared` - 1 of them, the rarest pivots first, in inverted lists. Within a list,
-pairs that share `shared` pivots are verified by cosine in double precision; a pair is
-decided in the first list that holds both. Long lists are cut into blocks.
+but the last `shared` - 1 of them, the rarest pivots first, in inverted lists. Within a list
+the pivots that two vectors share are counted from their postings, and only pairs that share
+`shared` pivots are compared by cosine in double precision; a pair is decided in the first
+list that holds both. Long lists are cut into blocks. Pivots grow with the root of the
+rows, so lists grow more slowly than the table.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ from clicklake.llm.components import connected
 THRESHOLD = 0.93
 #: Rows, in the order of a hash, from which the pivots are chosen.
 SAMPLE = 2048
-PIVOTS, NEAREST, SHARED = 64, 8, 2
+#: Pivots are the root of the number of different vectors, within these bounds.
+PIVOTS = (128, 512)
+NEAREST, SHARED = 12, 4
 BLOCK = 512
 
 
@@ -40,6 +44,12 @@ def unit(vectors) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
+def pivots_for(rows: int) -> int:
+    """How many pivots an index of so many vectors has."""
+    least, most = PIVOTS
+    return min(most, max(least, math.isqrt(rows)))
+
+
 def choose_pivots(sample: np.ndarray, pivots: int) -> np.ndarray:
     """Reference points far from each other: each next one is the farthest from those chosen."""
     chosen = [0]
@@ -80,10 +90,33 @@ def _described(classes: DataFrame, fitted: dict[int, np.ndarray], nearest: int)
     return classes.mapInPandas(run, f"{fields}, near array<int>")
 
 
-def _membership(near: pd.Series, pivots: int) -> np.ndarray:
-    found = np.zeros((len(near), pivots + 1), dtype=np.float32)
-    for row, listed in zip(found, near, strict=True):
-        row[np.asarray(listed)] = 1
+def _postings(listed: list[list[int]]) -> dict[int, np.ndarray]:
+    """For each pivot the places of the vectors that list it."""
+    owner = np.repeat(np.arange(len(listed)), [len(one) for one in listed])
+    pivot = np.array([p for one in listed for p in one], dtype=np.int64)
+    order = np.argsort(pivot, kind="stable")
+    kinds, starts = np.unique(pivot[order], return_index=True)
+    return dict(zip(kinds.tolist(), np.split(owner[order], starts[1:]), strict=True))
+
+
+def shared_pivots(listed: list[list[int]]) -> np.ndarray:
+    """How many pivots any two of the vectors share."""
+    counts = np.zeros((len(listed), len(listed)), dtype=np.uint16)
+    for members in _postings(listed).values():
+        counts[np.ix_(members, members)] += 1
+    return counts
+
+
+def _candidates(near: list[list[int]], rank: np.ndarray, here: int, shared: int, prefix: int) -> np.ndarray:
+    """The pairs (first place below the second) of the list of pivot `here` that it has to compare.
+
+    They share enough pivots, and no list of a rarer pivot holds both.
+    """
+    sizes = np.array([len(one) for one in near])
+    found = np.triu(shared_pivots(near) >= np.minimum(shared, np.minimum.outer(sizes, sizes)), 1)
+    before = [[p for p in sorted(one, key=lambda p: rank[p])[:prefix] if rank[p] < rank[here]] for one in near]
+    for members in _postings(before).values() if any(before) else ():
+        found[np.ix_(members, members)] = False
     return found
 
 
@@ -104,16 +137,15 @@ def _compare(group: pd.DataFrame, rank: np.ndarray, threshold: float, shared: in
     group = group.sort_values("cid", ignore_index=True)
     here, first, second = group["pivot"].iloc[0], group["first"].iloc[0], group["second"].iloc[0]
     vectors = unit(group["vector"])
-    member = _membership(group["near"], len(rank) - 1)
-    ordered = [sorted(listed, key=lambda p: rank[p])[:prefix] for listed in group["near"]]
-    ahead = _membership(pd.Series(ordered), len(rank) - 1)[:, rank < rank[here]]
-    linked = vectors @ vectors.T >= threshold
-    needed = np.minimum(shared, np.minimum.outer(*[member.sum(axis=1)] * 2))
-    linked &= (member @ member.T >= needed) & (ahead @ ahead.T == 0)
+    wanted = _candidates([list(one) for one in group["near"]], rank, here, shared, prefix)
     if first != second:  # pairs inside one block are decided where it meets itself
         block = group["block"].to_numpy()
-        linked &= block[:, None] != block[None, :]
-    np.fill_diagonal(linked, False)
+        wanted &= block[:, None] != block[None, :]
+    linked = np.zeros(wanted.shape, dtype=bool)
+    for at in np.flatnonzero(wanted.any(axis=1)):
+        others = np.flatnonzero(wanted[at])
+        linked[at, others] = vectors[others] @ vectors[at] >= threshold
+    linked |= linked.T
     counts = linked @ group["copies"].to_numpy(dtype=np.int64)
     cid = group["cid"].to_numpy()
     out = pd.DataFrame({"cid": cid, "links": counts, "root": cid[_roots(linked)]})
@@ -121,7 +153,7 @@ def _compare(group: pd.DataFrame, rank: np.ndarray, threshold: float, shared: in
 
 
 def near_vectors(
-    vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, pivots: int = PIVOTS,
+    vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, pivots: int | None = None,
     nearest: int = NEAREST, shared: int = SHARED, block: int = BLOCK,
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept of rows of vec_id, embedding and label.
@@ -130,7 +162,8 @@ def near_vectors(
     Equal vectors are one class, compared once and counted as often as they occur. Vectors that
     are null, zero or hold null or non-finite components, and those of different
     length, link with nothing. A null vec_id can't be a component: such
-    rows get no links. Repeated vec_ids are rows of their own, in one component.
+    rows get no links. Repeated vec_ids are rows of their own, in one component; if their vectors
+    differ, each has the links of all of them. Without `pivots` their number is that of `pivots_for`.
     """
     rows = vectors.select(
         "vec_id", "label", F.col("embedding").alias("vector"),
@@ -141,6 +174,7 @@ def near_vectors(
         rows.where("valid").groupBy(*key).agg(F.min("vec_id").alias("cid"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
         .withColumn("size", F.size("vector"))
     )
+    pivots = pivots or pivots_for(classes.count())
     fitted = _fitted(classes, sample, pivots)
     described = written(_described(classes.select("cid", "label", "size", "copies", "vector"), fitted, nearest))
 
@@ -176,9 +210,10 @@ def near_vectors(
     return linked.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
-def recall(vectors: np.ndarray, threshold: float, fitted: np.ndarray, nearest: int, shared: int) -> float:
-    """The share of the pairs at the threshold that share enough pivots, by brute force."""
+def recall(vectors: np.ndarray, threshold: float, fitted: np.ndarray, nearest: int, shared: int) -> tuple[float, float]:
+    """By brute force: the share of the pairs at the threshold that share enough pivots, and of all pairs that are compared."""
     rows = unit(vectors)
-    member = _membership(pd.Series(np.argsort(-(rows @ fitted.T), axis=1, kind="stable")[:, :nearest].tolist()), len(fitted))
-    true = np.triu(rows @ rows.T >= threshold, 1)
-    return float((member @ member.T >= shared)[true].mean()) if true.any() else math.nan
+    enough = shared_pivots(np.argsort(-(rows @ fitted.T), axis=1, kind="stable")[:, :nearest].tolist()) >= shared
+    pairs = np.triu_indices(len(rows), 1)
+    true = (rows @ rows.T >= threshold)[pairs]
+    return (float(enough[pairs][true].mean()) if true.any() else math.nan), float(enough[pairs].mean())

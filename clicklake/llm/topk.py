@@ -4,11 +4,14 @@ The components of a vector are cut into slices, and the score is the sum of the
 partial scores. Queries and candidates meet in blocks.
 
 1. Each block lists, per query and slice, the candidates with the largest partial
-   scores; the exact scores of those listed are gathered, and the k-th largest of a query is
+   scores; only those listed are summed, and the k-th largest sum of a query is
    its cutoff: at least k candidates reach it.
 2. The cutoff goes back to the blocks. A candidate that reaches it must reach
    cutoff / slices in one slice at least, so all others are left out unsummed.
 3. What is left is summed exactly, and each block hands on its k best that reach the cutoff.
+
+The fewer the slices, the more the cutoff leaves out; of two, one holds half of any score at least.
+Partial scores of all pairs are computed in both phases, as none are stored between them.
 """
 
 from __future__ import annotations
@@ -22,7 +25,9 @@ from pyspark.sql import functions as F
 
 from clicklake.llm.common import written
 
-SLICES = 4
+SLICES = 2
+#: Candidates listed per slice, as a multiple of k: longer lists raise the cutoff, but are summed themselves.
+LISTED = 2
 QUERY_BLOCK, CANDIDATE_BLOCK = 4096, 8192
 TILE = 256
 EXACT_DOUBLE = 2.0**53
@@ -66,28 +71,31 @@ class _Block:
 def _listed(queries: pd.DataFrame, candidates: pd.DataFrame, k: int, slices: int) -> pd.DataFrame:
     """Phase 1: exact scores of the candidates at the head of some slice's list, the k best per query."""
     block, parts = _Block(queries, candidates, slices), []
-    depth = min(k + 1, len(block.vec_id))  # one more, as the query itself may be listed
+    depth = min(LISTED * k + 1, len(block.vec_id))  # one more, as the query itself may be listed
     for at, partial, same in block.tiles():
-        total = sum(partial)
-        listed = np.zeros(total.shape, dtype=bool)
+        listed = np.zeros(same.shape, dtype=bool)
         rows = np.arange(len(at))[:, None]
         for scores in partial:
             listed[rows, np.argpartition(scores, -depth, axis=1)[:, -depth:]] = True
         row, column = np.nonzero(listed & ~same)
-        parts.append(pd.DataFrame({"query_id": block.query_id[at][row], "score": total[row, column].astype(np.int64)}))
+        score = sum(scores[row, column] for scores in partial)
+        parts.append(pd.DataFrame({"query_id": block.query_id[at][row], "score": score.astype(np.int64)}))
     found = pd.concat(parts).sort_values(["query_id", "score"], ascending=[True, False])
     return found.groupby("query_id").head(k)
 
 
+def _sufficient(partial: list[np.ndarray], bar: np.ndarray) -> np.ndarray:
+    """Phase 2: the entries of which some partial score reaches its share of the cutoff."""
+    return np.maximum.reduce(partial) >= bar // len(partial)  # partial scores are whole numbers
+
+
 def _resolved(queries: pd.DataFrame, candidates: pd.DataFrame, k: int, slices: int) -> pd.DataFrame:
     """Phases 2 and 3: the k best of the block that reach the query's cutoff."""
     block, parts = _Block(queries, candidates, slices), []
     cutoff = queries["cutoff"].to_numpy(dtype=np.int64)
     for at, partial, same in block.tiles():
         bar = cutoff[at][:, None]
-        share = bar // len(partial)  # partial scores are whole numbers
-        some = ~same & (np.maximum.reduce(partial) >= share)
-        row, column = np.nonzero(some)
+        row, column = np.nonzero(_sufficient(partial, bar) & ~same)
         score = sum(scores[row, column] for scores in partial)
         reach = score >= bar[row, 0]
         row, column, score = row[reach], column[reach], score[reach].astype(np.int64)

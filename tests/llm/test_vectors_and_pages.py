@@ -9,6 +9,7 @@ import re
 import time
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -65,15 +66,37 @@ def test_near_vectors_against_all_pairs(spark, block):
     assert [r.kept for r in rows] == (root == np.arange(len(root))).tolist()
 
 
-def test_recall_at_the_threshold():
+@pytest.mark.parametrize("rows", [1000, 2600, 10**9])
+def test_recall_at_the_threshold_and_share_of_pairs_compared(rows):
     chance = np.random.default_rng(0)
-    base = pivots.unit(chance.normal(size=(1500, 64)))
+    base = pivots.unit(chance.normal(size=(1300, 64)))
     side = chance.normal(size=base.shape)
     side = pivots.unit(side - (side * base).sum(axis=1, keepdims=True) * base)
     vectors = np.concatenate([base, 0.931 * base + np.sqrt(1 - 0.931**2) * side])
-    for sample in (vectors[::7], chance.normal(size=(500, 64))):
-        fitted = pivots.choose_pivots(pivots.unit(sample), pivots.PIVOTS)
-        assert pivots.recall(vectors, pivots.THRESHOLD, fitted, pivots.NEAREST, pivots.SHARED) >= 0.99
+    for sample in (vectors[::2], chance.normal(size=(1300, 64))):
+        fitted = pivots.choose_pivots(pivots.unit(sample), pivots.pivots_for(rows))
+        found, compared = pivots.recall(vectors, pivots.THRESHOLD, fitted, pivots.NEAREST, pivots.SHARED)
+        assert found >= 0.99
+        assert compared < 0.05
+
+
+def test_pivots_grow_with_the_root_of_the_rows():
+    assert [pivots.pivots_for(n) for n in (0, 1000, 40_000, 250_000, 10**10)] == [128, 128, 200, 500, 512]
+
+
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_few_pairs_of_the_table_are_compared(folder):
+    rows = [list(v) for (v,) in duckdb.sql(f"select embedding from '/root/testdata/{folder}/embeddings.parquet' where len(embedding) = 64").fetchall()]
+    fitted = pivots.choose_pivots(pivots.unit(rows), pivots.pivots_for(len(rows)))
+    found, compared = pivots.recall(np.array(rows), pivots.THRESHOLD, fitted, pivots.NEAREST, pivots.SHARED)
+    assert not found < 1.0  # not a number where no pair is that near
+    assert compared < 0.05
+
+
+def test_shared_pivots_are_those_of_both_lists():
+    chance = np.random.default_rng(3)
+    listed = [chance.permutation(9)[: chance.integers(0, 6)].tolist() for _ in range(40)]
+    assert pivots.shared_pivots(listed).tolist() == [[len(set(a) & set(b)) for b in listed] for a in listed]
 
 
 def test_near_vectors_of_odd_rows(spark):
@@ -110,6 +133,20 @@ def test_top_k_against_all_scores(spark, monkeypatch, scale):
     assert [tuple(r) for r in found] == plain_top([r for r in rows if r[0] % 10 == 0], rows, 20)
 
 
+@pytest.mark.parametrize(("folder", "share"), [("sf0.01", 0.25), ("sf0.1", 0.13)])
+def test_the_cutoff_spares_most_sums(folder, share):
+    read = f"select vec_id, list_transform(embedding, lambda x: floor(x::double * 64)::bigint) as vector from '/root/testdata/{folder}/embeddings.parquet'"
+    rows = duckdb.sql(read).df()
+    queries = rows[rows["vec_id"] % 20 == 0].rename(columns={"vec_id": "query_id"})
+    heads = topk._listed(queries, rows, 20, topk.SLICES)
+    cutoff = heads.groupby("query_id")["score"].min().reindex(queries["query_id"]).to_numpy()
+    block = topk._Block(queries, rows, topk.SLICES)
+    summed = [topk._sufficient(partial, cutoff[at][:, None]).mean() for at, partial, _ in block.tiles()]
+    assert np.mean(summed) < share
+    best = topk._resolved(queries.assign(cutoff=cutoff), rows, 20, topk.SLICES)
+    assert len(best) == 20 * len(queries)
+
+
 def test_top_k_of_few_and_of_none(spark):
     candidates = spark.createDataFrame([(1, [1, 2]), (2, [1]), (3, [])], "vec_id long, vector array<long>")
     queries = spark.createDataFrame([(1, [1, 2]), (9, [0, 0])], "query_id long, vector array<long>")
