@@ -3,9 +3,9 @@
 A vector is described by its nearest reference points (pivots), in order. Two vectors within
 the threshold share several of their `nearest` pivots, so each vector is listed under all
 but the last `shared` - 1 of them, the rarest pivots first, in inverted lists. Within a list
-the pivots that two vectors share are counted from their postings, and only pairs that share
-`shared` pivots are compared by cosine in double precision; a pair is decided in the first
-list that holds both. Long lists are cut into blocks. Pivots grow with the root of the
+the pivots that two vectors share are counted first, and only pairs that share `shared` pivots
+are compared by cosine in double precision; a pair is decided in the first list that holds
+both. Long lists are cut into blocks. Pivots grow with the root of the
 rows, so lists grow more slowly than the table.
 """
 
@@ -90,34 +90,28 @@ def _described(classes: DataFrame, fitted: dict[int, np.ndarray], nearest: int)
     return classes.mapInPandas(run, f"{fields}, near array<int>")
 
 
-def _postings(listed: list[list[int]]) -> dict[int, np.ndarray]:
-    """For each pivot the places of the vectors that list it."""
-    owner = np.repeat(np.arange(len(listed)), [len(one) for one in listed])
-    pivot = np.array([p for one in listed for p in one], dtype=np.int64)
-    order = np.argsort(pivot, kind="stable")
-    kinds, starts = np.unique(pivot[order], return_index=True)
-    return dict(zip(kinds.tolist(), np.split(owner[order], starts[1:]), strict=True))
+def _membership(listed: np.ndarray, kinds: int) -> np.ndarray:
+    """A row per vector, a column per pivot: 1 where the vector lists it."""
+    found = np.zeros((len(listed), kinds), dtype=np.float32)
+    found[np.arange(len(listed))[:, None], listed] = 1
+    return found
 
 
-def shared_pivots(listed: list[list[int]]) -> np.ndarray:
+def shared_pivots(listed: np.ndarray, kinds: int) -> np.ndarray:
     """How many pivots any two of the vectors share."""
-    counts = np.zeros((len(listed), len(listed)), dtype=np.uint16)
-    for members in _postings(listed).values():
-        counts[np.ix_(members, members)] += 1
-    return counts
+    member = _membership(listed, kinds)
+    return member @ member.T
 
 
-def _candidates(near: list[list[int]], rank: np.ndarray, here: int, shared: int, prefix: int) -> np.ndarray:
+def _candidates(near: np.ndarray, rank: np.ndarray, here: int, shared: int, prefix: int) -> np.ndarray:
     """The pairs (first place below the second) of the list of pivot `here` that it has to compare.
 
-    They share enough pivots, and no list of a rarer pivot holds both.
+    They share enough pivots, and no list of a rarer pivot holds both. Vectors of one list
+    have equally many pivots.
     """
-    sizes = np.array([len(one) for one in near])
-    found = np.triu(shared_pivots(near) >= np.minimum(shared, np.minimum.outer(sizes, sizes)), 1)
-    before = [[p for p in sorted(one, key=lambda p: rank[p])[:prefix] if rank[p] < rank[here]] for one in near]
-    for members in _postings(before).values() if any(before) else ():
-        found[np.ix_(members, members)] = False
-    return found
+    first_ones = np.sort(rank[near], axis=1)[:, :prefix]
+    before = _membership(first_ones, len(rank))[:, : rank[here]]
+    return np.triu((shared_pivots(near, len(rank)) >= min(shared, near.shape[1])) & (before @ before.T == 0), 1)
 
 
 def _roots(linked: np.ndarray) -> np.ndarray:
@@ -137,7 +131,7 @@ def _compare(group: pd.DataFrame, rank: np.ndarray, threshold: float, shared: in
     group = group.sort_values("cid", ignore_index=True)
     here, first, second = group["pivot"].iloc[0], group["first"].iloc[0], group["second"].iloc[0]
     vectors = unit(group["vector"])
-    wanted = _candidates([list(one) for one in group["near"]], rank, here, shared, prefix)
+    wanted = _candidates(np.stack(group["near"]), rank, here, shared, prefix)
     if first != second:  # pairs inside one block are decided where it meets itself
         block = group["block"].to_numpy()
         wanted &= block[:, None] != block[None, :]
@@ -213,7 +207,7 @@ def near_vectors(
 def recall(vectors: np.ndarray, threshold: float, fitted: np.ndarray, nearest: int, shared: int) -> tuple[float, float]:
     """By brute force: the share of the pairs at the threshold that share enough pivots, and of all pairs that are compared."""
     rows = unit(vectors)
-    enough = shared_pivots(np.argsort(-(rows @ fitted.T), axis=1, kind="stable")[:, :nearest].tolist()) >= shared
+    enough = shared_pivots(np.argsort(-(rows @ fitted.T), axis=1, kind="stable")[:, :nearest], len(fitted)) >= shared
     pairs = np.triu_indices(len(rows), 1)
     true = (rows @ rows.T >= threshold)[pairs]
     return (float(enough[pairs][true].mean()) if true.any() else math.nan), float(enough[pairs].mean())
