@@ -33,6 +33,15 @@ class Inputs:
     def events(self) -> DataFrame:
         return self._stored("event_log", lambda: derived.event_log(self.spark, self.folder))
 
+    @cached_property
+    def plain_events(self) -> DataFrame:
+        """The event log with users as text and without ids of events."""
+        return self.events.drop("event_id").withColumn("user_id", F.concat(F.lit("user_"), F.col("user_id")))
+
+    @cached_property
+    def nested(self) -> DataFrame:
+        return self._stored("nested_log", lambda: derived.nested_log(self.spark, self.folder))
+
     @cached_property
     def metrics(self) -> MetricTables:
         return MetricTables(Stages(self.spark, [self.folder]), lambda: self.events)

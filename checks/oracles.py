@@ -1054,6 +1054,24 @@ create table nation (n_nationkey int, n_name varchar, n_regionkey int);
 
 
 # Reports over tables stored by month, and the daily table of merged states, give the rows of the plain ones.
+# Logs without ids of events: the same rows, users as text.
+for _key in ("p1_session_metrics", "e6_user_segments"):
+    ORACLES[f"{_key}_plain_log"] = f"select * replace (concat('user_', user_id) as user_id) from ({ORACLES[_key]})"
+
+# A result of a nested log is known by its document: it is clicked if the query has a click on that document.
+ORACLES["t3_results_of_nested_log"] = _res(
+    """select result_id, query_id, session_id, position, document_id, clicks is not null as clicked, first_click as click_time
+    from res left join (
+      select query_id, document_id, count(*) as clicks, arg_min(click_time, position) as first_click
+      from res where clicked group by all) using (query_id, document_id)"""
+)
+ORACLES["d5_flat_nested_log"] = _star(
+    """select session_id, user_id, query_id, query_text, timestamp, device_type, location,
+      coalesce(results, 0) as result_count, coalesce(click_count, 0)::bigint as click_count
+    from qlog left join shown using (query_id) left join usr using (user_id)"""
+)
+ORACLES["d5_profiles_of_nested_log"] = ORACLES["d5_session_profiles"]
+
 for _stored, _plain in {
     "q5_top_queries_by_month": "q5_top_queries",
     "q6_reformulations_by_month": "q6_reformulations",

@@ -200,12 +200,14 @@ QUERIES: dict[str, Q] = {
         i.facts, max_gap_seconds=90 * 86400, min_similarity=0.4
     ),
     "t3_search_results": lambda i: star.search_results(i.results),
+    "t3_results_of_nested_log": lambda i: profile.explode_results(i.nested),
     "t4_daily_metrics": lambda i: star.daily_metrics(
         star.query_facts(i.queries, i.results), i.users
     ),
     "t5_ab_test_results": lambda i: i.ab_tests,
     # session, query and daily metrics
     "p1_session_metrics": lambda i: sessions.session_metrics(i.events),
+    "p1_session_metrics_plain_log": lambda i: sessions.session_metrics(i.plain_events),
     "p2_time_to_first_click": lambda i: sessions.time_to_first_click(i.events),
     "p3_query_metrics": lambda i: sessions.query_metrics(i.events),
     "p4_daily_aggregates": lambda i: i.metrics.daily_aggregates(),
@@ -233,6 +235,7 @@ QUERIES: dict[str, Q] = {
     "e5_result_engagement_daily": lambda i: engagement.result_engagement(i.events),
     "e5_result_engagement_weekly": lambda i: engagement.result_engagement(i.events, "weekly"),
     "e6_user_segments": lambda i: engagement.user_engagement_segments(i.events),
+    "e6_user_segments_plain_log": lambda i: engagement.user_engagement_segments(i.plain_events),
     "e9_engagement_summary": lambda i: engagement.engagement_summary(i.events),
     "e10_ctr_overall": lambda i: engagement.click_through_rate(i.events, period=None),
     "e10_ctr_by_segment": lambda i: engagement.click_through_rate(
@@ -393,6 +396,8 @@ QUERIES: dict[str, Q] = {
     "d4g_ctr": _page("Trends & Anomalies", "ctr"),
     "d4h_ab_testing": lambda i: pages.page("A/B Testing", i.star, "T-1")["results"],
     "d5_session_profiles": _profiles,
+    "d5_flat_nested_log": lambda i: profile.flatten_nested(i.nested),
+    "d5_profiles_of_nested_log": lambda i: profile.session_profiles(profile.flatten_nested(i.nested)),
     "d5_success_rate": lambda i: profile.session_success_rate(_profiles(i)),
     "d5_success_by_device": lambda i: profile.session_success_rate(_profiles(i), "device_type"),
     "d6_top_texts": lambda i: profile.top_texts(i.queries),

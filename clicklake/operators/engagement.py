@@ -19,6 +19,7 @@ from clicklake.functions.quantiles import exact_percentile
 from clicklake.operators.sessions import (
     QUERY_KEY,
     clicks,
+    event_order,
     searches,
     session_base,
     session_totals,
@@ -247,7 +248,7 @@ def result_engagement(
 
 def user_engagement_segments(events: DataFrame) -> DataFrame:
     """Users with a search, their totals, and an engagement class."""
-    place = F.struct("timestamp", "event_id")
+    place = event_order(events)
     per_session = (
         searches(events)
         .where(F.col("user_id").isNotNull())

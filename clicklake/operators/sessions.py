@@ -20,6 +20,16 @@ from clicklake.functions.numeric import (
 QUERY_KEY = ["session_id", "query_index_in_session"]
 
 
+def event_order(events: DataFrame) -> Column:
+    """What comes first: by time, then by ``event_id`` where the log has one.
+
+    Otherwise events of one time stand in the order of their query and of the user columns, which decides
+    alike on every run.
+    """
+    ties = ["event_id"] if "event_id" in events.columns else [QUERY_KEY[1], "user_id", "user_segment", "device_type"]
+    return F.struct("timestamp", *ties)
+
+
 def searches(events: DataFrame) -> DataFrame:
     return events.where(F.col("event_type") == "search")
 
@@ -40,7 +50,7 @@ def _per_query(events: DataFrame) -> DataFrame:
     """
     is_search, is_click = F.col("event_type") == "search", F.col("event_type") == "click"
     ts = F.col("timestamp")
-    first = F.when(is_search, F.struct("timestamp", "event_id"))
+    first = F.when(is_search, event_order(events))
     return (
         events.where(is_search | is_click)
         .groupBy(*QUERY_KEY)

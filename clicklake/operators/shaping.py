@@ -35,7 +35,10 @@ def sessionize(
     tie_break: str = "event_id",
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Add ``session_number`` (0-based per user): a new one after a long pause."""
+    """Add ``session_number`` (0-based per user): a new one after a long pause.
+
+    ``tie_break`` is any column of the log; rows of one time lie in one session whatever it says.
+    """
     order = ["timestamp", tie_break]
     rows = log.where(F.col(user).isNotNull())
     sliced = sliced_keys(rows, [user], order, slice_rows)

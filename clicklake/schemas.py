@@ -20,6 +20,11 @@ EVENT_LOG = _layout(
     result_type=_S, time_on_result_seconds=_D, is_satisfied=_B, variant=_S,
 )
 
+# As applications write it: ids of any text, and no id of the event.
+PLAIN_EVENT_LOG = T.StructType([
+    T.StructField(f.name, _S if f.name == "user_id" else f.dataType) for f in EVENT_LOG if f.name != "event_id"
+])
+
 # One row per shown result.
 RESULT_LOG = _layout(
     result_id=_S, query_id=_L, session_id=_S, user_id=_L, query_text=_S, query_time=_TS,

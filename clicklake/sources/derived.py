@@ -173,6 +173,22 @@ def result_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def nested_log(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per query with the arrays of its shown and its clicked results, null where nothing was shown."""
+    shown = F.struct("position", "document_id", "clicked", "click_time")
+    lists = result_log(spark, folder).groupBy("query_id").agg(F.array_sort(F.collect_list(shown)).alias("_shown"))
+    clicked = F.filter("_shown", lambda r: r["clicked"])
+    users = user_log(spark, folder).select("user_id", "device_type", "location")
+    rows = query_log(spark, folder).join(lists, "query_id", "left").join(users, "user_id", "left")
+    return rows.select(
+        "session_id", "user_id", "query_id", "query_text", "timestamp",
+        F.transform("_shown", lambda r: r["document_id"]).alias("results"),
+        F.transform(clicked, lambda r: r["document_id"]).alias("clicked_results"),
+        F.transform(clicked, lambda r: r["click_time"]).alias("click_timestamps"),
+        "device_type", "location",
+    )
+
+
 def user_log(spark: SparkSession, folder: str) -> DataFrame:
     """Attributes of users (customers)."""
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")

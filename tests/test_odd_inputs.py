@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from clicklake import session
 from clicklake.operators import experiments, reformulation
+from clicklake.operators.engagement import user_engagement_segments
+from clicklake.operators.sessions import session_metrics
+from clicklake.schemas import PLAIN_EVENT_LOG
 from clicklake.sources import logs
+from clicklake.sources.logs import read_log
+from tests.logs_by_hand import at, click, event_log, search
 
 
 def test_csv_is_read_by_header(spark, tmp_path):
@@ -55,3 +60,28 @@ def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
         session.shared_folder(Unnamed())
     Bare.master = "local[4]"
     assert session.shared_folder(Unnamed())
+
+
+def test_logs_without_ids_of_events_and_with_users_as_text(spark, tmp_path):
+    rows = [
+        search("s", 0, at(0), user=2), click("s", 0, at(3), user=2), search("s", 1, at(9), user=2),
+        search("t", 1, at(0), user=1, device_type="tablet"), search("t", 0, at(0), user=1, device_type="mobile"),
+    ]
+    log = event_log(spark, rows)
+    named = log.drop("event_id").withColumn("user_id", F.concat(F.lit("user_"), "user_id"))
+    named.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(str(tmp_path / "log"))
+    plain = read_log(spark, str(tmp_path / "log"), PLAIN_EVENT_LOG)
+    assert plain.schema["user_id"].dataType.simpleString() == "string"
+
+    def shown(frame):
+        return sorted(tuple(r) for r in frame.collect())
+
+    by_id = [(s, f"user_{u}", *rest) for s, u, *rest in shown(session_metrics(log))]
+    found = shown(session_metrics(plain))
+    assert [r for r in found if r[0] == "s"] == [r for r in by_id if r[0] == "s"]
+    # At one time the earlier query of the session says who it is; with ids it is the earlier event.
+    device = {r.session_id: r.device_type for r in session_metrics(plain).collect()}
+    assert device == {"s": "mobile", "t": "mobile"}
+    assert {r.session_id: r.device_type for r in session_metrics(log).collect()} == {"s": "mobile", "t": "tablet"}
+    users = {r.user_id: r.total_searches for r in user_engagement_segments(plain).collect()}
+    assert users == {"user_1": 2, "user_2": 2}
