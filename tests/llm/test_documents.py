@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
@@ -84,6 +85,33 @@ def test_keys_move_only_into_a_subtree_that_gains_weight(spark):
     assert all(r.a == r.b or r.b in (3, 4) for r in rows)
 
 
+def plain_shard(key, of):
+    """The leaf a key reaches by drawing -ln(u) / weight at every node, u from 48 bits of an MD5."""
+    weights = {name: {rack: sum(shards.values()) for rack, shards in racks.items()} for name, racks in of.regions.items()}
+
+    def least(children):
+        def draw(name):
+            u = (int(hashlib.md5(f"{key}/{name}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+            return -math.log(u) / children[name], str(name)
+
+        return min((name for name, weight in children.items() if weight > 0), key=draw)
+
+    region = least({name: sum(racks.values()) for name, racks in weights.items()})
+    rack = least(weights[region])
+    return least(of.regions[region][rack])
+
+
+def test_shards_are_those_of_plain_draws(docs, odd):
+    uneven = sharding.Tree({"r0": {"r0.a": {0: 1.0, 1: 2.5}, "r0.b": {2: 0.0, 5: 2.0}}, "r1": {"r1.a": {3: 4.0, 4: 0.0}}, "r2": {"r2.a": {6: 0.0}}})
+    trees = [sharding.tree(16), sharding.tree(17), uneven]
+    for frame in (docs, odd):
+        key = sharding.key_text(F.col("doc_id"))
+        rows = frame.select(key.alias("key"), *[sharding.shard_of(key, of).alias(f"s{n}") for n, of in enumerate(trees)]).collect()
+        assert [tuple(r)[1:] for r in rows] == [tuple(plain_shard(r.key, of) for of in trees) for r in rows]
+    placed = sharding.assign_shards(docs, 16, grown=17).collect()
+    assert all((r.shard, r.grown_shard) == (plain_shard(r.doc_id, trees[0]), plain_shard(r.doc_id, trees[1])) for r in placed)
+
+
 # Language
 
 
