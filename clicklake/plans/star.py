@@ -64,9 +64,7 @@ class Star:
                 continue
             if name in LINKED_MONTHS:
                 key, column = LINKED_MONTHS[name]
-                kept = frame.columns
-                frame = frame.join(months, F.col(key) == F.col("_asked"), "left")
-                frame, linked = frame.select(*kept, F.col("_month").alias(column)), (column,)
+                frame, linked = _with_month(frame, key, months, column), (column,)
             path = f"{folder.rstrip('/')}/{name}"
             stored[name] = save_by_month(frame, path, SPREAD_COLUMNS[name], time_column, linked)
         return Star(**stored)
@@ -218,20 +216,33 @@ def build(
     )
 
 
+def _with_month(df: DataFrame, key: str, months: DataFrame, column: str) -> DataFrame:
+    """``df`` with the ``_month`` of the query (``_asked``) that ``key`` names as ``column``.
+
+    Rows that name none stay out of the join, where all of them would be in one task.
+    """
+    named = df.where(F.col(key).isNotNull()).join(months, F.col(key) == F.col("_asked"), "left")
+    none = df.where(F.col(key).isNull()).select("*", F.lit(None).cast("string").alias(column))
+    return named.select(*df.columns, F.col("_month").alias(column)).union(none)
+
+
 def save_by_month(
     df: DataFrame, path: str, id_column: str, time_column: str = "timestamp", linked: Sequence[str] = ()
 ) -> DataFrame:
     """Write a table in folders by the month of ``time_column`` and read it back.
 
     Reports add a month condition for such tables, so only the folders of the
-    wanted range are listed and read. Rows are spread by (month, id) ranges: a
-    month with a large share of the rows is written by many tasks. Rows without a time,
-    as results without a click, have a folder of their own. ``linked`` names columns of ``df``
+    wanted range are listed and read. Spark spreads the rows by folder and
+    splits what is large, so a month with a large share of the rows is written by many tasks; unlike
+    ranges, that needs no sample, for which all rows would be computed twice. Without adaptive execution
+    rows are spread by (month, id) ranges. Rows without a time, as results without a click, have a folder of their own. ``linked`` names columns of ``df``
     that hold months of related rows; they become folders too.
     """
     dated = df.withColumn(MONTH, F.date_format(time_column, "yyyy-MM"))
     folders = [MONTH, *linked]
-    dated.repartitionByRange(*folders, id_column).write.partitionBy(*folders).parquet(path)
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    spread = dated.hint("rebalance", *folders) if adaptive else dated.repartitionByRange(*folders, id_column)
+    spread.write.partitionBy(*folders).option("compression", "zstd").parquet(path)
     kept = StructType([f for f in df.schema if f.name not in linked])
     return _by_month(df.sparkSession, path, kept, linked)
 

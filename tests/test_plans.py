@@ -138,3 +138,26 @@ def test_daily_table_joins_folded_rows_and_takes_a_new_day(spark):
     assert found.keys() == wanted.keys() and len(found) > 50
     assert all(found[k] == pytest.approx(wanted[k], nan_ok=True) for k in wanted if None not in wanted[k])
     assert all([x is None for x in found[k]] == [x is None for x in wanted[k]] for k in wanted)
+
+
+def test_rows_that_name_no_query_are_not_joined_in_one_task(spark):
+    rows = spark.range(400, numPartitions=4).selectExpr("id", "if(id < 390, null, id) as of")
+    months = spark.sql("select 395L as _asked, '1997-03' as _month")
+    found = star._with_month(rows, "of", months, "before")
+    assert sorted(map(tuple, found.where("before is not null").collect())) == [(395, 395, "1997-03")]
+    assert found.count() == 400 and found.columns == ["id", "of", "before"]
+    sizes = found.where("of is null").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) == 100
+
+
+def test_rows_stored_by_month_are_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(value):
+        seen.add(1)
+        return value
+
+    counted = spark.range(1000).select(F.udf(passed, "long")("id").alias("id"), F.expr("timestamp_ntz'1997-01-01' + make_dt_interval(cast(id % 90 as int))").alias("timestamp"))
+    stored = star.save_by_month(counted, f"{tmp_path}/once", "id")
+    assert seen.value == 1000
+    assert sorted(r.id for r in stored.collect()) == list(range(1000))
