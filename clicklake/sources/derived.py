@@ -118,11 +118,19 @@ def word_count(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
 
 
-def query_log(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per query (order), also those without any shown result."""
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    parts = table(spark, folder, "part").select("p_partkey", "p_name")
-    return orders.join(parts, F.col("p_partkey") == F.col("o_orderkey") % 100).select(
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+
+
+def _named(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
+    """Rows with the columns of ``_orders``: these give way to the id, session, user, text and time of the query.
+
+    Texts and sessions are long, so rows are shuffled before they get them. Remainders of 100 match few
+    parts, which travel to the rows.
+    """
+    parts = table(spark, folder, "part").select("p_partkey", "p_name").where(F.col("p_partkey").between(-99, 99))
+    order = ("o_orderkey", "o_custkey", "o_orderdate")
+    return rows.join(F.broadcast(parts), F.col("p_partkey") == F.col("o_orderkey") % 100).select(
         F.col("o_orderkey").alias("query_id"),
         F.concat_ws("-", F.col("o_custkey").cast("string"), F.year("o_orderdate").cast("string")).alias(
             "session_id"
@@ -130,9 +138,15 @@ def query_log(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("user_id"),
         _phrased(F.col("o_orderkey") % 5, F.col("p_name")).alias("query_text"),
         F.col("o_orderdate").alias("timestamp"),
+        *[c for c in rows.columns if c not in order],
     )
 
 
+def query_log(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per query (order), also those without any shown result."""
+    return _named(spark, folder, _orders(spark, folder))
+
+
 def result_log(spark: SparkSession, folder: str) -> DataFrame:
     """One row per shown result (line item), positions counted within the order."""
     items = table(spark, folder, "lineitem").select(
@@ -152,8 +166,8 @@ def result_log(spark: SparkSession, folder: str) -> DataFrame:
     )
     clicked, late = F.col("clicked"), (F.col("l_partkey") % 600).cast("int")
     shown_at = F.timestamp_add("SECOND", late, F.col("query_time"))
-    queries = query_log(spark, folder).withColumnRenamed("timestamp", "query_time")
-    return queries.join(placed, F.col("l_orderkey") == F.col("query_id")).select(
+    shown = _orders(spark, folder).join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+    return _named(spark, folder, shown).withColumnRenamed("timestamp", "query_time").select(
         F.concat_ws("-", F.col("query_id").cast("string"), F.col("_place").cast("string")).alias(
             "result_id"
         ),

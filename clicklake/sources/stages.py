@@ -48,7 +48,7 @@ class Stages:
         done, system = self._path(f"{target}/_SUCCESS")
         if not system.exists(done):
             self._drop_others(print_now)
-            build().write.mode("overwrite").parquet(target)
+            build().write.mode("overwrite").option("compression", "zstd").parquet(target)
         return self.spark.read.parquet(target)
 
     def get_folder(self, name: str, write: Callable[[str], object]) -> str:

@@ -11,6 +11,7 @@ import __spark_entry__ as contract
 from checks.inputs import END, START, Inputs
 from clicklake.operators import relevance
 from clicklake.plans import reports, star
+from clicklake.sources import derived
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = contract.queries()
@@ -140,6 +141,29 @@ def test_daily_table_joins_folded_rows_and_takes_a_new_day(spark):
     assert all([x is None for x in found[k]] == [x is None for x in wanted[k]] for k in wanted)
 
 
+@pytest.fixture
+def no_small_tables(spark):
+    """Joins as they are planned where no table is small enough to travel by itself."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_queries_get_their_texts_without_a_shuffle(spark, no_small_tables):
+    text = plan(derived.query_log(spark, FOLDER))
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def test_rows_are_shuffled_before_they_get_texts(spark, no_small_tables):
+    for log in (derived.result_log,):
+        first_shuffle = next(n for n, line in enumerate(plan(log(spark, FOLDER)).splitlines()) if "hashpartitioning" in line)
+        assert all("p_name" not in line for line in plan(log(spark, FOLDER)).splitlines()[first_shuffle:] if "Exchange hash" in line)
+        named = next(n for n, line in enumerate(plan(log(spark, FOLDER)).splitlines()) if "BroadcastHashJoin" in line)
+        assert named < first_shuffle
+
+
 def test_rows_that_name_no_query_are_not_joined_in_one_task(spark):
     rows = spark.range(400, numPartitions=4).selectExpr("id", "if(id < 390, null, id) as of")
     months = spark.sql("select 395L as _asked, '1997-03' as _month")
