@@ -22,6 +22,23 @@ from clicklake.session import materialized
 
 SLICE_ROWS = 1_000_000
 GROUP = 1024
+# Hash buckets that are counted before keys are.
+BUCKETS = 8192
+
+
+def large_keys(df: DataFrame, keys: Sequence[str], slice_rows: int) -> DataFrame | None:
+    """Keys with more than ``slice_rows`` rows and those ``_rows``; None where there are none.
+
+    No key has more rows than its hash bucket, so only keys of buckets above the limit are
+    counted one by one. The counts of the buckets do not grow with the number of keys.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    counts = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    full = [r[0] for r in counts.where(F.col("_rows") > slice_rows).select("_bucket").collect()]
+    if not full:
+        return None
+    loads = df.where(bucket.isin(full)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return loads.where(F.col("_rows") > slice_rows)
 
 
 def sliced_keys(
@@ -38,11 +55,9 @@ def sliced_keys(
     estimates of them, where they are cheaper to get than by counting ``df``. Counting is a job of its own, and
     sliced rows are written to the shared folder, as range partitioning cuts anew whenever it is run again.
     """
-    if loads is None:
-        loads = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     slice_rows = max(1, slice_rows)
-    large = loads.where(F.col("_rows") > slice_rows)
-    rows = large.agg(F.sum("_rows")).first()[0]
+    large = large_keys(df, keys, slice_rows) if loads is None else loads.where(F.col("_rows") > slice_rows)
+    rows = None if large is None else large.agg(F.sum("_rows")).first()[0]
     if not rows:
         return df.select("*", F.lit(False).alias("_large"), F.lit(0).alias("_slice"))
     marked = df.join(large.select(*keys, F.lit(True).alias("_large")), list(keys), "left")

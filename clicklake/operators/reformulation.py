@@ -31,12 +31,17 @@ def with_previous_query(
     ``max_gap_seconds`` older and at least ``min_similarity`` alike. A query without a
     session follows no other; follow_up_rate counts it among all queries.
     """
+    looked_at = [query_id]
+    if max_gap_seconds is not None:
+        looked_at.append("timestamp")
+    if min_similarity is not None:
+        looked_at.append(text)
     unnamed = queries.where(F.col("session_id").isNull())
     before = scan(
         queries.where(F.col("session_id").isNotNull()),
         ["session_id"],
         ["timestamp", query_id],
-        previous={"_before": F.struct(F.col(query_id), F.col(text), F.col("timestamp"))},
+        previous={"_before": F.struct(*looked_at)},
         slice_rows=slice_rows,
     )
     related = F.col("_before").isNotNull()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from checks.inputs import END, START, Inputs
-from clicklake.operators import relevance
+from clicklake.operators import reformulation, relevance
 from clicklake.plans import reports, star
 from clicklake.sources import derived
 
@@ -164,6 +164,12 @@ def test_rows_are_shuffled_before_they_get_texts(spark, no_small_tables):
         assert named < first_shuffle
 
 
+def test_only_what_limits_need_is_looked_at_of_the_previous_query(spark):
+    facts = Inputs(spark, FOLDER).facts
+    assert "query_text, query_text" not in plan(reformulation.with_previous_query(facts))
+    assert "query_text, query_text" in plan(reformulation.with_previous_query(facts, min_similarity=0.4))
+
+
 def test_rows_that_name_no_query_are_not_joined_in_one_task(spark):
     rows = spark.range(400, numPartitions=4).selectExpr("id", "if(id < 390, null, id) as of")
     months = spark.sql("select 395L as _asked, '1997-03' as _month")

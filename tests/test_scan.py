@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clicklake.functions.scan import scan, sliced_keys
+from clicklake.functions.scan import large_keys, scan, sliced_keys
 from clicklake.operators.shaping import sessionize
 from tests.logs_by_hand import at
 
@@ -107,3 +107,11 @@ def test_sessionize_splits_on_long_pauses(spark, slice_rows):
             expected[n] = number
     found = sessionize(log, 1800, slice_rows=slice_rows)
     assert {r.event_id: r.session_number for r in found.collect()} == expected
+
+
+def test_keys_are_counted_only_where_a_bucket_is_above_the_limit(spark):
+    rows = spark.range(5000).selectExpr("case when id < 300 then 'hot' when id < 400 then null else cast(id as string) end as key", "id")
+    assert large_keys(rows, ["key"], 400) is None
+    assert {tuple(r) for r in large_keys(rows, ["key"], 99).collect()} == {("hot", 300), (None, 100)}
+    counted = rows.groupBy("key").count().where("count > 1")
+    assert {tuple(r) for r in large_keys(rows, ["key"], 1).collect()} == {tuple(r) for r in counted.collect()}
