@@ -192,9 +192,12 @@ def nested_log(spark: SparkSession, folder: str) -> DataFrame:
     shown = F.struct("position", "document_id", "clicked", "click_time")
     lists = result_log(spark, folder).groupBy("query_id").agg(F.array_sort(F.collect_list(shown)).alias("_shown"))
     clicked = F.filter("_shown", lambda r: r["clicked"])
-    users = user_log(spark, folder).select("user_id", "device_type", "location")
-    rows = query_log(spark, folder).join(lists, "query_id", "left").join(users, "user_id", "left")
-    return rows.select(
+    lists = lists.withColumnRenamed("query_id", "_query")
+    users = user_log(spark, folder).select(F.col("user_id").alias("_user"), "device_type", "location")
+    # Users join before the lists do, so that lists are not shuffled by user.
+    asked = _orders(spark, folder).join(users, F.col("o_custkey") == F.col("_user"), "left").drop("_user")
+    rows = asked.join(lists, F.col("o_orderkey") == F.col("_query"), "left").drop("_query")
+    return _named(spark, folder, rows).select(
         "session_id", "user_id", "query_id", "query_text", "timestamp",
         F.transform("_shown", lambda r: r["document_id"]).alias("results"),
         F.transform(clicked, lambda r: r["document_id"]).alias("clicked_results"),

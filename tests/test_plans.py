@@ -157,13 +157,18 @@ def test_queries_get_their_texts_without_a_shuffle(spark, no_small_tables):
 
 
 def test_rows_are_shuffled_before_they_get_texts(spark, no_small_tables):
-    for log in (derived.result_log,):
+    for log in (derived.result_log, derived.nested_log):
         first_shuffle = next(n for n, line in enumerate(plan(log(spark, FOLDER)).splitlines()) if "hashpartitioning" in line)
         assert all("p_name" not in line for line in plan(log(spark, FOLDER)).splitlines()[first_shuffle:] if "Exchange hash" in line)
         named = next(n for n, line in enumerate(plan(log(spark, FOLDER)).splitlines()) if "BroadcastHashJoin" in line)
         assert named < first_shuffle
 
 
+def test_lists_of_results_are_not_shuffled_by_user(spark, no_small_tables):
+    text = plan(derived.nested_log(spark, FOLDER))
+    assert "hashpartitioning(o_custkey" in text and "hashpartitioning(user_id" not in text
+
+
 def test_only_what_limits_need_is_looked_at_of_the_previous_query(spark):
     facts = Inputs(spark, FOLDER).facts
     assert "query_text, query_text" not in plan(reformulation.with_previous_query(facts))
