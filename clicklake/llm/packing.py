@@ -28,7 +28,7 @@ END_ID = 2
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Fixed value: the vocabulary's one special token, which is found in texts as well.
 SPECIAL = {"<|endoftext|>": 50256}
-#: Words whose ids a Python worker remembers.
+#: Words whose ids by tokenizers a Python worker remembers.
 REMEMBERED = 1 << 18
 
 _SPACES = re.compile(r"\s\s|^ | $")
@@ -54,8 +54,9 @@ def encoder(vocabulary: str) -> Callable[[str], bytes]:
     """From text to the bytes of its ids, by a byte-level BPE vocabulary.
 
     .tiktoken files are read by tiktoken, .json files by tokenizers; either gives the same ids for
-    the same vocabulary. No token spans a single space between two other characters, so
-    the words between such spaces are encoded on their own, and frequent ones once.
+    the same vocabulary. tiktoken gets a text whole, as a call for each word would cost it more than
+    the word. tokenizers is slow on long texts: no token spans a single space between two other
+    characters, so the words between such spaces are encoded on their own, and frequent ones once.
     """
     if vocabulary not in _encoders:
         if vocabulary.endswith(".json"):
@@ -65,6 +66,13 @@ def encoder(vocabulary: str) -> Callable[[str], bytes]:
 
             def encode(text: str) -> list[int]:
                 return tokenizer.encode(text, add_special_tokens=False).ids
+
+            remembered = _Remembered(encode)
+
+            def whole(text: str) -> bytes:
+                words = _CUT.split(text) if _SPACES.search(text) else text.split(" ")
+                first = np.array(encode(words[0]), dtype="<u4").tobytes()
+                return first + b"".join(map(remembered.__getitem__, words[1:]))
         else:
             import tiktoken
 
@@ -72,14 +80,8 @@ def encoder(vocabulary: str) -> Callable[[str], bytes]:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
             made = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
-            def encode(text: str) -> list[int]:
-                return made.encode(text, allowed_special="all")
-        remembered = _Remembered(encode)
-
-        def whole(text: str) -> bytes:
-            words = _CUT.split(text) if _SPACES.search(text) else text.split(" ")
-            first = np.array(encode(words[0]), dtype="<u4").tobytes()
-            return first + b"".join(map(remembered.__getitem__, words[1:]))
+            def whole(text: str) -> bytes:
+                return made.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
         _encoders[vocabulary] = whole
     return _encoders[vocabulary]
